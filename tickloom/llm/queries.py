@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, urlrules
+from tickloom.llm import bpe, langid, topk, urlrules
 from tickloom.llm.common import table
 
 #: The rank file that the byte-level queries use.
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
+#: The vocabulary of the language model.
+PIECES = "piece_bpe_32k.model"
+
 #: Rules of the URL query.
 URL_RULES = (
     "block com/en/",
@@ -23,6 +27,18 @@ URL_RULES = (
 )
 
 
+def _fold(n: int):
+    """crc32 of the document id's decimal text, modulo ``n``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(_fold(4) == 2, F.lit(False)))
+    model = langid.train(docs.where(~F.col("held_out")), public_tokenizers.path(PIECES))
+    return langid.identify(docs, model, keep=("doc_id", "held_out"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; digests of ids and of decoded bytes."""
     return bpe.transcode(
@@ -38,12 +54,33 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(table(spark, sf_dir, "pages"), map(urlrules.parse_rule, URL_RULES))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best candidates of every vector whose id is divisible by 100."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language": op3_language,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_url_rules": op7_url_rules,
+    "op10_top_k": op10_top_k,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op10_top_k": """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
     "op7_url_rules": r"""
 WITH parts AS (
   SELECT page_id,
