@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tickloom.llm.common import Memo
+
 #: Entries kept in each memo of a Python worker before it starts afresh.
 MEMO_ENTRIES = 250_000
 #: Pre-tokens longer than this are encoded each time, not remembered.
@@ -33,24 +35,6 @@ CHUNK = 50_000
 SHIFT, NEVER = 1 << 24, 1 << 60
 
 
-class _Memo(dict):
-    """A dict that fills itself from ``make``; when full, it keeps one older generation to look in."""
-
-    def __init__(self, make, entries: int = MEMO_ENTRIES) -> None:
-        super().__init__()
-        self.make, self.entries, self.older = make, entries, {}
-
-    def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.entries:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 class BytePairCodec:
     """Exact BPE over a ``tiktoken`` rank file, without special tokens."""
 
@@ -70,9 +54,9 @@ class BytePairCodec:
         for token, rank in self.rank.items():
             self.trie.add_word(token, rank)
         self.split = regex.compile(pattern)
-        self.history = _Memo(self._history, len(self.rank))
-        self.fits = _Memo(self._fits)
-        self.pieces = _Memo(self._piece)
+        self.history = Memo(self._history, len(self.rank))
+        self.fits = Memo(self._fits, MEMO_ENTRIES)
+        self.pieces = Memo(self._piece, MEMO_ENTRIES)
 
     def _history(self, token: int) -> tuple[list[tuple[int, str, str]], bool]:
         """The merges inside a token as (rank, first part, last part) after each, and whether they rebuild it."""

@@ -29,3 +29,21 @@ def materialise(df: DataFrame) -> DataFrame:
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions configured for the session that owns ``df``."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+class Memo(dict):
+    """A dict that fills itself from ``make``; when full, it keeps one older generation to look in."""
+
+    def __init__(self, make, entries: int) -> None:
+        super().__init__()
+        self.make, self.entries, self.older = make, entries, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.entries:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, langid, topk, urlrules
+from tickloom.llm import bpe, langid, topk, toxicity, urlrules
 from tickloom.llm.common import table
 
 #: The rank file that the byte-level queries use.
@@ -49,6 +49,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(_fold(3) == 1, F.lit(False)))
+    labels = table(spark, sf_dir, "labels").where(F.coalesce(_fold(3) != 1, F.lit(False)))
+    model = toxicity.train(docs.where(~F.col("held_out")), labels)
+    return toxicity.score(docs, model, keep=("doc_id", "held_out"))
+
+
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, longest fitting rule and verdict of every page."""
     return urlrules.judge(table(spark, sf_dir, "pages"), map(urlrules.parse_rule, URL_RULES))
@@ -62,6 +70,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_toxicity": op6_toxicity,
     "op7_url_rules": op7_url_rules,
     "op10_top_k": op10_top_k,
 }
