@@ -255,6 +255,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[Colu
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             lang, score = shared.value.predict(batch["__text"].tolist())
-            yield batch.drop(columns="__text").assign(lang_pred=lang, score=score)
+            yield batch.drop(columns="__text").assign(lang_pred=pd.Series(lang, index=batch.index, dtype=object), score=score)
 
     return rows.mapInPandas(run, schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, langid, topk, toxicity, urlrules
+from tickloom.llm import bpe, langid, omh, topk, toxicity, urlrules
 from tickloom.llm.common import table
 
 #: The rank file that the byte-level queries use.
@@ -27,6 +27,11 @@ URL_RULES = (
 )
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return omh.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def _fold(n: int):
     """crc32 of the document id's decimal text, modulo ``n``."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
@@ -68,6 +73,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_order_minhash": op2_order_minhash,
     "op3_language": op3_language,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_toxicity": op6_toxicity,

@@ -70,6 +70,11 @@ def products(queries: list, candidates: list) -> np.ndarray:
     return q @ c.T if bound < 2**63 else (q.astype(object) @ c.astype(object).T).astype(np.int64)
 
 
+def named(keys: pd.Series, at: np.ndarray) -> pd.Series:
+    """Keys at the given places, as plain Python strings."""
+    return pd.Series(keys.to_numpy(dtype=object)[at], dtype=object)
+
+
 def _blocks(classes: DataFrame, asked: DataFrame, lists: int, n_cand: int, n_ask: int, scan, schema: str) -> DataFrame:
     """Run ``scan(queries, candidates)`` on every pair of blocks of each local list."""
     block = lambda n: F.pmod(F.xxhash64("key"), F.lit(n))
@@ -116,7 +121,7 @@ def top_k(
         s = products(q["part"].tolist(), c["part"].tolist())
         top = np.argpartition(-s, best, axis=1)[:, :best] if s.shape[1] > best else np.tile(np.arange(s.shape[1]), (len(q), 1))
         at = np.repeat(np.arange(len(q)), top.shape[1])
-        return pd.DataFrame({"qkey": q["key"].to_numpy()[at], "ckey": c["key"].to_numpy()[top.ravel()], "list": q["list"].iloc[0], "part": s[at, top.ravel()]})
+        return pd.DataFrame({"qkey": named(q["key"], at), "ckey": named(c["key"], top.ravel()), "list": q["list"].iloc[0], "part": s[at, top.ravel()]})
 
     local = _blocks(classes, asked, lists, n_cand, n_ask, gather, "qkey string, ckey string, list int, part bigint")
     per_list = Window.partitionBy("qkey", "list").orderBy(F.desc("part"), "ckey")
@@ -133,7 +138,7 @@ def top_k(
         cut = q["cutoff"].astype("float64").to_numpy()  # a cutoff beyond 2**53 rounds by less than the 1 that is left as slack
         least = np.where(np.isnan(cut), -np.inf, np.floor(cut / lists) - np.maximum(1, np.abs(cut) * 1e-12))
         i, j = np.nonzero(s >= least[:, None])
-        return pd.DataFrame({"qkey": q["key"].to_numpy()[i], "ckey": c["key"].to_numpy()[j], "part": s[i, j], "cutoff": q["cutoff"].astype("Int64").iloc[i].array})
+        return pd.DataFrame({"qkey": named(q["key"], i), "ckey": named(c["key"], j), "part": s[i, j], "cutoff": q["cutoff"].astype("Int64").iloc[i].array})
 
     sent = _blocks(classes, informed, lists, n_cand, n_ask, send, "qkey string, ckey string, part bigint, cutoff bigint")
     held = sent.groupBy("qkey", "ckey").agg(F.sum("part").alias("seen"), F.count("*").alias("n"), F.first("cutoff").alias("cutoff"))
