@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, langid, omh, topk, toxicity, urlrules
+from tickloom.llm import bpe, langid, omh, suffix, topk, toxicity, urlrules
 from tickloom.llm.common import table
 
 #: The rank file that the byte-level queries use.
@@ -67,6 +67,11 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(table(spark, sf_dir, "pages"), map(urlrules.parse_rule, URL_RULES))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that start in a smaller document."""
+    return suffix.strip_repeats(table(spark, sf_dir, "documents"), outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best candidates of every vector whose id is divisible by 100."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_url_rules": op7_url_rules,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_top_k": op10_top_k,
 }
 
