@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, langid, omh, suffix, topk, toxicity, urlrules
+from tickloom.llm import bpe, decontam, langid, omh, suffix, topk, toxicity, urlrules
 from tickloom.llm.common import table
 
 #: The rank file that the byte-level queries use.
@@ -27,6 +27,11 @@ URL_RULES = (
 )
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return omh.near_duplicates(table(spark, sf_dir, "documents"))
@@ -78,6 +83,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_order_minhash": op2_order_minhash,
     "op3_language": op3_language,
     "op4_byte_bpe": op4_byte_bpe,
