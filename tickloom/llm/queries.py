@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, decontam, langid, omh, suffix, topk, toxicity, urlrules
+from tickloom.llm import bpe, chat, decontam, langid, omh, suffix, topk, toxicity, urlrules
 from tickloom.llm.common import table
 
 #: The rank file that the byte-level queries use.
@@ -59,6 +59,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all conversations and one of control strings; digests of what is read back."""
+    own = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trial = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+    tree, ways = chat.prefix_tree(own.unionByName(spark.createDataFrame(trial, own.schema)))
+    return chat.digests(chat.read_back(tree, ways))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(_fold(3) == 1, F.lit(False)))
@@ -87,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_order_minhash": op2_order_minhash,
     "op3_language": op3_language,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_chat_tree": op5_chat_tree,
     "op6_toxicity": op6_toxicity,
     "op7_url_rules": op7_url_rules,
     "op8_suffix_dedup": op8_suffix_dedup,
