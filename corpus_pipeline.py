@@ -1,7 +1,72 @@
-"""The corpus pipeline."""
+"""A corpus pipeline: toxicity, near-duplicates, repeated passages, benchmark leaks, tokens.
 
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each
+stage's rows to the shared folder and reads them again for the next.  All stages but
+the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tickloom.llm import bpe, decontam, omh, suffix, toxicity
+from tickloom.llm.common import shared_folder, table
+from tickloom.llm.queries import RANKS
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents whose id is not among ``ids``; rows with a null id stay."""
+    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the classifier, trained on the labels, rejects."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=COLUMNS).where("predicted = 0").select(*COLUMNS)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each class of near-duplicates."""
+    return _without(docs, omh.near_duplicates(docs).where("doc_id <> class_id"))
+
+
+def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut out the passages that a document with a smaller id holds too; documents stay."""
+    cut = suffix.strip_repeats(docs, outputs=("kept_text",), keep=("doc_id", "lang", "source"))
+    return cut.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("bigint").alias("n_chars"))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark item."""
+    return _without(docs, decontam.contaminated(docs, table(spark, sf_dir, "benchmark")))
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document that is left: doc_id, lang, source, n_tokens, token_ids."""
+    return bpe.transcode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep=("doc_id", "lang", "source"))
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("repeated_passages", repeated_passage_stage),
+    ("decontamination", decontamination_stage),
+    ("encoding", encoding_stage),
+]
+
+#: SQL expresses neither the classifier, the sketches nor the encoding; tests compare stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to ``documents``."""
+    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    for k, (name, stage) in enumerate(STAGES):
+        path = f"{shared_folder(spark)}/pipeline-{k}-{name}"
+        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

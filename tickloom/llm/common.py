@@ -12,17 +12,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder under ``spark.checkpoint.dir``, which all executors share.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; a temporary one is set
-    only where none is configured, as in tests on one machine.
+    A temporary one is set only where none is configured, as in tests on one machine.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickloom-checkpoints-")
-        )
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickloom-checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and cut its lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

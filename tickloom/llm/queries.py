@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, chat, decontam, langid, omh, suffix, topk, toxicity, urlrules
-from tickloom.llm.common import table
+from tickloom.llm import bpe, chat, decontam, langid, omh, suffix, tokcount, topk, toxicity, urlrules
+from tickloom.llm.common import materialise, shared_folder, table
 
 #: The rank file that the byte-level queries use.
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
+#: An id that the rank file leaves free, as end of document.
+END_ID = 50256
+
 #: The vocabulary of the language model.
 PIECES = "piece_bpe_32k.model"
 
@@ -85,6 +88,18 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.strip_repeats(table(spark, sf_dir, "documents"), outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode all documents into flat token files; count tokens by scanning those for separators.
+
+    Returns file (number of the part file), doc (from 0 in each file), n_tokens, ended.
+    """
+    path = f"{shared_folder(spark)}/flat-tokens"
+    tokcount.write_flat(table(spark, sf_dir, "documents"), path, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, END_ID)
+    counts = tokcount.count_tokens(tokcount.read_blocks(spark, path), END_ID)
+    part = F.regexp_extract("file", r"part-(\d+)", 1).cast("int")
+    return materialise(counts.withColumn("file", part))  # the next call writes its files in the same place
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best candidates of every vector whose id is divisible by 100."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
@@ -99,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_url_rules": op7_url_rules,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_token_counts": op9_token_counts,
     "op10_top_k": op10_top_k,
 }
 
