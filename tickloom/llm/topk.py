@@ -38,20 +38,27 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
     return usable.select(usable[id_col].cast("bigint").alias("id"), F.transform(x, lambda v: F.floor(v * F.lit(float(scale))).cast("bigint")).alias("v"))
 
 
+def fingerprint() -> Column:
+    """A digest of the components in the column ``v``."""
+    return F.md5(F.array_join(F.col("v").cast("array<string>"), ","))
+
+
 def _classes(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
-    """One row for each distinct vector: key, v, its k+1 smallest ids, whether a query has it."""
+    """One row for each distinct vector: key, print, v, its k+1 smallest ids, whether a query has it."""
+
     def smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch.sort_values("id").drop_duplicates(["key", "id"])
-            yield batch.groupby("key", sort=False).agg(v=("v", "first"), ids=("id", lambda x: x.head(k + 1).tolist()), asked=("asked", "max")).reset_index()
+            batch = batch.sort_values("id").drop_duplicates(["print", "id"])
+            yield batch.groupby("print", sort=False).agg(v=("v", "first"), ids=("id", lambda x: x.head(k + 1).tolist()), asked=("asked", "max")).reset_index()
 
-    keyed = rows.select(F.md5(F.array_join(F.col("v").cast("array<string>"), ",")).alias("key"), "v", "id", is_query.alias("asked"))
-    partial = keyed.mapInPandas(smallest, "key string, v array<bigint>, ids array<bigint>, asked boolean")
-    return partial.groupBy("key").agg(
+    keyed = rows.select(fingerprint().alias("print"), "v", "id", is_query.alias("asked"))
+    partial = keyed.mapInPandas(smallest, "print string, v array<bigint>, ids array<bigint>, asked boolean")
+    merged = partial.groupBy("print").agg(
         F.first("v").alias("v"),
         F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1).alias("ids"),
         F.max("asked").alias("asked"),
     )
+    return merged.withColumn("key", F.monotonically_increasing_id())
 
 
 def _sliced(rows: DataFrame, lists: int) -> DataFrame:
@@ -70,11 +77,6 @@ def products(queries: list, candidates: list) -> np.ndarray:
     return q @ c.T if bound < 2**63 else (q.astype(object) @ c.astype(object).T).astype(np.int64)
 
 
-def named(keys: pd.Series, at: np.ndarray) -> pd.Series:
-    """Keys at the given places, as plain Python strings."""
-    return pd.Series(keys.to_numpy(dtype=object)[at], dtype=object)
-
-
 def _blocks(classes: DataFrame, asked: DataFrame, lists: int, n_cand: int, n_ask: int, scan, schema: str) -> DataFrame:
     """Run ``scan(queries, candidates)`` on every pair of blocks of each local list."""
     block = lambda n: F.pmod(F.xxhash64("key"), F.lit(n))
@@ -121,9 +123,9 @@ def top_k(
         s = products(q["part"].tolist(), c["part"].tolist())
         top = np.argpartition(-s, best, axis=1)[:, :best] if s.shape[1] > best else np.tile(np.arange(s.shape[1]), (len(q), 1))
         at = np.repeat(np.arange(len(q)), top.shape[1])
-        return pd.DataFrame({"qkey": named(q["key"], at), "ckey": named(c["key"], top.ravel()), "list": q["list"].iloc[0], "part": s[at, top.ravel()]})
+        return pd.DataFrame({"qkey": q["key"].to_numpy()[at], "ckey": c["key"].to_numpy()[top.ravel()], "list": q["list"].iloc[0], "part": s[at, top.ravel()]})
 
-    local = _blocks(classes, asked, lists, n_cand, n_ask, gather, "qkey string, ckey string, list int, part bigint")
+    local = _blocks(classes, asked, lists, n_cand, n_ask, gather, "qkey long, ckey long, list int, part bigint")
     per_list = Window.partitionBy("qkey", "list").orderBy(F.desc("part"), "ckey")
     first = local.withColumn("r", F.row_number().over(per_list)).where(F.col("r") <= best).select("qkey", "ckey").distinct()
     per_query = Window.partitionBy("qkey").orderBy(F.desc("score"), "ckey")
@@ -138,9 +140,9 @@ def top_k(
         cut = q["cutoff"].astype("float64").to_numpy()  # a cutoff beyond 2**53 rounds by less than the 1 that is left as slack
         least = np.where(np.isnan(cut), -np.inf, np.floor(cut / lists) - np.maximum(1, np.abs(cut) * 1e-12))
         i, j = np.nonzero(s >= least[:, None])
-        return pd.DataFrame({"qkey": named(q["key"], i), "ckey": named(c["key"], j), "part": s[i, j], "cutoff": q["cutoff"].astype("Int64").iloc[i].array})
+        return pd.DataFrame({"qkey": q["key"].to_numpy()[i], "ckey": c["key"].to_numpy()[j], "part": s[i, j], "cutoff": q["cutoff"].astype("Int64").iloc[i].array})
 
-    sent = _blocks(classes, informed, lists, n_cand, n_ask, send, "qkey string, ckey string, part bigint, cutoff bigint")
+    sent = _blocks(classes, informed, lists, n_cand, n_ask, send, "qkey long, ckey long, part bigint, cutoff bigint")
     held = sent.groupBy("qkey", "ckey").agg(F.sum("part").alias("seen"), F.count("*").alias("n"), F.first("cutoff").alias("cutoff"))
     upper = F.col("seen") + (lists - F.col("n")) * F.ceil(F.col("cutoff") / F.lit(lists)).cast("bigint")
     open_ = held.where(F.col("cutoff").isNull() | (upper >= F.col("cutoff")))
@@ -148,7 +150,8 @@ def top_k(
     members = scored.join(classes.select(F.col("key").alias("ckey"), "ids"), "ckey").select("qkey", "score", F.explode("ids").alias("vec_id"))
     order = Window.partitionBy("qkey").orderBy(F.desc("score"), "vec_id")
     named = members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= best).drop("r")
-    askers = rows.where(is_query).select(F.md5(F.array_join(F.col("v").cast("array<string>"), ",")).alias("qkey"), F.col("id").alias("query_id")).distinct()
+    askers = rows.where(is_query).select(fingerprint().alias("print"), F.col("id").alias("query_id")).distinct()
+    askers = askers.join(classes.select("print", F.col("key").alias("qkey")), "print").drop("print")
     each = askers.join(named, "qkey").where(F.col("query_id") != F.col("vec_id"))
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return each.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
