@@ -575,7 +575,7 @@ def instant_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", F.convert_timezone(F.lit(zone), F.lit("UTC"), scalars.instant(text).cast("timestamp_ntz")).alias("parsed"))
 
 
-@query("""SELECT 'binance' AS exchange, upper(event_type) AS symbol, epoch_ms(ts) AS ts_event, CASE WHEN user_id % 2 = 0 THEN 'trade' ELSE 'bookTicker' END AS stream,
+@query("""SELECT 'binance' AS exchange, upper(event_type) AS symbol, epoch_us(ts) // 1000 AS ts_event, CASE WHEN user_id % 2 = 0 THEN 'trade' ELSE 'bookTicker' END AS stream,
   CASE WHEN user_id % 2 = 0 THEN value END AS price, CASE WHEN user_id % 2 = 0 THEN 2.5 END AS qty, CASE WHEN user_id % 2 = 0 THEN CASE WHEN user_id % 4 = 0 THEN 'sell' ELSE 'buy' END END AS side,
   CASE WHEN user_id % 2 <> 0 THEN value END AS bid, CASE WHEN user_id % 2 <> 0 THEN value END AS ask, CASE WHEN user_id % 2 = 0 THEN event_id END AS trade_id FROM events""")
 def wire_binance(spark: SparkSession, sf_dir: str) -> DataFrame:
