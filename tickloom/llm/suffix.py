@@ -43,8 +43,8 @@ LENGTH, K = 50, 16
 GAP = 0xFF
 #: Bytes of text handled at once.
 BLOCK = 1 << 19
-#: Bytes of text for each bucket of hashes, and pieces for each bucket of pieces.
-TEXT_A_BUCKET, PIECES_A_BUCKET = 16 << 20, 50_000
+#: Bytes of all texts for each bucket of hashes, and of pieces.
+HASHES, PIECES = 16 << 20, 1 << 20
 #: Windows that can share a minimizer, and columns of a piece around it.
 SPAN = LENGTH - K + 1
 COLUMNS = 2 * LENGTH - K
@@ -123,6 +123,22 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(raw).view(np.int64).ravel())
 
 
+def zipped(docs: DataFrame) -> DataFrame:
+    """The rows with their text compressed, for a shuffle."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            yield batch.assign(text=pd.Series([None if t is None else packer.compress(t.encode("utf-8")) for t in batch["text"]], index=batch.index, dtype=object))
+
+    schema = T.StructType([T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in docs.schema])
+    return docs.mapInPandas(run, schema)
+
+
+def _unzip(data: bytes | None) -> bytes:
+    return b"" if data is None else zstandard.ZstdDecompressor().decompress(data)
+
+
 def _encode(text: str | None) -> bytes:
     return (text or "").encode("utf-8")
 
@@ -176,36 +192,57 @@ def _folded(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h // n) & np.uint64((1 << 40) - 1)).astype(np.int64) * buckets + (h % n).astype(np.int64)
 
 
-def _cut(docs: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
-    """Pieces: (hash, doc_id, start, lead, bytes) for runs of windows of shared minimizers."""
+def _cut(docs: DataFrame, shared: DataFrame, buckets: int, deals: int) -> DataFrame:
+    """Pieces for runs of windows of shared minimizers, packed by ``deal``, a hash of the minimizer.
+
+    Each row holds many pieces: owners, starts, sizes, leads (bytes before the minimizer),
+    and their joined bytes, compressed.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ids = batch["doc_id"].to_numpy(np.int64)
             wanted = [np.sort(np.asarray(x, np.int64)) for x in batch["hashes"]]
-            for block, row, start, origin in blocks([_encode(t) for t in batch["text"]]):
+            held: list[tuple[np.ndarray, ...]] = []
+            for block, row, start, origin in blocks([_unzip(t) for t in batch["text"]]):
                 w, segment, m, at = windows(block, start, places=True)
                 first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (segment[1:] != segment[:-1])]))
                 last = np.append(first[1:], len(w)) - 1
                 seg, folded = segment[first], _folded(m[first], buckets)
                 # look each run up among the hashes of its own document
-                mine, edge = [wanted[r] for r in row], np.searchsorted(seg, np.arange(len(row) + 1))
-                keep = np.concatenate([np.isin(folded[edge[s] : edge[s + 1]], mine[s]) for s in range(len(row))])
+                edge = np.searchsorted(seg, np.arange(len(row) + 1))
+                keep = np.concatenate([np.isin(folded[edge[s] : edge[s + 1]], wanted[r]) for s, r in enumerate(row)])
                 first, last, seg, folded = first[keep], last[keep], seg[keep], folded[keep]
                 a, b = w[first], w[last] + LENGTH
-                raw = block.tobytes()
-                yield pd.DataFrame(
-                    {
-                        "hash": folded,
-                        "doc_id": ids[row[seg]],
-                        "start": a - start[seg] + origin[seg],
-                        "lead": (at[first] - a).astype(np.int32),
-                        "bytes": [raw[x:y] for x, y in zip(a, b, strict=True)],
-                    }
-                )
+                deal = ((folded.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)) % np.uint64(deals)
+                held.append((deal.astype(np.int64), ids[row[seg]], a - start[seg] + origin[seg], (b - a).astype(np.uint8), (at[first] - a).astype(np.uint8), _gather(block, a, b - a)))
+            if not held:
+                continue
+            deal, owner, begin, size, lead = (np.concatenate([h[k] for h in held]) for k in range(5))
+            raw, offset = np.concatenate([h[5] for h in held]), np.cumsum(size, dtype=np.int64) - size
+            order = np.argsort(deal, kind="stable")
+            edges = np.flatnonzero(np.concatenate([[True], np.diff(deal[order]) != 0, [True]])) if len(order) else np.zeros(1, int)
+            parts = [order[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True)]
+            yield pd.DataFrame(
+                {
+                    "deal": [int(deal[p[0]]) for p in parts],
+                    "owners": [_pack(owner[p]) for p in parts],
+                    "starts": [_pack(begin[p]) for p in parts],
+                    "shape": [packer.compress(size[p].tobytes() + lead[p].tobytes()) for p in parts],
+                    "bytes": [packer.compress(_gather(raw, offset[p], size[p].astype(np.int64)).tobytes()) for p in parts],
+                }
+            )
 
     asked = shared.groupBy("doc_id").agg(F.collect_list("hash").alias("hashes"))
-    return docs.join(asked, "doc_id").select("doc_id", "text", "hashes").mapInPandas(run, "hash long, doc_id long, start long, lead int, bytes binary")
+    joined = zipped(docs).join(asked, "doc_id").select("doc_id", "text", "hashes")
+    return joined.mapInPandas(run, "deal long, owners binary, starts binary, shape binary, bytes binary")
+
+
+def _gather(source: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The joined bytes of many slices."""
+    at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - starts, sizes)
+    return source[at]
 
 
 def insert_columns(matrix: np.ndarray, folder: Path) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -247,16 +284,16 @@ def insert_columns(matrix: np.ndarray, folder: Path) -> Iterator[tuple[int, np.n
 
 def _decide(group: pd.DataFrame) -> pd.DataFrame:
     """(doc_id, start, windows): which windows of a piece start in a smaller document too, as bits."""
-    group = group.drop_duplicates(["hash", "doc_id", "start"])
-    ids, lead = group["doc_id"].to_numpy(np.int64), group["lead"].to_numpy(np.int64)
-    sizes = group["bytes"].map(len).to_numpy(np.int64)
-    matrix = np.full((len(group), COLUMNS), GAP, np.uint8)
-    raw = np.frombuffer(b"".join(group["bytes"]), np.uint8)
-    at = np.repeat(np.arange(len(group)), sizes)
+    ids, starts = (np.concatenate([_unpack(x) for x in group[c]]) for c in ("owners", "starts"))
+    shape = [np.frombuffer(_unzip(x), np.uint8).reshape(2, -1) for x in group["shape"]]
+    sizes, lead = np.concatenate(shape, axis=1).astype(np.int64)
+    raw = np.frombuffer(b"".join(map(_unzip, group["bytes"])), np.uint8)
+    matrix = np.full((len(ids), COLUMNS), GAP, np.uint8)
+    at = np.repeat(np.arange(len(ids)), sizes)
     place = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     left = SPAN - 1 - lead  # the minimizer stands at column SPAN - 1
     matrix[at, place + left[at]] = raw
-    bits = np.zeros(len(group), np.int64)
+    bits = np.zeros(len(ids), np.int64)
     far = np.iinfo(np.int64).max
     with tempfile.TemporaryDirectory() as folder:
         for c, order, common in insert_columns(matrix, Path(folder)):
@@ -267,7 +304,7 @@ def _decide(group: pd.DataFrame) -> pd.DataFrame:
             hit = order[fits[order] & (least < own)]
             bits[hit] |= np.int64(1) << (c - left[hit])
     found = bits != 0
-    return pd.DataFrame({"doc_id": ids[found], "start": group["start"].to_numpy(np.int64)[found], "windows": bits[found]})
+    return pd.DataFrame({"doc_id": ids[found], "start": starts[found], "windows": bits[found]})
 
 
 def spans(starts: list[int], bits: list[int], size: int) -> np.ndarray:
@@ -296,11 +333,10 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     total = prints.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     least = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
     copies = prints.join(least, "print").where("doc_id > least").select("doc_id").distinct()
-    buckets = max(16, total // TEXT_A_BUCKET)
-    shared = materialise(_shared_minimizers(named, buckets).join(copies, "doc_id", "left_anti"))
-    pieces = _cut(named, shared, buckets)
-    deal = F.pmod(F.xxhash64("hash"), F.lit(max(16, shared.count() // PIECES_A_BUCKET)))
-    marks = pieces.groupBy(deal.alias("deal")).applyInPandas(_decide, "doc_id long, start long, windows long")
+    buckets = max(16, total // HASHES)
+    shared = _shared_minimizers(named, buckets).join(copies, "doc_id", "left_anti")
+    pieces = _cut(named, shared, buckets, max(16, total // PIECES))
+    marks = pieces.groupBy("deal").applyInPandas(_decide, "doc_id long, start long, windows long")
     parts = marks.groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows"))
     none = F.array().cast("array<long>")
     return parts.select("doc_id", F.lit(False).alias("whole"), "starts", "windows").unionByName(copies.select("doc_id", F.lit(True).alias("whole"), none.alias("starts"), none.alias("windows")))
@@ -318,14 +354,14 @@ def strip_repeats(docs: DataFrame, outputs: tuple[str, ...] = ("kept",), doc_id:
     kinds = {"kept": T.BinaryType(), "kept_text": T.StringType(), "kept_sha256": T.StringType(), "n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType()}
     schema = T.StructType([*[docs.schema[c] for c in keep], *[T.StructField(o, kinds[o]) for o in outputs]])
     found = repeated_spans(docs, doc_id, text)
-    rows = docs.select(*keep, docs[doc_id].cast("long").alias("__id"), docs[text].alias("__text"))
+    rows = zipped(docs.select(*keep, docs[doc_id].cast("long").alias("__id"), docs[text].alias("text")))
     both = rows.join(found.withColumnRenamed("doc_id", "__id"), "__id", "left").drop("__id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made: dict[str, list] = {o: [] for o in outputs}
-            for value, whole, starts, bits in zip(batch["__text"], batch["whole"], batch["starts"], batch["windows"], strict=True):
-                raw = _encode(value)
+            for value, whole, starts, bits in zip(batch["text"], batch["whole"], batch["starts"], batch["windows"], strict=True):
+                raw = _unzip(value)
                 if whole is True or whole == True:  # noqa: E712  numpy's own booleans too
                     cut = np.array([[0, len(raw)]])
                 elif starts is None or not len(starts):
@@ -343,4 +379,4 @@ def strip_repeats(docs: DataFrame, outputs: tuple[str, ...] = ("kept",), doc_id:
                     made[o].append(row[o])
             yield pd.DataFrame({c: batch[c] for c in keep} | {o: pd.Series(v, index=batch.index, dtype=object if isinstance(kinds[o], (T.StringType, T.BinaryType)) else "int64") for o, v in made.items()})
 
-    return both.select(*keep, "__text", "whole", "starts", "windows").mapInPandas(run, schema)
+    return both.select(*keep, "text", "whole", "starts", "windows").mapInPandas(run, schema)
