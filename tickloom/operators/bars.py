@@ -26,7 +26,7 @@ def tick_bars(ticks: DataFrame, seconds: int = 1, fill: str | None = None, keys:
         return F.max_by(value, F.when(value.isNotNull(), order))
 
     priced = F.when(price.isNotNull(), order)
-    grouped = ticks.groupBy(*keys, bucket("ts", seconds).alias("start")).agg(
+    grouped = ticks.groupBy(*keys, F.window("ts", f"{seconds} seconds").alias("in")).agg(  # the window itself, so that a watermark still holds
         F.min_by(price, priced).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
@@ -37,6 +37,7 @@ def tick_bars(ticks: DataFrame, seconds: int = 1, fill: str | None = None, keys:
         last("bid").alias("bid"),
         last("ask").alias("ask"),
     )
+    grouped = grouped.withColumn("start", F.col("in.start")).drop("in")
     if fill == "ffill":
         before = Window.partitionBy(*keys).orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
         known = F.last("close", ignorenulls=True).over(before)

@@ -1,22 +1,17 @@
-"""Schemas of ticks, bars, official bars, violations and anomalies."""
+"""Schemas (as DDL text) of ticks, bars, official bars, violations and anomalies."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
-
-
-TICK = _struct("exchange string, symbol string, ts_event bigint, ts_recv bigint, price double, qty double, side string, bid double, ask double, stream string, trade_id bigint")
-BAR = _struct("exchange string, symbol string, ts timestamp, open double, high double, low double, close double, volume_base double, volume_quote double, trade_count bigint, vwap double, bid double, ask double, spread double")
-KLINE = _struct("symbol string, open_time timestamp, close_time timestamp, open double, high double, low double, close double, volume double, quote_volume double, trades bigint, taker_base_vol double, taker_quote_vol double")
-MACRO = _struct("ticker string, ts timestamp, open double, high double, low double, close double, volume bigint")
-CONNECTION = _struct("event string, exchange string, ts string, reason string, gap_seconds double")
-VIOLATION = _struct("symbol string, ts timestamp, rule string, severity string, detail string, row_sample string")
-ANOMALY = _struct("symbol string, ts timestamp, detector string, features map<string,double>, label string, rationale string, confidence double")
+TICK = "exchange string, symbol string, ts_event bigint, ts_recv bigint, price double, qty double, side string, bid double, ask double, stream string, trade_id bigint"
+BAR = "exchange string, symbol string, ts timestamp, open double, high double, low double, close double, volume_base double, volume_quote double, trade_count bigint, vwap double, bid double, ask double, spread double"
+KLINE = "symbol string, open_time timestamp, close_time timestamp, open double, high double, low double, close double, volume double, quote_volume double, trades bigint, taker_base_vol double, taker_quote_vol double"
+MACRO = "ticker string, ts timestamp, open double, high double, low double, close double, volume bigint"
+CONNECTION = "event string, exchange string, ts string, reason string, gap_seconds double"
+VIOLATION = "symbol string, ts timestamp, rule string, severity string, detail string, row_sample string"
+ANOMALY = "symbol string, ts timestamp, detector string, features map<string,double>, label string, rationale string, confidence double"
 
 #: Columns that every stored bar has.
 BAR_COLUMNS = ("window_start", "symbol", "open", "high", "low", "close", "volume_base", "volume_quote", "trade_count", "vwap", "bid", "ask", "spread")

@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickloom import schemas
 
@@ -20,7 +19,7 @@ def partition_range(start: datetime, end: datetime) -> Column:
     return years & (key >= number(start)) & (key <= number(end))
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, kind: str = "parquet") -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: str, kind: str = "parquet") -> DataFrame:
     """The files under a path with a fixed schema; none at all give an empty frame."""
     try:
         return spark.read.schema(schema).format(kind).load(path)
