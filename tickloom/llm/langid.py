@@ -32,7 +32,7 @@ LONGEST = 32
 #: Probability of a character for which the vocabulary has no piece.
 UNSEEN = 1e-6
 #: Words remembered with their probabilities in each Python worker, and words handled at once.
-MEMO_WORDS, CHUNK = 200_000, 200_000
+MEMO_WORDS, CHUNK = 400_000, 200_000
 
 
 def vocabulary(model_path: str) -> list[str]:
@@ -43,11 +43,16 @@ def vocabulary(model_path: str) -> list[str]:
 
 
 def words_of(text: str | None) -> Iterator[list[str]]:
-    """Marked lower-case words of the whole text, a bounded number at a time."""
-    found = (m.group() for m in WORD.finditer(text.lower())) if text else iter(())
-    cut = ("▁" + w[i : i + LONGEST] for w in found for i in range(0, len(w), LONGEST))
-    while part := list(islice(cut, CHUNK)):
-        yield part
+    """Lower-case words of the whole text, a bounded number at a time."""
+    if not text:
+        return
+    low = text.lower()
+    parts = iter([WORD.findall(low)]) if len(low) < 8 * CHUNK else iter(lambda m=WORD.finditer(low): [x.group() for x in islice(m, CHUNK)], [])
+    for part in parts:
+        if part and len(max(part, key=len)) > LONGEST:
+            part = [w[i : i + LONGEST] for w in part for i in range(0, len(w), LONGEST)]
+        if part:
+            yield part
 
 
 class Lattice:
@@ -61,7 +66,8 @@ class Lattice:
         self.automaton.make_automaton()
 
     def edges(self, words: list[str]) -> tuple[np.ndarray, ...]:
-        """(word, start, end, piece) of every match, and a fall-back edge for every character."""
+        """(word, start, end, piece) of every match in the marked words, and a fall-back edge where a character has none."""
+        words = ["▁" + w for w in words]
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
         hits = np.array(list(self.automaton.iter("".join(words))), dtype=np.int64).reshape(-1, 2)
