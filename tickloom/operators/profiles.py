@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import gap_label, seconds_between
+from tickloom.operators.ordered import with_neighbour
 from tickloom.operators.quality import PRICES
 
 
@@ -24,14 +25,13 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def gap_rows(df: DataFrame, by: list[str], ts: str = "ts", longer_than: float = 1.0) -> DataFrame:
     """Rows whose next row comes later than that many seconds, with the gap."""
-    order = Window.partitionBy(*by).orderBy(ts)
-    return df.withColumn("gap_seconds", seconds_between(F.col(ts), F.lead(ts).over(order))).where(F.col("gap_seconds") > longer_than)
+    near = with_neighbour(df, by, [ts], ts, after=True)
+    return near.withColumn("gap_seconds", seconds_between(ts, f"next_{ts}")).where(F.col("gap_seconds") > longer_than).drop(f"next_{ts}")
 
 
 def gap_profile(df: DataFrame, by: list[str], ts: str = "ts", large: float = 120.0) -> DataFrame:
     """Mean and largest gap and the number of large ones, with the continuity status."""
-    order = Window.partitionBy(*by).orderBy(ts)
-    gaps = df.select(*by, seconds_between(F.lag(ts).over(order), F.col(ts)).alias("gap"))
+    gaps = with_neighbour(df.select(*by, ts), by, [ts], ts).withColumn("gap", seconds_between(f"prev_{ts}", ts))
     made = gaps.groupBy(*by).agg(F.avg("gap").alias("avg_gap"), F.max("gap").alias("max_gap"), F.count_if(F.col("gap") > large).alias("large_gaps"))
     steady = F.col("avg_gap").between(55, 120) & (F.col("large_gaps") < 10)
     return made.withColumn("status", F.when(F.coalesce(steady, F.lit(False)), "PASS").otherwise("WARN"))
@@ -39,8 +39,7 @@ def gap_profile(df: DataFrame, by: list[str], ts: str = "ts", large: float = 120
 
 def continuity(df: DataFrame, by: list[str], step: float, ts: str = "ts") -> DataFrame:
     """Rows, expected rows, gaps over one and a half steps, completeness in percent."""
-    order = Window.partitionBy(*by).orderBy(ts)
-    gaps = df.select(*by, ts, seconds_between(F.lag(ts).over(order), F.col(ts)).alias("gap"))
+    gaps = with_neighbour(df.select(*by, ts), by, [ts], ts).withColumn("gap", seconds_between(f"prev_{ts}", ts))
     made = gaps.groupBy(*by).agg(F.count("*").alias("n_rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count_if(F.col("gap") > 1.5 * step).alias("gaps"))
     made = made.withColumn("expected", (F.floor(seconds_between("first_ts", "last_ts") / step) + 1).cast("bigint"))
     return made.withColumn("completeness", F.col("n_rows") / F.col("expected") * 100)
@@ -48,9 +47,8 @@ def continuity(df: DataFrame, by: list[str], step: float, ts: str = "ts") -> Dat
 
 def gap_markers(df: DataFrame, by: list[str], step: float, ts: str = "ts") -> DataFrame:
     """Rows after a gap of over one and a half steps, labelled with its length."""
-    order = Window.partitionBy(*by).orderBy(ts)
-    gaps = df.withColumn("gap_seconds", seconds_between(F.lag(ts).over(order), F.col(ts))).where(F.col("gap_seconds") > 1.5 * step)
-    return gaps.withColumn("marker", F.concat(F.lit("GAP "), gap_label(F.col("gap_seconds"))))
+    gaps = with_neighbour(df, by, [ts], ts).withColumn("gap_seconds", seconds_between(f"prev_{ts}", ts)).where(F.col("gap_seconds") > 1.5 * step)
+    return gaps.drop(f"prev_{ts}").withColumn("marker", F.concat(F.lit("GAP "), gap_label(F.col("gap_seconds"))))
 
 
 def ohlc_sanity(bars: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import row_sample, seconds_between
+from tickloom.operators.ordered import with_neighbour
 
 PRICES = ("open", "high", "low", "close")
 #: Severity of each rule.
@@ -69,12 +70,12 @@ def rule(name: str) -> Column:
 
 def with_gaps(bars: DataFrame, step_seconds: float = 1, keys: tuple[str, ...] = ("symbol",)) -> DataFrame:
     """Seconds since the bar before of the same key; duplicates give 0."""
-    order = Window.partitionBy(*keys).orderBy("ts")
-    return bars.withColumn("gap_seconds", seconds_between(F.lag("ts").over(order), F.col("ts"))).withColumn("step_seconds", F.lit(float(step_seconds)))
+    near = with_neighbour(bars, keys, ["ts"])
+    return near.withColumn("gap_seconds", seconds_between("prev_ts", "ts")).withColumn("step_seconds", F.lit(float(step_seconds))).drop("prev_ts")
 
 
 def flagged(bars: DataFrame, timeframe_seconds: int = 1) -> DataFrame:
-    """Every bar with the array ``rules`` of those it breaks; one pass and one window."""
+    """Every bar with the array ``rules`` of those it breaks; one window inside each day."""
     gaps = with_gaps(bars, timeframe_seconds)
     names = {n: rule("R5_minute" if n == "R5" and timeframe_seconds == 60 else n) for n in ("R1", "R2", "R3", "R4", "R5", "R6", "NEG_VOL")}
     held = F.array(*[F.when(c, n) for n, c in names.items()])
