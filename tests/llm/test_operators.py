@@ -149,6 +149,24 @@ def test_order_minhash_loses_no_link(spark):
     assert {r.doc_id: r.class_id for r in rows} == {i: root(i) for i in range(len(texts))}
 
 
+def test_large_buckets_lose_no_link(spark, monkeypatch):
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    shared = [word() for _ in range(120)]
+    odd = omh._mix(np.arange(1, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    sketch = lambda t: omh.sketches(omh.shingle_labels(t), odd, 1)[0]
+    made = [" ".join(shared + [word() for _ in range(80)]) for _ in range(90)]
+    names = [sketch(t) for t in made]
+    most = max(set(names), key=names.count)
+    texts = [t for t in made if sketch(t) == most][:30]
+    pairs = {20: texts[20].rsplit(" ", 6)[0], 25: texts[25].rsplit(" ", 9)[0], 3: texts[3].rsplit(" ", 4)[0]}
+    assert len(texts) == 30 and all(sketch(t) == most for t in pairs.values())  # one bucket holds them all
+    rows = list(enumerate(texts)) + [(100 + i, t) for i, t in pairs.items()]
+    monkeypatch.setattr(omh, "SMALL", 2)
+    got = omh.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), count=1, size=1).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i % 100 for i, _ in rows}
+
+
 def test_similarity_is_the_aligned_share():
     a = np.arange(100, dtype=np.uint32)
     assert omh.similarity(a, a) == 1

@@ -7,6 +7,9 @@ with high edit similarity share sketches, texts with the same shingles in anothe
 do not.  In a bucket every member is paired with two hubs (the member found in the most
 and fullest buckets, and the smallest), and small buckets are paired in full, so work
 stays linear in a bucket's size.  A banded alignment of the two label sequences decides.
+Large buckets whose texts this leaves in different classes are then searched exactly:
+texts that reach the similarity share a label among the rarest few of each, so only
+texts of different classes that share such a label are aligned.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import Memo, materialise
@@ -114,11 +117,15 @@ def _fingerprints(docs: DataFrame, count: int, size: int, words: int) -> DataFra
     return docs.mapInPandas(run, "doc_id long, fp binary, n int, sigs array<long>")
 
 
-def candidate_pairs(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Distinct pairs a < b of texts (rep, n, sigs) that share a bucket and could be similar."""
+def entries(texts: DataFrame) -> DataFrame:
+    """(sig, rep, n, size) of texts (rep, n, sigs) in every bucket that holds more than one."""
     entry = texts.select(F.explode("sigs").alias("sig"), "rep", "n")
     held = entry.groupBy("sig").agg(F.count("*").alias("size")).where("size > 1")
-    entry = materialise(entry.join(held, "sig"))
+    return materialise(entry.join(held, "sig"))
+
+
+def candidate_pairs(entry: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Distinct pairs a < b of texts that share a bucket and could be similar: with two hubs, or all of few."""
     fame = entry.groupBy("rep").agg(F.sum("size").alias("fame"))
     entry = entry.join(fame, "rep")
     member = F.struct("rep", "n")
@@ -134,6 +141,42 @@ def candidate_pairs(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     return pair.where(close).select(F.least("one.rep", "other.rep").alias("a"), F.greatest("one.rep", "other.rep").alias("b")).distinct()
 
 
+def remaining_pairs(entry: DataFrame, linked: DataFrame, docs: DataFrame, least: float = SIMILARITY, words: int = WORDS) -> DataFrame | None:
+    """The pairs that ``candidate_pairs`` left out and that could still join two components.
+
+    Texts of large buckets that hold several components take part.  With its labels in
+    order of their frequency among them, a text shares one of the first n - least * n + 1
+    with every text that is similar to it.  In each label's group all but the largest
+    component are paired with the members of other components.  None if no text is left.
+    """
+    part = entry.where(F.col("size") > SMALL).join(linked, F.col("rep") == F.col("node"), "left").select("sig", "rep", F.coalesce("component", "rep").alias("component"))
+    mixed = part.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    left = materialise(part.join(mixed, "sig", "left_semi").select("rep", "component").distinct())
+    if left.isEmpty():
+        return None
+
+    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"rep": batch["doc_id"], "labels": [shingle_labels(t or "", words).view(np.int64) for t in batch["text"]]})
+
+    wanted = left.select(F.col("rep").alias("doc_id"))
+    held = materialise(docs.join(wanted, "doc_id", "left_semi").mapInPandas(label, "rep long, labels array<long>").dropDuplicates(["rep"]))
+    each = held.select("rep", F.size("labels").alias("n"), F.explode("labels").alias("label"))
+    shared = each.groupBy("label").agg(F.count("*").alias("texts")).where("texts > 1")
+    of_text = Window.partitionBy("rep")
+    placed = each.join(shared, "label").withColumn("m", F.count("*").over(of_text)).withColumn("place", F.row_number().over(of_text.orderBy("texts", "label")))
+    # labels of one text alone stand before all others
+    lead = F.col("n") - F.ceil(F.col("n") * F.lit(least - 1e-9)) + 1 - (F.col("n") - F.col("m"))
+    lead_labels = materialise(placed.where(F.col("place") <= lead).join(left, "rep").select("label", "rep", "n", "component"))
+    sizes = lead_labels.groupBy("label", "component").agg(F.count("*").alias("members"))
+    largest = sizes.groupBy("label").agg(F.max_by("component", "members").alias("largest"), F.count("*").alias("components")).where("components > 1")
+    open_ = lead_labels.join(largest.select("label", "largest"), "label")
+    one = open_.where("component <> largest").select("label", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
+    close = F.least("n", "nx") >= F.greatest("n", "nx") * F.lit(least - 1e-9)
+    pair = one.join(open_, "label").where((F.col("cx") != F.col("component")) & close)
+    return pair.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
+
+
 def verified(pairs: DataFrame, docs: DataFrame, least: float = SIMILARITY, words: int = WORDS) -> DataFrame:
     """The pairs whose whole texts align to at least ``least``: a, b, similarity."""
 
@@ -169,8 +212,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     prints = materialise(_fingerprints(named, count, size, words))
     texts = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sigs").alias("sigs"))
     texts = materialise(texts)
-    pairs = materialise(candidate_pairs(texts, least))
-    joined = components(verified(pairs, named, least, words))
+    entry = entries(texts)
+    links = materialise(verified(materialise(candidate_pairs(entry, least)), named, least, words).select("a", "b"))
+    joined = components(links)
+    rest = remaining_pairs(entry, joined, named, least, words)
+    if rest is not None:
+        more = materialise(verified(materialise(rest), named, least, words).select("a", "b"))
+        if not more.isEmpty():
+            joined = components(links.union(more))
     of_text = texts.join(joined, texts["rep"] == joined["node"], "left").select("fp", F.coalesce("component", "rep").alias("class_id"))
     classes = prints.select("doc_id", "fp").join(of_text, "fp").select("doc_id", "class_id")
     return classes.unionByName(rows.where(F.col("doc_id").isNull()).select("doc_id", F.lit(None).cast("long").alias("class_id")))
