@@ -144,10 +144,11 @@ def candidate_pairs(entry: DataFrame, least: float = SIMILARITY) -> DataFrame:
 def remaining_pairs(entry: DataFrame, linked: DataFrame, docs: DataFrame, least: float = SIMILARITY, words: int = WORDS) -> DataFrame | None:
     """The pairs that ``candidate_pairs`` left out and that could still join two components.
 
-    Texts of large buckets that hold several components take part.  With its labels in
-    order of their frequency among them, a text shares one of the first n - least * n + 1
-    with every text that is similar to it.  In each label's group all but the largest
-    component are paired with the members of other components.  None if no text is left.
+    Texts of large buckets that hold several components take part, their labels in order
+    of frequency among them.  Similar texts of n labels together have
+    least / (1 + least) * n in common, so at the first of these in that order both must
+    have as many labels left.  In each label's group all but the largest component are
+    paired with the members of other components.  None if no text is left.
     """
     part = entry.where(F.col("size") > SMALL).join(linked, F.col("rep") == F.col("node"), "left").select("sig", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = part.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
@@ -165,15 +166,18 @@ def remaining_pairs(entry: DataFrame, linked: DataFrame, docs: DataFrame, least:
     shared = each.groupBy("label").agg(F.count("*").alias("texts")).where("texts > 1")
     of_text = Window.partitionBy("rep")
     placed = each.join(shared, "label").withColumn("m", F.count("*").over(of_text)).withColumn("place", F.row_number().over(of_text.orderBy("texts", "label")))
-    # labels of one text alone stand before all others
-    lead = F.col("n") - F.ceil(F.col("n") * F.lit(least - 1e-9)) + 1 - (F.col("n") - F.col("m"))
-    lead_labels = materialise(placed.where(F.col("place") <= lead).join(left, "rep").select("label", "rep", "n", "component"))
-    sizes = lead_labels.groupBy("label", "component").agg(F.count("*").alias("members"))
+    # labels of one text alone stand before all others; ``after`` counts a label and those behind it
+    placed = placed.withColumn("after", F.col("m") - F.col("place") + 1)
+    need = lambda n: n * F.lit(least / (1 + least)) - 1e-6  # noqa: E731  labels in common, of n in both texts
+    lead = materialise(placed.where(F.col("after") >= need(F.col("n") * (1 + least))).join(left, "rep").select("label", "rep", "n", "component", "after"))
+    short = lead.groupBy("label").agg(F.min("n").alias("shortest"))
+    lead = lead.join(short, "label").where(F.col("after") >= need(F.col("n") + F.greatest("shortest", F.col("n") * least)))
+    sizes = lead.groupBy("label", "component").agg(F.count("*").alias("members"))
     largest = sizes.groupBy("label").agg(F.max_by("component", "members").alias("largest"), F.count("*").alias("components")).where("components > 1")
-    open_ = lead_labels.join(largest.select("label", "largest"), "label")
-    one = open_.where("component <> largest").select("label", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    close = F.least("n", "nx") >= F.greatest("n", "nx") * F.lit(least - 1e-9)
-    pair = one.join(open_, "label").where((F.col("cx") != F.col("component")) & close)
+    open_ = lead.join(largest.select("label", "largest"), "label").drop("shortest")
+    one = open_.where("component <> largest").select("label", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("after").alias("ax"))
+    could = (F.least("after", "ax") >= need(F.col("n") + F.col("nx"))) & (F.least("n", "nx") >= F.greatest("n", "nx") * F.lit(least - 1e-9))
+    pair = one.join(open_, "label").where((F.col("cx") != F.col("component")) & could)
     return pair.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
 
 
