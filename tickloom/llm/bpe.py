@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tickloom.llm.common import Memo
 
 #: Entries kept in each memo of a Python worker before it starts afresh.
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 150_000
 #: Pre-tokens longer than this are encoded each time, not remembered.
 MEMO_CHARS = 64
 #: Pre-tokens handled at once, so that a very long text needs no list of all of them.
@@ -138,6 +138,11 @@ class BytePairCodec:
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(self.encode_chunks(text)))
 
+    def forget(self) -> None:
+        """Give the memory of what texts taught back; the vocabulary stays."""
+        self.pieces.forget()
+        self.fits.forget()
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
@@ -212,5 +217,6 @@ def transcode(
                 for o in outputs:
                     rows[o].append(made[o])
             yield pd.DataFrame({k: batch[k] for k in names} | rows)
+        bpe.forget()
 
     return docs.select(*keep, docs[text].alias("__text")).mapInPandas(run, schema)

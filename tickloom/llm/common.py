@@ -50,3 +50,8 @@ class Memo(dict):
             self.clear()
         self[key] = value
         return value
+
+    def forget(self) -> None:
+        """Give the memory back, at the end of a task whose worker lives on."""
+        self.clear()
+        self.older = {}

@@ -113,6 +113,7 @@ def _fingerprints(docs: DataFrame, count: int, size: int, words: int) -> DataFra
                 ns.append(len(labels))
                 sigs.append(sketches(labels, odd, size) if len(labels) else [])
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps, "n": ns, "sigs": sigs})
+        _words.forget()
 
     return docs.mapInPandas(run, "doc_id long, fp binary, n int, sigs array<long>")
 
@@ -159,6 +160,7 @@ def remaining_pairs(entry: DataFrame, linked: DataFrame, docs: DataFrame, least:
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"rep": batch["doc_id"], "labels": [shingle_labels(t or "", words).view(np.int64) for t in batch["text"]]})
+        _words.forget()
 
     wanted = left.select(F.col("rep").alias("doc_id"))
     held = materialise(docs.join(wanted, "doc_id", "left_semi").mapInPandas(label, "rep long, labels array<long>").dropDuplicates(["rep"]))
@@ -187,6 +189,7 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float = SIMILARITY, words
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"rep": batch["doc_id"], "labels": [shingle_labels(t or "", words).astype(np.uint32).tobytes() for t in batch["text"]]})
+        _words.forget()
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     labels = docs.join(wanted, "doc_id", "left_semi").mapInPandas(label, "rep long, labels binary")

@@ -233,12 +233,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[Column
     a text without hits.  Repeated rows and null ids stay; ``keep`` may be all columns.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep, docs[text].alias("__text"))
+    kept = any(isinstance(k, str) and k == text for k in keep)  # then it need not travel twice
+    rows, read = (docs.select(*keep), text) if kept else (docs.select(*keep, docs[text].alias("__text")), "__text")
     schema = T.StructType([*[f for f in rows.schema if f.name != "__text"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            p = shared.value.scores(batch["__text"].tolist())
-            yield batch.drop(columns="__text").assign(score=p, predicted=(p >= threshold).astype("int32"))
+            p = shared.value.scores(batch[read].tolist())
+            yield batch.drop(columns="__text", errors="ignore").assign(score=p, predicted=(p >= threshold).astype("int32"))
 
     return rows.mapInPandas(run, schema)
