@@ -168,6 +168,15 @@ def test_report_and_schema(spark):
     assert schemas.column_difference(clean_bars(spark), schemas.BAR_COLUMNS) == {"missing": ["window_start"], "extra": ["exchange", "ts"]}
 
 
+def test_chain_judges_all_violations(spark):
+    early = clean_bars(spark).limit(1).crossJoin(spark.range(30)).withColumn("ts", F.col("ts") + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))).drop("id").withColumn("high", F.lit(99.0))
+    frame = early.unionByName(early.limit(3).withColumn("symbol", F.lit("T")))
+    stages = qa.chain(frame, 1)
+    assert {r.symbol: (r.critical, r.verdict) for r in stages["fused"].collect()} == {"S": (30, "FAIL"), "T": (3, "FAIL")}
+    assert stages["violations"].count() == 25 and {r.rule: r.violations for r in stages["violation_counts"].collect()} == {"R1": 33}
+    assert "| R1 | critical | 33 |" in qa.report(stages, "2025-01-01")
+
+
 def test_preview_depends_on_the_last_printed_row(spark):
     rows = [("S", "JUMP", T0 + timedelta(seconds=t), 7.0) for t in (0, 1, 2, 3, 4)]
     shown = detect.preview(spark.createDataFrame(rows, "symbol string, detector string, ts timestamp, z double"), 2).orderBy("ts").collect()

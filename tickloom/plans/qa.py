@@ -68,12 +68,16 @@ def bursts(labelled: DataFrame, config: QaConfig) -> DataFrame:
 
 
 def chain(bars: DataFrame, timeframe_seconds: int, config: QaConfig | None = None) -> dict[str, DataFrame]:
-    """All stages as one lineage: violations, anomalies, bursts, fused."""
+    """All stages as one lineage: violations, violation_counts, anomalies, bursts, fused.
+
+    ``max_rows`` bounds only the listed violations; masks, counts and verdicts use all.
+    """
     config = config or QaConfig()
-    broken = quality.violations(bars, timeframe_seconds, config.max_rows)
+    broken = quality.violations(bars, timeframe_seconds, None)
     found = anomalies(bars, broken, config)
     fused = fusion.fuse(bars.select("symbol").distinct(), broken, found)
-    return {"violations": broken, "anomalies": found, "bursts": bursts(found, config), "fused": fused}
+    listed = quality.violations(bars, timeframe_seconds, config.max_rows)
+    return {"violations": listed, "violation_counts": quality.violation_counts(broken), "anomalies": found, "bursts": bursts(found, config), "fused": fused}
 
 
 def report(stages: dict[str, DataFrame], day: str, top: int = 10) -> str:
@@ -88,7 +92,7 @@ def report(stages: dict[str, DataFrame], day: str, top: int = 10) -> str:
         f"# Data quality, {day}\n",
         section("Summary", fusion.fusion_summary(fused)),
         section("Verdicts", fused.select("symbol", "verdict", "score", "critical", "major", "minor", "anomalies").orderBy("score", "symbol")),
-        section("Violations", quality.violation_counts(stages["violations"])),
+        section("Violations", stages["violation_counts"]),
         section("Anomalies by detector", detect.counts(stages["anomalies"]).orderBy(F.desc("anomalies"))),
         section("Busiest symbols", detect.weighted_counts(stages["bursts"]).limit(top)),
     ]
