@@ -104,6 +104,24 @@ def test_suffix_on_hard_texts(spark, monkeypatch):
     assert {r.doc_id: (bytes(r.kept), r.n_spans) for r in got} == wanted
 
 
+@pytest.mark.parametrize("hot", [5, 1 << 15])
+def test_suffix_of_a_passage_that_all_hold(spark, monkeypatch, hot):
+    rnd = random.Random(4)
+    made = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    line, passage = made(60), made(400)
+    rows = [(i, f"{made(80)}{line}{made(80)}{passage}{made(60)}") for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    monkeypatch.setattr(suffix, "HOT", hot, raising=False)
+    got = suffix.strip_repeats(frame, ("kept", "n_spans")).collect()
+    assert {r.doc_id: (bytes(r.kept), r.n_spans) for r in got} == brute_removal([(i, t.encode()) for i, t in rows])
+    pieces = suffix._cut(frame, suffix._shared_minimizers(frame, 16), 16, 1 << 16).where("deal >= 0").collect()
+    sizes = {}
+    for r in pieces:
+        sizes[r.deal] = sizes.get(r.deal, 0) + len(suffix._unpack(r.owners))
+    # of equal pieces only a batch's smallest document's travel; a hot minimizer's windows spread too
+    assert sum(n >= 150 for n in sizes.values()) <= (0 if hot == 5 else 6)
+
+
 def test_columns_sort_suffixes(tmp_path):
     rng = np.random.default_rng(1)
     matrix = rng.integers(97, 100, (60, suffix.COLUMNS), dtype=np.uint8)

@@ -8,7 +8,9 @@ dealt out by minimizer and never miss each other:
 1. documents send the hashes of their minimizers, packed by bucket of hash; a bucket
    answers which of them occur in more than one document;
 2. documents cut out the runs of windows of those minimizers, as pieces of at most
-   2 * LENGTH bytes aligned at the minimizer;
+   2 * LENGTH bytes aligned at the minimizer; of equal pieces in a batch only the smallest
+   document's travel, for the others' windows all repeat.  Windows of a minimizer that very
+   many documents share are pieces of their own, dealt by all their bytes;
 3. each bucket of pieces builds its collection's Burrows-Wheeler transform and common
    prefixes column by column from the right: every round inserts one symbol of each
    piece, re-sorts the order of the round before stably by it, and updates the common
@@ -48,6 +50,8 @@ HASHES, PIECES = 16 << 20, 1 << 20
 #: Windows that can share a minimizer, and columns of a piece around it.
 SPAN = LENGTH - K + 1
 COLUMNS = 2 * LENGTH - K
+#: Documents that share a minimizer before its windows are dealt one by one; pieces handled at once.
+HOT, CHUNK = 1 << 15, 1 << 14
 
 _BASE = 0x100000001B3
 
@@ -104,9 +108,9 @@ def blocks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         yield made()
 
 
-def windows(block: np.ndarray, start: np.ndarray, places: bool = False):
+def windows(block: np.ndarray, start: np.ndarray, places: bool = False, hashes: np.ndarray | None = None):
     """Start of each whole window, its segment, its minimizer's hash and place."""
-    m, at = window_minima(kmer_hashes(block), SPAN, places)
+    m, at = window_minima(kmer_hashes(block) if hashes is None else hashes, SPAN, places)
     ends = np.append(start[1:] - 1, len(block))
     count = ends - start - LENGTH + 1
     segment = np.repeat(np.arange(len(start)), count)
@@ -144,7 +148,8 @@ def _encode(text: str | None) -> bytes:
 
 
 def _shared_minimizers(docs: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, hash) of minimizers that occur in more than one document."""
+    """(doc_id, hash) of minimizers that occur in more than one document; ~hash if in more than ``HOT``."""
+    hot = HOT
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -180,7 +185,9 @@ def _shared_minimizers(docs: DataFrame, buckets: int) -> DataFrame:
         shared = np.repeat(d[first] != d[last], last - first + 1)
         fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])])
         keep = shared & fresh
-        return pd.DataFrame({"doc_id": d[keep], "hash": h[keep] * buckets + group["bucket"].iloc[0]})
+        many = np.repeat(np.add.reduceat(fresh.astype(np.int64), first) > hot, last - first + 1)
+        folded = h * buckets + group["bucket"].iloc[0]
+        return pd.DataFrame({"doc_id": d[keep], "hash": np.where(many, ~folded, folded)[keep]})
 
     sent = docs.mapInPandas(send, "bucket long, hashes binary, owners binary")
     return sent.groupBy("bucket").applyInPandas(answer, "doc_id long, hash long")
@@ -196,17 +203,21 @@ def _cut(docs: DataFrame, shared: DataFrame, buckets: int, deals: int) -> DataFr
     """Pieces for runs of windows of shared minimizers, packed by ``deal``, a hash of the minimizer.
 
     Each row holds many pieces: owners, starts, sizes, leads (bytes before the minimizer),
-    and their joined bytes, compressed.
+    and their joined bytes, compressed.  A negative ``deal`` has pieces without bytes, all of
+    whose windows start in a smaller document of the same batch.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ids = batch["doc_id"].to_numpy(np.int64)
-            wanted = [np.sort(np.asarray(x, np.int64)) for x in batch["hashes"]]
+            wanted = [np.asarray(x, np.int64) for x in batch["hashes"]]
+            hot = [~x[x < 0] for x in wanted]
+            wanted = [np.where(x < 0, ~x, x) for x in wanted]
             held: list[tuple[np.ndarray, ...]] = []
             for block, row, start, origin in blocks([_unzip(t) for t in batch["text"]]):
-                w, segment, m, at = windows(block, start, places=True)
+                v = kmer_hashes(block)
+                w, segment, m, at = windows(block, start, places=True, hashes=v)
                 first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (segment[1:] != segment[:-1])]))
                 last = np.append(first[1:], len(w)) - 1
                 seg, folded = segment[first], _folded(m[first], buckets)
@@ -214,14 +225,36 @@ def _cut(docs: DataFrame, shared: DataFrame, buckets: int, deals: int) -> DataFr
                 edge = np.searchsorted(seg, np.arange(len(row) + 1))
                 keep = np.concatenate([np.isin(folded[edge[s] : edge[s + 1]], wanted[r]) for s, r in enumerate(row)])
                 first, last, seg, folded = first[keep], last[keep], seg[keep], folded[keep]
+                many = np.zeros(len(first), bool)
+                if any(map(len, hot)):
+                    edge = np.searchsorted(seg, np.arange(len(row) + 1))
+                    many = np.concatenate([np.isin(folded[edge[s] : edge[s + 1]], hot[r]) for s, r in enumerate(row)])
+                    count = np.where(many, last - first + 1, 1)  # a piece for each window
+                    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                    first, last, seg, folded, many = (np.repeat(x, count) for x in (first, last, seg, folded, many))
+                    first = first + step
+                    last = np.where(many, first, last)
                 a, b = w[first], w[last] + LENGTH
-                deal = ((folded.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)) % np.uint64(deals)
-                held.append((deal.astype(np.int64), ids[row[seg]], a - start[seg] + origin[seg], (b - a).astype(np.uint8), (at[first] - a).astype(np.uint8), _gather(block, a, b - a)))
+                whole = _piece_hashes(v, a, b)
+                deal = ((np.where(many, whole, folded.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)) % np.uint64(deals)
+                held.append((deal.astype(np.int64), ids[row[seg]], a - start[seg] + origin[seg], (b - a).astype(np.uint8), (at[first] - a).astype(np.uint8), _gather(block, a, b - a), whole))
             if not held:
                 continue
             deal, owner, begin, size, lead = (np.concatenate([h[k] for h in held]) for k in range(5))
             raw, offset = np.concatenate([h[5] for h in held]), np.cumsum(size, dtype=np.int64) - size
+            known = _later_copies(np.concatenate([h[6] for h in held]), deal, owner, size, lead, raw, offset)
+            if known.any():
+                yield pd.DataFrame(
+                    {
+                        "deal": [-1 - int(owner[known][0]) % deals],
+                        "owners": [_pack(owner[known])],
+                        "starts": [_pack(begin[known])],
+                        "shape": [packer.compress(size[known].tobytes() + lead[known].tobytes())],
+                        "bytes": [packer.compress(b"")],
+                    }
+                )
             order = np.argsort(deal, kind="stable")
+            order = order[~known[order]]
             edges = np.flatnonzero(np.concatenate([[True], np.diff(deal[order]) != 0, [True]])) if len(order) else np.zeros(1, int)
             parts = [order[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True)]
             yield pd.DataFrame(
@@ -239,6 +272,32 @@ def _cut(docs: DataFrame, shared: DataFrame, buckets: int, deals: int) -> DataFr
     return joined.mapInPandas(run, "deal long, owners binary, starts binary, shape binary, bytes binary")
 
 
+def _piece_hashes(v: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of all bytes of each piece [a, b), from the hashes ``v`` of k-mers that cover it."""
+    h = (b - a).astype(np.uint64)
+    for k in range(0, COLUMNS, K):
+        h = h * np.uint64(_BASE) + v[np.minimum(a + k, b - K)]
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def _later_copies(whole: np.ndarray, deal: np.ndarray, owner: np.ndarray, size: np.ndarray, lead: np.ndarray, raw: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """Which pieces equal one of a smaller document, byte by byte and at the same minimizer."""
+    order = np.lexsort((owner, whole))
+    h = whole[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    head = order[np.repeat(first, np.diff(np.append(first, len(h))))]
+    likely = (owner[head] < owner[order]) & (deal[head] == deal[order]) & (size[head] == size[order]) & (lead[head] == lead[order])
+    x, y = order[likely], head[likely]
+    found = np.zeros(len(whole), bool)
+    for k in range(0, len(x), CHUNK):
+        p, q = x[k : k + CHUNK], y[k : k + CHUNK]
+        n = size[p].astype(np.int64)
+        same = _gather(raw, offset[p], n) == _gather(raw, offset[q], n)
+        found[p] = np.logical_and.reduceat(same, np.cumsum(n) - n)
+    return found
+
+
 def _gather(source: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The joined bytes of many slices."""
     at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - starts, sizes)
@@ -283,16 +342,37 @@ def insert_columns(matrix: np.ndarray, folder: Path) -> Iterator[tuple[int, np.n
 
 
 def _decide(group: pd.DataFrame) -> pd.DataFrame:
-    """(doc_id, start, windows): which windows of a piece start in a smaller document too, as bits."""
+    """(doc_id, start, windows): which windows of a piece start in a smaller document too, as bits.
+
+    Only distinct pieces are sorted, each for the smallest of its documents.
+    """
     ids, starts = (np.concatenate([_unpack(x) for x in group[c]]) for c in ("owners", "starts"))
     shape = [np.frombuffer(_unzip(x), np.uint8).reshape(2, -1) for x in group["shape"]]
     sizes, lead = np.concatenate(shape, axis=1).astype(np.int64)
+    every = (np.int64(1) << (sizes - LENGTH + 1)) - 1
+    if group["deal"].iloc[0] < 0:
+        return pd.DataFrame({"doc_id": ids, "start": starts, "windows": every})
     raw = np.frombuffer(b"".join(map(_unzip, group["bytes"])), np.uint8)
     matrix = np.full((len(ids), COLUMNS), GAP, np.uint8)
-    at = np.repeat(np.arange(len(ids)), sizes)
-    place = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    offset = np.cumsum(sizes) - sizes
     left = SPAN - 1 - lead  # the minimizer stands at column SPAN - 1
-    matrix[at, place + left[at]] = raw
+    for k in range(0, len(ids), CHUNK):
+        n = sizes[k : k + CHUNK]
+        at = np.repeat(np.arange(len(n)), n)
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        matrix[k + at, place + left[k + at]] = raw[offset[k] : offset[k] + n.sum()]
+    del raw
+    _, one, of = np.unique(matrix.view(np.dtype((np.void, COLUMNS))).ravel(), return_index=True, return_inverse=True)
+    least = np.full(len(one), np.iinfo(np.int64).max)
+    np.minimum.at(least, of, ids)
+    matrix = matrix[one]
+    bits = np.where(ids > least[of], every, _repeats(matrix, least, left[one], sizes[one])[of])
+    found = bits != 0
+    return pd.DataFrame({"doc_id": ids[found], "start": starts[found], "windows": bits[found]})
+
+
+def _repeats(matrix: np.ndarray, ids: np.ndarray, left: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Of each piece, the windows that a piece of a smaller document holds too, as bits."""
     bits = np.zeros(len(ids), np.int64)
     far = np.iinfo(np.int64).max
     with tempfile.TemporaryDirectory() as folder:
@@ -303,8 +383,7 @@ def _decide(group: pd.DataFrame) -> pd.DataFrame:
             least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.append(first, len(order))))
             hit = order[fits[order] & (least < own)]
             bits[hit] |= np.int64(1) << (c - left[hit])
-    found = bits != 0
-    return pd.DataFrame({"doc_id": ids[found], "start": starts[found], "windows": bits[found]})
+    return bits
 
 
 def spans(starts: list[int], bits: list[int], size: int) -> np.ndarray:
