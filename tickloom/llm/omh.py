@@ -1,40 +1,49 @@
 """Near-duplicates by Order MinHash with a banded alignment of the candidates.
 
-A text is its sequence of five-word shingles, each labelled with its occurrence number,
-so that labels are unique in a text.  A sketch takes the few labels that are smallest
-under a random order and keeps them in text order; equal sketches make a bucket.  Texts
-with high edit similarity share sketches, texts with the same shingles in another order
-do not.  In a bucket every member is paired with two hubs (the member found in the most
-and fullest buckets, and the smallest), and small buckets are paired in full, so work
-stays linear in a bucket's size.  A banded alignment of the two label sequences decides.
-Large buckets whose texts this leaves in different classes are then searched exactly:
-texts that reach the similarity share a label among the rarest few of each, so only
-texts of different classes that share such a label are aligned.
+A text is a sequence of words (characters in scripts without spaces).  Its five-word
+shingles are labelled with their occurrence number, so that labels are unique in a text.
+A sketch takes the few labels that are smallest under a random order and keeps them in
+text order; equal sketches make a bucket.  Texts with high edit similarity share
+sketches, texts with the same shingles in another order do not.  Short texts have
+sketches of two-word shingles too, because one edit breaks most of their five-word ones.
+
+In a bucket every member is paired with two hubs (the one found in the
+most and fullest buckets, and the smallest), and small buckets are paired in full, so work stays linear in a bucket's
+size.  A banded alignment of the two word sequences decides.  Large buckets whose texts
+this leaves in different classes are then searched exactly: texts that reach the
+similarity share a word among the rarest few of each, so only texts of different classes
+that share such a word are aligned.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import Memo, materialise
+from tickloom.llm.common import Memo, lean, materialise, small_batches
 from tickloom.llm.components import components
 
-WORD = re.compile(r"\w+")
+#: Thai to Myanmar, Khmer, Kana and Han: scripts without spaces, where each character counts as a word.
+SPACELESS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+SOME, UNIT, WORD = re.compile(f"[{SPACELESS}]"), re.compile(f"[{SPACELESS}]|[^\\W{SPACELESS}]+"), re.compile(r"\w+")
 #: Sketches of a text, labels in a sketch, words in a shingle, least similarity.
-SKETCHES, LABELS, WORDS, SIMILARITY = 12, 3, 5, 0.8
+SKETCHES, LABELS, WORDS, SIMILARITY = 20, 2, 5, 0.8
+#: Texts of fewer words than this, or with such a partner, have sketches of two-word shingles too.
+SHORT = 30
 #: Buckets of at most so many texts are paired in full.
 SMALL = 8
+#: Counters that order words by frequency in the exact search; collisions only change the order.
+COUNTERS = 1 << 18
 
-_words = Memo(lambda w: xxhash.xxh3_64_intdigest(w.encode()), 150_000)
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_words = Memo(lambda w: xxhash.xxh3_64_intdigest(w.encode()), 100_000)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -43,12 +52,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_labels(text: str, words: int = WORDS) -> np.ndarray:
-    """Occurrence-labelled shingle hashes in text order; a shorter text is one shingle."""
-    found = WORD.findall(text.lower())
-    if not found:
-        return np.zeros(0, np.uint64)
-    w = np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the lower-case words of a whole text, in order."""
+    low = (text or "").lower()
+    found = UNIT.findall(low) if SOME.search(low) else WORD.findall(low)
+    return np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
+
+
+def shingle_labels(w: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """Occurrence-labelled hashes of the shingles of a word sequence; a shorter one is one shingle."""
+    if not len(w):
+        return w
     size = min(words, len(w))
     h = np.zeros(len(w) - size + 1, np.uint64)
     for k in range(size):
@@ -59,97 +73,136 @@ def shingle_labels(text: str, words: int = WORDS) -> np.ndarray:
     nth = np.arange(len(h)) - np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))
     occurrence = np.empty(len(h), np.uint64)
     occurrence[order] = nth.astype(np.uint64)
-    return _mix(h + occurrence * np.uint64(0x9E3779B97F4A7C15))
+    return _mix(h + occurrence * _GOLDEN)
+
+
+def orders(count: int) -> np.ndarray:
+    """Odd multipliers; each puts labels in a random order."""
+    return _mix(np.arange(1, count + 1, dtype=np.uint64) * _GOLDEN) | np.uint64(1)
 
 
 def sketches(labels: np.ndarray, odd: np.ndarray, size: int = LABELS) -> list[int]:
     """For each random order the smallest labels, in text order, hashed to one number."""
     values = labels[None, :] * odd[:, None]
-    if len(labels) > size:
-        at = np.sort(np.argpartition(values, size - 1, axis=1)[:, :size], axis=1)
-    else:
-        at = np.tile(np.arange(len(labels)), (len(odd), 1))
+    row = np.arange(len(odd))
+    at = np.empty((len(odd), min(size, len(labels))), np.int64)
+    for k in range(at.shape[1]):
+        at[:, k] = values.argmin(axis=1)
+        values[row, at[:, k]] = np.iinfo(np.uint64).max
+    at.sort(axis=1)
     out = odd.copy()
     for k in range(at.shape[1]):
         out = _mix(out + labels[at[:, k]])
     return out.view(np.int64).tolist()
 
 
-def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Aligned labels over all labels of either text; 0 where it cannot reach ``least``.
+def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """Words that the best alignment of two sequences pairs, inside a band of so many places.
 
-    Labels are unique in a text, so the alignment is the longest chain of equal labels
-    that rises in both, inside the band that a similarity of ``least`` allows.
+    Bit-parallel: a zero in ``row`` stands for one more common word up to that place of
+    ``a``; only the places of ``a`` inside the band are kept, those behind it are counted.
     """
-    n, band = len(a) + len(b), int((len(a) + len(b)) * (1 - least) / (1 + least)) + 1
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if len(i) < least / (1 + least) * n - 1e-9:
+    at: dict[int, int] = {}
+    for i, w in enumerate(a.tolist()):
+        at[w] = at.get(w, 0) | 1 << i
+    row, low, high, passed = 0, 0, 0, 0
+    for j, w in enumerate(b.tolist()):
+        top = min(len(a), j + band + 1)
+        if top > high:
+            row |= ((1 << top - high) - 1) << high - low
+            high = top
+        gone = min(j - band - low, high - low)
+        if gone > 0:
+            passed += gone - (row & (1 << gone) - 1).bit_count()
+            row >>= gone
+            low += gone
+        match = at.get(w)
+        if match is not None:
+            whole = (1 << high - low) - 1
+            up = row & match >> low & whole
+            row = (row + up | row - up) & whole
+    return passed + high - low - row.bit_count()
+
+
+def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
+    """Aligned words over all words of either text; 0 where it cannot reach ``least``."""
+    n = len(a) + len(b)
+    need, band = least / (1 + least) * n - 1e-9, int(n * (1 - least) / (1 + least)) + 1
+    if min(len(a), len(b)) < need:
         return 0.0
-    j = j[np.argsort(i, kind="stable")]
-    i = np.sort(i)
-    j = j[np.abs(i - j) <= band]
-    if len(j) > 1 and (np.diff(j) < 0).any():
-        tails: list[int] = []
-        for x in j.tolist():
-            k = bisect_left(tails, x)
-            tails[k : k + 1] = [x]
-        chain = len(tails)
-    else:
-        chain = len(j)
-    return chain / (n - chain) if n > chain else 1.0
+    size = min(len(a), len(b))
+    apart = np.flatnonzero(a[:size] != b[:size])
+    head = int(apart[0]) if len(apart) else size
+    apart = np.flatnonzero(a[::-1][: size - head] != b[::-1][: size - head])
+    tail = int(apart[0]) if len(apart) else size - head
+    x, y = a[head : len(a) - tail], b[head : len(b) - tail]
+    common = head + tail
+    if len(x) and len(y):
+        u, nu = np.unique(x, return_counts=True)
+        v, nv = np.unique(y, return_counts=True)
+        _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
+        if common + np.minimum(nu[i], nv[j]).sum() < need:  # words in common in any order
+            return 0.0
+        common += aligned(x, y, band)
+    return common / (n - common) if common >= need else 0.0
 
 
 def _fingerprints(docs: DataFrame, count: int, size: int, words: int) -> DataFrame:
-    """(doc_id, fp, n, sigs): hash of the label sequence, its length, its sketches."""
-    odd = _mix(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    """(doc_id, text_hash, fp, n, sigs): hash of the text, of the word sequence, words, sketches."""
+    odd, other = orders(2 * count)[:count], orders(2 * count)[count:]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fps, ns, sigs = [], [], []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                labels = shingle_labels(text or "", words)
-                raw = labels.tobytes() if len(labels) else (f"null {doc_id}" if text is None else f"text {text}").encode()
+                w = word_hashes(text)
+                raw = w.tobytes() if len(w) else (f"null {doc_id}" if text is None else f"text {text}").encode()
                 fps.append(hashlib.blake2b(raw, digest_size=16).digest())
-                ns.append(len(labels))
-                sigs.append(sketches(labels, odd, size) if len(labels) else [])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps, "n": ns, "sigs": sigs})
+                ns.append(len(w))
+                own = sketches(shingle_labels(w, words), odd, size) if len(w) >= words else []
+                if 1 < len(w) < SHORT / SIMILARITY + 1:
+                    own += sketches(shingle_labels(w, 2), other, size)
+                sigs.append(own)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "fp": fps, "n": ns, "sigs": sigs})
         _words.forget()
 
-    return docs.mapInPandas(run, "doc_id long, fp binary, n int, sigs array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInPandas(lean(run), "doc_id long, text_hash long, fp binary, n int, sigs array<long>")
 
 
 def entries(texts: DataFrame) -> DataFrame:
-    """(sig, rep, n, size) of texts (rep, n, sigs) in every bucket that holds more than one."""
+    """(sig, rep, n, size, low, hub) of texts (rep, n, sigs) in every bucket that holds more than one.
+
+    ``low`` is the bucket's text with the smallest id, ``hub`` the one in the most and
+    fullest buckets, which stands nearest to the centre of a group of copies.
+    """
     entry = texts.select(F.explode("sigs").alias("sig"), "rep", "n")
     held = entry.groupBy("sig").agg(F.count("*").alias("size")).where("size > 1")
-    return materialise(entry.join(held, "sig"))
+    entry = materialise(entry.join(held, "sig"))
+    fame = entry.groupBy("rep").agg(F.sum("size").alias("fame"))
+    first = F.struct((-F.col("fame")).alias("f"), "rep", "n")
+    bucket = entry.join(fame, "rep").groupBy("sig").agg(F.min(F.struct("rep", "n")).alias("low"), F.min(first).alias("hub"))
+    return materialise(entry.join(bucket, "sig"))
 
 
 def candidate_pairs(entry: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Distinct pairs a < b of texts that share a bucket and could be similar: with two hubs, or all of few."""
-    fame = entry.groupBy("rep").agg(F.sum("size").alias("fame"))
-    entry = entry.join(fame, "rep")
-    member = F.struct("rep", "n")
-    bucket = entry.groupBy("sig").agg(
-        F.max(F.struct("fame", (-F.col("rep")).alias("x"), "rep", "n")).alias("hub"),
-        F.min(member).alias("low"),
-        F.collect_list(F.when(F.col("size") <= SMALL, member)).alias("few"),
-    )
-    both = entry.select("sig", "rep", "n").join(bucket, "sig")
-    others = F.concat(F.array(F.struct("hub.rep", "hub.n"), F.col("low")), F.col("few"))
-    pair = both.select(F.struct("rep", "n").alias("one"), F.explode(others).alias("other")).where("one.rep <> other.rep")
+    one, other = F.struct("rep", "n").alias("one"), F.explode(F.array("low", F.struct("hub.rep", "hub.n"))).alias("other")
+    pair = entry.select(one, other)
+    few = entry.where((F.col("size") <= SMALL) & (F.col("size") > 2)).groupBy("sig").agg(F.collect_list(F.struct("rep", "n")).alias("all"))
+    pair = pair.union(few.select("all", F.explode("all").alias("one")).select("one", F.explode("all").alias("other")))
     close = F.least("one.n", "other.n") >= F.greatest("one.n", "other.n") * F.lit(least - 1e-9)
-    return pair.where(close).select(F.least("one.rep", "other.rep").alias("a"), F.greatest("one.rep", "other.rep").alias("b")).distinct()
+    ends = pair.where((F.col("one.rep") != F.col("other.rep")) & close).select(F.least("one.rep", "other.rep").alias("a"), F.greatest("one.rep", "other.rep").alias("b"))
+    return ends.distinct()
 
 
-def remaining_pairs(entry: DataFrame, linked: DataFrame, docs: DataFrame, least: float = SIMILARITY, words: int = WORDS) -> DataFrame | None:
+def remaining_pairs(entry: DataFrame, linked: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame | None:
     """The pairs that ``candidate_pairs`` left out and that could still join two components.
 
-    Texts of large buckets that hold several components take part, their labels in order
-    of frequency among them.  Similar texts of n labels together have
-    least / (1 + least) * n in common, so at the first of these in that order both must
-    have as many labels left.  In each label's group all but the largest component are
-    paired with the members of other components.  None if no text is left.
+    Texts of large buckets that hold several components take part, with their words,
+    labelled by occurrence, in order of frequency among them.  Similar texts of n words
+    together have least / (1 + least) * n in common, so at the first of these in that
+    order both must have as many words left.  In each word's group all but the largest
+    component are paired with the members of other components.  None if no text is left.
     """
     part = entry.where(F.col("size") > SMALL).join(linked, F.col("rep") == F.col("node"), "left").select("sig", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = part.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
@@ -159,74 +212,105 @@ def remaining_pairs(entry: DataFrame, linked: DataFrame, docs: DataFrame, least:
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"rep": batch["doc_id"], "labels": [shingle_labels(t or "", words).view(np.int64) for t in batch["text"]]})
+            yield pd.DataFrame({"rep": batch["doc_id"], "component": batch["component"], "words": [shingle_labels(word_hashes(t), 1).tobytes() for t in batch["text"]]})
         _words.forget()
 
-    wanted = left.select(F.col("rep").alias("doc_id"))
-    held = materialise(docs.join(wanted, "doc_id", "left_semi").mapInPandas(label, "rep long, labels array<long>").dropDuplicates(["rep"]))
-    each = held.select("rep", F.size("labels").alias("n"), F.explode("labels").alias("label"))
-    shared = each.groupBy("label").agg(F.count("*").alias("texts")).where("texts > 1")
-    of_text = Window.partitionBy("rep")
-    placed = each.join(shared, "label").withColumn("m", F.count("*").over(of_text)).withColumn("place", F.row_number().over(of_text.orderBy("texts", "label")))
-    # labels of one text alone stand before all others; ``after`` counts a label and those behind it
-    placed = placed.withColumn("after", F.col("m") - F.col("place") + 1)
-    need = lambda n: n * F.lit(least / (1 + least)) - 1e-6  # noqa: E731  labels in common, of n in both texts
-    lead = materialise(placed.where(F.col("after") >= need(F.col("n") * (1 + least))).join(left, "rep").select("label", "rep", "n", "component", "after"))
-    short = lead.groupBy("label").agg(F.min("n").alias("shortest"))
-    lead = lead.join(short, "label").where(F.col("after") >= need(F.col("n") + F.greatest("shortest", F.col("n") * least)))
-    sizes = lead.groupBy("label", "component").agg(F.count("*").alias("members"))
+    asked = docs.join(left.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "component", "text")
+    held = materialise(asked.mapInPandas(lean(label), "rep long, component long, words binary").dropDuplicates(["rep"]))
+
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for w in batch["words"]:
+                np.add.at(seen, (np.frombuffer(w, np.uint64) % np.uint64(COUNTERS)).astype(np.int64), 1)
+        at = np.flatnonzero(seen)
+        yield pd.DataFrame({"at": at, "n": seen[at]})
+
+    texts = np.zeros(COUNTERS, np.int64)
+    for r in held.mapInPandas(tally, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toLocalIterator():
+        texts[r["at"]] = r["n"]
+    shared, share = held.sparkSession.sparkContext.broadcast(texts), least / (1 + least)
+
+    def lead(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        often = shared.value
+        for batch in batches:
+            rows = []
+            for rep, component, raw in zip(batch["rep"], batch["component"], batch["words"], strict=True):
+                w = np.frombuffer(raw, np.uint64)
+                times = often[(w % np.uint64(COUNTERS)).astype(np.int64)]
+                order = np.lexsort((w, times))
+                after = len(w) - np.arange(len(w))  # a word and those behind it
+                keep = (after >= share * len(w) * (1 + least) - 1e-6) & (times[order] > 1)
+                rows.append(pd.DataFrame({"label": w[order][keep].view(np.int64), "rep": rep, "n": len(w), "component": component, "after": after[keep]}))
+            if rows:
+                yield pd.concat(rows)
+
+    first = materialise(held.mapInPandas(lead, "label long, rep long, n int, component long, after int"))
+    sizes = first.groupBy("label", "component").agg(F.count("*").alias("members"))
     largest = sizes.groupBy("label").agg(F.max_by("component", "members").alias("largest"), F.count("*").alias("components")).where("components > 1")
-    open_ = lead.join(largest.select("label", "largest"), "label").drop("shortest")
+    open_ = first.join(largest.select("label", "largest"), "label")
     one = open_.where("component <> largest").select("label", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("after").alias("ax"))
-    could = (F.least("after", "ax") >= need(F.col("n") + F.col("nx"))) & (F.least("n", "nx") >= F.greatest("n", "nx") * F.lit(least - 1e-9))
+    could = (F.least("after", "ax") >= (F.col("n") + F.col("nx")) * F.lit(share) - 1e-6) & (F.least("n", "nx") >= F.greatest("n", "nx") * F.lit(least - 1e-9))
     pair = one.join(open_, "label").where((F.col("cx") != F.col("component")) & could)
     return pair.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, least: float = SIMILARITY, words: int = WORDS) -> DataFrame:
+#: Bytes of a word's hash that travel for the alignment.
+KEPT = 6
+
+
+def verified(pairs: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The pairs whose whole texts align to at least ``least``: a, b, similarity."""
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"rep": batch["doc_id"], "labels": [shingle_labels(t or "", words).astype(np.uint32).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"rep": batch["doc_id"], "words": [word_hashes(t).view(np.uint8).reshape(-1, 8)[:, :KEPT].tobytes() for t in batch["text"]]})
         _words.forget()
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    labels = docs.join(wanted, "doc_id", "left_semi").mapInPandas(label, "rep long, labels binary")
-    labels = materialise(labels)
+    words = materialise(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInPandas(lean(label), "rep long, words binary"))
+
+    def back(raw: bytes) -> np.ndarray:
+        whole = np.zeros((len(raw) // KEPT, 8), np.uint8)
+        whole[:, :KEPT] = np.frombuffer(raw, np.uint8).reshape(-1, KEPT)
+        return whole.view(np.uint64).ravel()
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            # a few labels may be equal in 32 bits; one of each counts
-            value = [similarity(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), least) for x, y in zip(batch["la"], batch["lb"], strict=True)]
+            value = [similarity(back(x), back(y), least) for x, y in zip(batch["la"], batch["lb"], strict=True)]
             out = pd.DataFrame({"a": batch["a"], "b": batch["b"], "similarity": value})
             yield out[out["similarity"] >= least]
 
-    sides = pairs.join(labels.select(F.col("rep").alias("a"), F.col("labels").alias("la")), "a").join(labels.select(F.col("rep").alias("b"), F.col("labels").alias("lb")), "b")
-    return sides.select("a", "b", "la", "lb").mapInPandas(align, "a long, b long, similarity double")
+    sides = pairs.join(words.select(F.col("rep").alias("a"), F.col("words").alias("la")), "a").join(words.select(F.col("rep").alias("b"), F.col("words").alias("lb")), "b")
+    return sides.select("a", "b", "la", "lb").mapInPandas(lean(align), "a long, b long, similarity double")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY, count: int = SKETCHES, size: int = LABELS, words: int = WORDS) -> DataFrame:
-    """(doc_id, class_id) of every row: the smallest id among all texts that links connect.
-
-    Texts with the same words in the same order are one class without comparing them;
-    texts without a word are compared as they are; a null text is like no other.  A row
-    with a null id has a null class and takes no part.  Repeated rows stay, an empty table
-    gives no rows, and other columns are not read.
+    """(doc_id, text_hash, class_id) of every row: the smallest id among all texts that links connect.
+
+    Two texts are linked if the words that an alignment pairs are at least ``least`` of all
+    words of either.  Texts with the same words in the same order are one class without
+    comparing them; texts without a word are compared as they are; a null text is like no
+    other.  A row with a null id has a null class and takes no part.  Repeated rows stay.
+    Where an id repeats with another text, each row has its own text's class and
+    ``text_hash`` (xxhash64) tells them apart; texts are compared under the smallest id
+    that has them, so such an id should be rare.  An empty table gives no rows, and other
+    columns are not read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     named = rows.where(F.col("doc_id").isNotNull())
     prints = materialise(_fingerprints(named, count, size, words))
-    texts = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sigs").alias("sigs"))
-    texts = materialise(texts)
+    texts = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sigs").alias("sigs")))
     entry = entries(texts)
-    links = materialise(verified(materialise(candidate_pairs(entry, least)), named, least, words).select("a", "b"))
+    links = materialise(verified(materialise(candidate_pairs(entry, least)), named, least).select("a", "b"))
     joined = components(links)
-    rest = remaining_pairs(entry, joined, named, least, words)
+    rest = remaining_pairs(entry, joined, named, least)
     if rest is not None:
-        more = materialise(verified(materialise(rest), named, least, words).select("a", "b"))
+        more = materialise(verified(materialise(rest), named, least).select("a", "b"))
         if not more.isEmpty():
-            joined = components(links.union(more))
+            joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     of_text = texts.join(joined, texts["rep"] == joined["node"], "left").select("fp", F.coalesce("component", "rep").alias("class_id"))
-    classes = prints.select("doc_id", "fp").join(of_text, "fp").select("doc_id", "class_id")
-    return classes.unionByName(rows.where(F.col("doc_id").isNull()).select("doc_id", F.lit(None).cast("long").alias("class_id")))
+    classes = prints.select("doc_id", "text_hash", "fp").join(of_text, "fp").select("doc_id", "text_hash", "class_id")
+    none = F.lit(None).cast("long")
+    return classes.unionByName(rows.where(F.col("doc_id").isNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), none.alias("class_id")))
