@@ -1,12 +1,14 @@
 """Toxicity by weak supervision.
 
-Many voters look at a text: lexicons of words and word beginnings induced from a bounded
-labelled sample, at several strictness levels, and patterns (repeated hits, hits close
-together, shouting, none of any lexicon).  Each votes toxic, clean, or abstains.  A
-generative label model estimates by expectation-maximisation how often each voter votes
-for either class, and from the votes' correlation within a class how far they repeat
-one another; correlated voters share their weight.  A linear classifier on lexicon and
-density features is trained on the model's posterior labels and scores every text.
+Many voters look at a text: lexicons written by hand, lexicons of words and word beginnings
+induced from a bounded labelled sample, at several strictness levels, and patterns
+(repeated hits, hits close together, shouting, none of any lexicon).  Each votes toxic,
+clean, or abstains on a bounded sample of rows whose labels are not looked at.  A
+generative label model explains these votes by a hidden class: each voter has its own
+rates in either class, and depends on the one other voter it is most correlated with
+there, so that the dependencies form a tree; expectation-maximisation starts from the
+voters' majority.  A linear classifier on lexicon and density features is trained on the
+model's posterior labels alone and scores every text.
 """
 
 from __future__ import annotations
@@ -21,15 +23,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import Memo
+from tickloom.llm.common import Memo, lean, small_batches
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Word beginnings of these lengths are lexicon candidates beside whole words.
 STEMS = range(4, 9)
 #: Words of a text handled at once.
 CHUNK = 200_000
-#: Lexicons dealt from the induced entries, entries in all, and labelled rows used at most.
-LEXICONS, ENTRIES, LABELLED = 12, 600, 12_000
+#: Lexicons dealt from the induced entries, entries in all, labelled rows used at most, and rows that are voted on.
+LEXICONS, ENTRIES, LABELLED, VOTED = 12, 600, 12_000, 12_000
+#: Toxic labelled texts that must hold an induced entry.
+LEAST = 3
+#: Insults, each list one voter; ``*`` marks a word beginning.
+WRITTEN = {
+    "wit": "idiot* moron* stupid* imbecil* dumb dumbass* dimwit* halfwit* brainless dummkopf* dumm blöd* trottel* estúpid* tont* tarad* débile* abruti* crétin*",
+    "worth": "loser* pathetic worthless disgusting trash scum clown garbage filth* vermin abschaum dreck* versager* widerlich* wertlos* basura escoria asqueros* patétic* inútil ordure* déchet* minable* pathétique*",
+    "abuse": "bastard* bitch* asshole* jerk* creep* shithead* arschloch* wichser* miststück* hurensohn* cabrón* gilipollas* hijoputa* pendej* connard* salaud* salope* enculé*",
+    "threat": "kys kill-yourself hate you-all verrecke* muérete crève",
+}
 
 
 def terms(word: str) -> list[str]:
@@ -53,21 +64,29 @@ def words_of(text: str | None) -> Iterator[list[str]]:
     yield part
 
 
+def written() -> list[str]:
+    """Entries of the lexicons written by hand, in order."""
+    return [e for line in WRITTEN.values() for e in line.split()]
+
+
 class Lexicon:
-    """Entries with a number each; every hit of a text goes to its best entry."""
+    """Entries with a number each; a word hits every entry that it is or begins with."""
 
     def __init__(self, entries: list[str]) -> None:
-        self.rank = {e: k for k, e in enumerate(entries)}
+        self.entries = entries
+        self.rank: dict[str, tuple[int, ...]] = {}
+        for k, e in enumerate(entries):
+            self.rank[e] = (*self.rank.get(e, ()), k)
         self.hit = None
 
     def __getstate__(self):
-        return list(self.rank)
+        return self.entries
 
     def __setstate__(self, state):
         self.__init__(state)
 
     def _find(self, word: str) -> tuple[int, ...]:
-        return tuple(k for t in terms(word) if (k := self.rank.get(t)) is not None)
+        return tuple(k for t in terms(word) for k in self.rank.get(t, ()))
 
     def measure(self, text: str | None) -> tuple[list[int], np.ndarray]:
         """Entries found, and numbers on the whole text: words, hits, closest hits, shouting, marks."""
@@ -88,12 +107,20 @@ class Lexicon:
 
 
 def votes(found: list[list[int]], numbers: np.ndarray, entries: int) -> np.ndarray:
-    """One column for each voter: 1 toxic, -1 clean, 0 no vote."""
+    """One column for each voter: 1 toxic, -1 clean, 0 no vote.
+
+    The first ``entries`` entries are induced, strongest first; those after them are written.
+    """
     columns = []
     words, hits, gap = numbers[:, 0], numbers[:, 1], numbers[:, 2]
     any_hit = hits > 0
     for k in range(LEXICONS):  # each lexicon: every LEXICONS-th entry, strongest first
-        columns.append(np.array([1 if any(x % LEXICONS == k for x in f) else 0 for f in found]))
+        columns.append(np.array([1 if any(x % LEXICONS == k for x in f if x < entries) else 0 for f in found]))
+    at = entries
+    for line in WRITTEN.values():
+        size = len(line.split())
+        columns.append(np.array([1 if any(at <= x < at + size for x in f) else 0 for f in found]))
+        at += size
     for level in (0.1, 0.3, 1.0):  # the strongest entries only, then more
         own = np.array([any(x < level * entries for x in f) for f in found], bool)
         columns.append(np.where(own, 1, -1))
@@ -105,34 +132,63 @@ def votes(found: list[list[int]], numbers: np.ndarray, entries: int) -> np.ndarr
     columns.append(np.where((gap > 400) & (words > 400), -1, 0))
     columns.append(np.where(words < 5, np.where(any_hit, 0, -1), 0))
     columns.append(np.where(numbers[:, 3] > 0.02 * np.maximum(words, 1), np.where(any_hit, 1, 0), 0))
-    return np.stack(columns, axis=1) if len(found) else np.zeros((0, LEXICONS + 13))
+    return np.stack(columns, axis=1) if len(found) else np.zeros((0, LEXICONS + len(WRITTEN) + 13), int)
 
 
 class LabelModel:
-    """Class balance, each voter's vote rates in either class, and weights shared among correlated voters."""
+    """A hidden class behind all votes, with a tree of dependencies among the voters.
+
+    p(votes | class) is the product over the voters of p(vote | class, vote of the voter's
+    parent): accuracies and pairwise correlations of one generative model.  The tree joins
+    the voters whose votes tell most about each other within a class.
+    """
 
-    def fit(self, v: np.ndarray, start: np.ndarray, rounds: int = 12) -> LabelModel:
-        """``start``: a first guess of the posterior, from the given labels."""
-        p = start.astype(float)
-        self.weight = np.ones(v.shape[1])
-        kinds = np.stack([v == x for x in (-1, 0, 1)])  # kind, row, voter
+    def fit(self, v: np.ndarray, share: float, rounds: int = 15) -> LabelModel:
+        """Fit to votes alone; ``share`` is the class balance."""
+        n, voters = v.shape
+        kinds = np.concatenate([v == x for x in (-1, 0, 1)], axis=1).astype(float)  # row, kind * voters + voter
+        p = self._majority(v, share)
+        self.prior = float(np.clip(share, 1e-3, 1 - 1e-3))
         for _ in range(rounds):
-            self.prior = np.clip(p.mean(), 1e-3, 1 - 1e-3)
-            rate = np.stack([(kinds * q[None, :, None]).sum(1) + 0.5 for q in (1 - p, p)])  # class, kind, voter
-            self.rate = rate / rate.sum(axis=1, keepdims=True)
-            mean = np.stack([self.rate[c, 2] - self.rate[c, 0] for c in (0, 1)])
-            left = v - np.where(p[:, None] > 0.5, mean[1], mean[0])  # what the class leaves open
-            size = np.sqrt((left**2).sum(0))
-            self.correlation = np.abs(left.T @ left) / np.maximum(np.outer(size, size), 1e-9)
-            self.weight = 1 / np.maximum(1, np.where(np.isfinite(self.correlation), self.correlation, 0).sum(0))
-            given = 0.5 * start + 0.5 * self.posterior(v)  # the labels stay an anchor
-            p = given
+            pair = np.stack([kinds.T @ (kinds * q[:, None]) for q in (1 - p, p)]).reshape(2, 3, voters, 3, voters) + 0.1
+            joint = pair / pair.sum(axis=(1, 3), keepdims=True)  # class, kind, voter, kind, voter
+            one = joint.sum(axis=3)
+            other = joint.sum(axis=1)
+            told = (joint * (np.log(joint) - np.log(one[:, :, :, None, :]) - np.log(other[:, None, :, :, :]))).sum(axis=(1, 3))
+            self.information = np.tensordot([1 - self.prior, self.prior], told, 1)
+            self.parent = self._tree(self.information)
+            self.first = np.log(joint[:, :, 0, :, 0].sum(axis=2))  # class, kind of the root
+            self.table = np.stack([np.log(joint[:, :, a, :, b] / joint[:, :, a, :, b].sum(axis=2, keepdims=True)) for b, a in self.parent]) if voters > 1 else np.zeros((0, 2, 3, 3))
+            p = self.posterior(v)
         return self
 
+    @staticmethod
+    def _majority(v: np.ndarray, share: float) -> np.ndarray:
+        """A first posterior: the rows with the most toxic votes, as many as the class balance asks for."""
+        total = v.sum(axis=1)
+        limit = np.quantile(total, 1 - share) if len(total) else 0
+        return np.where((total >= limit) & (total > total.min(initial=0)), 0.9, 0.05)
+
+    @staticmethod
+    def _tree(weight: np.ndarray) -> list[tuple[int, int]]:
+        """(voter, parent) for all but voter 0: the spanning tree of greatest weight, from voter 0 on."""
+        near = weight[0].copy()
+        parent, out, edges = np.zeros(len(weight), int), np.ones(len(weight), bool), []
+        out[0] = False
+        while out.any():
+            b = int(np.where(out, near, -np.inf).argmax())
+            edges.append((b, int(parent[b])))
+            out[b] = False
+            closer = weight[b] > near
+            parent[closer], near[closer] = b, weight[b][closer]
+        return edges
+
     def posterior(self, v: np.ndarray) -> np.ndarray:
-        odds = np.log(self.rate[1]) - np.log(self.rate[0])  # kind, voter
-        total = sum((v == x) @ (odds[i] * self.weight) for i, x in enumerate((-1, 0, 1)))
-        return 1 / (1 + np.exp(-np.clip(total + np.log(self.prior / (1 - self.prior)), -30, 30)))
+        k = v + 1
+        logs = self.first[:, k[:, 0]] + np.log([[1 - self.prior], [self.prior]])
+        for (b, a), table in zip(self.parent, self.table, strict=True):
+            logs = logs + table[:, k[:, a], k[:, b]]
+        return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -30, 30)))
 
 
 def features(found: list[list[int]], numbers: np.ndarray, entries: int) -> np.ndarray:
@@ -163,7 +219,11 @@ class Model:
     """The lexicon and the linear classifier."""
 
     def __init__(self, entries: list[str], weights: np.ndarray | None, constant: float) -> None:
-        self.lexicon, self.weights, self.constant, self.entries = Lexicon(entries), weights, constant, len(entries)
+        self.lexicon, self.weights, self.constant, self.entries = Lexicon(entries + written()), weights, constant, len(entries)
+
+    def forget(self) -> None:
+        """Give the memory of words back."""
+        self.lexicon.hit = None
 
     def scores(self, texts) -> np.ndarray:
         if self.weights is None:
@@ -175,24 +235,32 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
 
 
+def _drawn(key: str, salt: str, share: float) -> Column:
+    """Whether a row is drawn, by a hash of its key."""
+    return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1_000_000)) / 1e6 < share
+
+
 def train(
-    docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", rows: int = LABELLED, entries: int = ENTRIES
+    docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", rows: int = LABELLED, entries: int = ENTRIES, voted: int = VOTED
 ) -> Model:
-    """Fit lexicon, label model and classifier on whole texts with labels 0 and 1.
+    """Fit lexicons, label model and classifier on whole texts with labels 0 and 1.
 
     About ``rows`` labelled rows are used at most, chosen by a hash of ``key``: the
-    documented bound, which also bounds what is broadcast to find their texts.  Equal
-    texts count once.  Without both classes every score is the share of toxic rows, or
-    0 without labels.
+    documented bound, which also bounds what is broadcast to find their texts.  They serve
+    to induce lexicons and to tell the class balance.  The label model and the classifier
+    see the votes on about ``voted`` rows of ``docs``, chosen by another hash, never
+    their labels.  Equal labelled texts count once; where their labels differ the larger
+    one holds.  Null texts and rows with a null key are not drawn.  Without both classes
+    every score is the share of toxic rows, or 0 without labels.  Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     known = labels.select(labels[key].alias("key"), labels[label].cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("key").isNotNull())
     n, toxic = known.agg(F.count("*"), F.count_if(F.col("y") == 1)).first()
     if not n or toxic in (0, n):
         return Model([], None, toxic / n if n else 0.0)
-    draw = F.pmod(F.xxhash64("key", F.lit("toxicity sample")), F.lit(1_000_000)) / 1e6
-    chosen = F.broadcast(known.where(draw < min(1.0, rows / n)))
-    texts = docs.select(docs[key].alias("key"), docs[text].alias("text")).where(F.col("text").isNotNull())
-    sample = texts.join(chosen, "key").select("text", "y").dropDuplicates(["text"]).persist()
+    chosen = F.broadcast(known.where(_drawn("key", "toxicity sample", min(1.0, rows / n))))
+    texts = docs.select(docs[key].alias("key"), docs[text].alias("text")).where(F.col("text").isNotNull() & F.col("key").isNotNull())
+    sample = texts.join(chosen, "key").groupBy("text").agg(F.max("y").alias("y")).persist()
     n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if toxic in (0, n):
         return Model([], None, toxic / n if n else 0.0)
@@ -206,32 +274,39 @@ def train(
                     seen[term] += (1 << 32) if y else 1
             yield pd.DataFrame({"term": list(seen), "toxic": [v >> 32 for v in seen.values()], "clean": [v & 0xFFFFFFFF for v in seen.values()]})
 
-    table = sample.mapInPandas(count, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
+    table = sample.mapInPandas(lean(count), "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
     # a term must be far likelier in toxic texts; those in most of them come first
     ratio = (F.col("t") + 0.1) / toxic / ((F.col("c") + 0.3) / (n - toxic))
-    best = table.where((F.col("t") >= 4) & (ratio > 25)).withColumn("r", F.col("t") * F.log(ratio)).orderBy(F.desc("r"), F.length("term"), "term").limit(entries).collect()
-    lexicon = Lexicon([r["term"] for r in best])
+    best = table.where((F.col("t") >= LEAST) & (ratio > 25)).withColumn("r", F.col("t") * F.log(ratio)).orderBy(F.desc("r"), F.length("term"), "term").limit(entries).collect()
+    sample.unpersist()
+    induced = [r["term"] for r in best]
+    lexicon = Lexicon(induced + written())
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             m = [lexicon.measure(t) for t in batch["text"]]
-            yield pd.DataFrame({"found": [f for f, _ in m], "numbers": [x.tolist() for _, x in m], "y": batch["y"]})
+            yield pd.DataFrame({"found": [f for f, _ in m], "numbers": [x.tolist() for _, x in m]})
+        lexicon.hit = None
 
-    seen = sample.mapInPandas(look, "found array<int>, numbers array<double>, y int").toPandas()
-    sample.unpersist()
-    found, numbers, y = [list(f) for f in seen["found"]], np.stack(seen["numbers"].tolist()), seen["y"].to_numpy(float)
-    v = votes(found, numbers, len(best))
-    posterior = LabelModel().fit(v, y).posterior(v)
-    soft = 0.5 * posterior + 0.5 * y
-    return Model([r["term"] for r in best], logistic(features(found, numbers, len(best)), soft), toxic / n)
+    of_docs = texts.count()
+    drawn = texts.where(_drawn("key", "toxicity votes", min(1.0, voted / max(of_docs, 1))))
+    seen = drawn.select("text").mapInPandas(lean(look), "found array<int>, numbers array<double>").toPandas()
+    if not len(seen):
+        return Model([], None, toxic / n)
+    found, numbers = [list(f) for f in seen["found"]], np.stack(seen["numbers"].tolist())
+    v = votes(found, numbers, len(induced))
+    posterior = LabelModel().fit(v, toxic / n).posterior(v)
+    return Model(induced, logistic(features(found, numbers, len(induced)), posterior), toxic / n)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[Column | str, ...] = ("doc_id",), threshold: float = 0.7) -> DataFrame:
     """Add score (0 to 1) and predicted (1 from ``threshold`` on) to ``keep`` for every row.
 
     Only the whole text decides; null counts as empty, and empty texts get the score of
-    a text without hits.  Repeated rows and null ids stay; ``keep`` may be all columns.
+    a text without hits.  Repeated rows and null ids stay, an empty table gives no rows;
+    ``keep`` may be all columns, and others are not read.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = any(isinstance(k, str) and k == text for k in keep)  # then it need not travel twice
     rows, read = (docs.select(*keep), text) if kept else (docs.select(*keep, docs[text].alias("__text")), "__text")
@@ -241,5 +316,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[Column
         for batch in batches:
             p = shared.value.scores(batch[read].tolist())
             yield batch.drop(columns="__text", errors="ignore").assign(score=p, predicted=(p >= threshold).astype("int32"))
+        shared.value.forget()
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInPandas(lean(run), schema)
