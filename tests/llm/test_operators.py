@@ -114,7 +114,7 @@ def test_suffix_of_a_passage_that_all_hold(spark, monkeypatch, hot):
     monkeypatch.setattr(suffix, "HOT", hot, raising=False)
     got = suffix.strip_repeats(frame, ("kept", "n_spans")).collect()
     assert {r.doc_id: (bytes(r.kept), r.n_spans) for r in got} == brute_removal([(i, t.encode()) for i, t in rows])
-    pieces = suffix._cut(frame, suffix._shared_minimizers(frame, 16), 16, 1 << 16).where("deal >= 0").collect()
+    pieces = suffix._cut(frame.withColumn("nth", F.lit(0)), suffix._shared_minimizers(frame, 16), 16, 1 << 16).where("deal >= 0").collect()
     sizes = {}
     for r in pieces:
         sizes[r.deal] = sizes.get(r.deal, 0) + len(suffix._unpack(r.owners))
@@ -122,11 +122,12 @@ def test_suffix_of_a_passage_that_all_hold(spark, monkeypatch, hot):
     assert sum(n >= 150 for n in sizes.values()) <= (0 if hot == 5 else 6)
 
 
-def test_columns_sort_suffixes(tmp_path):
+@pytest.mark.parametrize("rows", [7, 64, 1 << 16])
+def test_columns_sort_suffixes(rows):
     rng = np.random.default_rng(1)
     matrix = rng.integers(97, 100, (60, suffix.COLUMNS), dtype=np.uint8)
     matrix[30:45, 20:] = matrix[0, 20:]
-    for c, order, common in suffix.insert_columns(matrix.copy(), tmp_path):
+    for c, order, common in suffix.insert_columns(matrix.copy(), rows):
         tails = [matrix[i, c:].tobytes() for i in order]
         assert tails == sorted(tails)
         for k in range(1, len(order)):
@@ -134,6 +135,28 @@ def test_columns_sort_suffixes(tmp_path):
             assert common[k] == min(shared, suffix.LENGTH)
 
 
+def test_suffix_where_ids_repeat(spark):
+    """Rows of one id do not shorten each other, and each keeps what only its own text has."""
+    rnd = random.Random(8)
+    made = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    a, b = made(200), made(200)
+    rows = [(1, a + b), (2, b + made(100)), (2, made(300)), (2, made(20) + a), (3, a + b), (3, made(80)), (3, made(80) + b), (3, made(80) + b)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.text, bytes(r.kept)) for r in suffix.strip_repeats(frame, ("kept",), keep=("doc_id", "text")).collect())
+    first = {}
+    for i, t in rows:
+        for k in range(len(t) - 49):
+            first[t[k : k + 50]] = min(first.get(t[k : k + 50], i), i)
+    wanted = []
+    for i, t in rows:
+        gone = [False] * len(t)
+        for k in range(len(t) - 49):
+            if first[t[k : k + 50]] < i:
+                gone[k : k + 50] = [True] * 50
+        wanted.append((i, t, "".join(x for x, g in zip(t, gone, strict=True) if not g).encode()))
+    assert got == sorted(wanted)
+
+
 # 2
 
 

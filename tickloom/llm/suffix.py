@@ -13,11 +13,12 @@ dealt out by minimizer and never miss each other:
    many documents share are pieces of their own, dealt by all their bytes;
 3. each bucket of pieces builds its collection's Burrows-Wheeler transform and common
    prefixes column by column from the right: every round inserts one symbol of each
-   piece, re-sorts the order of the round before stably by it, and updates the common
-   prefixes of neighbours from those of the round before.  Symbols, transform and common
-   prefixes are files read and written once a round, in order.  Neighbours that share
-   ``LENGTH`` symbols hold the same window; the smallest document id of each such group
-   decides.
+   piece.  The symbols before the sorted suffixes are the transform of the round; sorting
+   the suffixes stably by it gives the order of the next, and common prefixes follow from
+   those between the places of equal symbols.  Columns, order and common prefixes are
+   files (in memory while small), read and written once a round, in blocks and in order.
+   Neighbours that share ``LENGTH`` symbols hold the same window; the smallest document
+   id of each such group decides.
 
 Rounds are bounded by the piece length, not by the longest document, because suffixes
 are only ever compared over one window.
@@ -25,19 +26,19 @@ are only ever compared over one window.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import tempfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import materialise
+from tickloom.llm.common import lean, materialise, small_batches
 
 #: Bytes of a string that counts as repeated, and of a minimizer.
 LENGTH, K = 50, 16
@@ -52,6 +53,10 @@ SPAN = LENGTH - K + 1
 COLUMNS = 2 * LENGTH - K
 #: Documents that share a minimizer before its windows are dealt one by one; pieces handled at once.
 HOT, CHUNK = 1 << 15, 1 << 14
+#: Suffixes of a block of the column files, and bytes of a file that stay in memory.
+ROWS, SPOOL = 1 << 16, 4 << 20
+#: Bits of a place in a text; above them the number of the text among those of its id.
+PLACE = 40
 
 _BASE = 0x100000001B3
 
@@ -127,16 +132,16 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(raw).view(np.int64).ravel())
 
 
-def zipped(docs: DataFrame) -> DataFrame:
+def zipped(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with their text compressed, for a shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            yield batch.assign(text=pd.Series([None if t is None else packer.compress(t.encode("utf-8")) for t in batch["text"]], index=batch.index, dtype=object))
+            yield batch.assign(**{text: pd.Series([None if t is None else packer.compress(t.encode("utf-8")) for t in batch[text]], index=batch.index, dtype=object)})
 
-    schema = T.StructType([T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in docs.schema])
-    return docs.mapInPandas(run, schema)
+    schema = T.StructType([T.StructField(text, T.BinaryType()) if f.name == text else f for f in docs.schema])
+    return docs.mapInPandas(lean(run), schema)
 
 
 def _unzip(data: bytes | None) -> bytes:
@@ -189,7 +194,7 @@ def _shared_minimizers(docs: DataFrame, buckets: int) -> DataFrame:
         folded = h * buckets + group["bucket"].iloc[0]
         return pd.DataFrame({"doc_id": d[keep], "hash": np.where(many, ~folded, folded)[keep]})
 
-    sent = docs.mapInPandas(send, "bucket long, hashes binary, owners binary")
+    sent = docs.select("doc_id", "text").mapInPandas(lean(send), "bucket long, hashes binary, owners binary")
     return sent.groupBy("bucket").applyInPandas(answer, "doc_id long, hash long")
 
 
@@ -211,6 +216,7 @@ def _cut(docs: DataFrame, shared: DataFrame, buckets: int, deals: int) -> DataFr
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ids = batch["doc_id"].to_numpy(np.int64)
+            shift = batch["nth"].to_numpy(np.int64) << PLACE
             wanted = [np.asarray(x, np.int64) for x in batch["hashes"]]
             hot = [~x[x < 0] for x in wanted]
             wanted = [np.where(x < 0, ~x, x) for x in wanted]
@@ -237,7 +243,7 @@ def _cut(docs: DataFrame, shared: DataFrame, buckets: int, deals: int) -> DataFr
                 a, b = w[first], w[last] + LENGTH
                 whole = _piece_hashes(v, a, b)
                 deal = ((np.where(many, whole, folded.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)) % np.uint64(deals)
-                held.append((deal.astype(np.int64), ids[row[seg]], a - start[seg] + origin[seg], (b - a).astype(np.uint8), (at[first] - a).astype(np.uint8), _gather(block, a, b - a), whole))
+                held.append((deal.astype(np.int64), ids[row[seg]], a - start[seg] + origin[seg] + shift[row[seg]], (b - a).astype(np.uint8), (at[first] - a).astype(np.uint8), _gather(block, a, b - a), whole))
             if not held:
                 continue
             deal, owner, begin, size, lead = (np.concatenate([h[k] for h in held]) for k in range(5))
@@ -268,8 +274,8 @@ def _cut(docs: DataFrame, shared: DataFrame, buckets: int, deals: int) -> DataFr
             )
 
     asked = shared.groupBy("doc_id").agg(F.collect_list("hash").alias("hashes"))
-    joined = zipped(docs).join(asked, "doc_id").select("doc_id", "text", "hashes")
-    return joined.mapInPandas(run, "deal long, owners binary, starts binary, shape binary, bytes binary")
+    joined = zipped(docs).join(asked, "doc_id").select("doc_id", "nth", "text", "hashes")
+    return joined.mapInPandas(lean(run), "deal long, owners binary, starts binary, shape binary, bytes binary")
 
 
 def _piece_hashes(v: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -304,41 +310,70 @@ def _gather(source: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
     return source[at]
 
 
-def insert_columns(matrix: np.ndarray, folder: Path) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _between(common: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The least value of ``common`` over each [start, stop], from a table of powers of two."""
+    level = np.log2(stop - start + 1).astype(np.int64)  # exact below 2 ** 48
+    table = [common]
+    for k in range(int(level.max(initial=0))):
+        last = table[-1]
+        table.append(np.minimum(last, np.append(last[1 << k :], last[: 1 << k])))  # what wraps around is not read
+    flat, n = np.concatenate(table), len(common)
+    return np.minimum(flat[level * n + start], flat[level * n + stop + 1 - (1 << level)])
+
+
+def insert_columns(matrix: np.ndarray, rows: int = ROWS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Sort all pieces by their suffixes, one column a round from the right.
 
     Yields (column, order, common) from the first column at which a whole window fits:
     the pieces in the order of their suffixes from that column on, and how many symbols
-    each shares with the one before it, at most ``LENGTH`` being told apart.  Between
-    rounds the order and the common prefixes wait in files.
+    each shares with the one before it, at most ``LENGTH`` being told apart.
     """
     n, width = matrix.shape
-    with (folder / "symbols").open("wb") as f:
-        for c in range(width):
-            f.write(matrix[:, c].tobytes())
-    del matrix
-    np.arange(n, dtype=np.int32).tofile(folder / "order")
-    np.zeros(n, np.uint8).tofile(folder / "common")
-    with (folder / "symbols").open("rb") as symbols, (folder / "bwt").open("wb") as bwt:
+    with contextlib.ExitStack() as stack:
+        symbols, *files = (stack.enter_context(tempfile.SpooledTemporaryFile(max_size=SPOOL)) for _ in range(5))
+        for c in reversed(range(width)):
+            symbols.write(matrix[:, c].tobytes())
+        del matrix
+        symbols.seek(0)
+        now, then = files[:2], files[2:]
+        now[0].write(np.arange(n, dtype=np.int32).tobytes()), now[1].write(bytes(n))
         for c in reversed(range(width)):
-            symbols.seek(c * n)
-            order = np.fromfile(folder / "order", np.int32)
-            common = np.fromfile(folder / "common", np.uint8)
-            column = np.frombuffer(symbols.read(n), np.uint8)[order]
-            bwt.write(column.tobytes())  # the symbols that precede the suffixes of the round before
-            to = np.argsort(column, kind="stable")
-            ranked = column[to]
-            first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-            fresh = np.zeros(n, np.uint8)
-            for a, b in zip(first, np.append(first[1:], n), strict=True):
-                if b - a > 1:  # the least common prefix on the way from one of this symbol to the next
-                    least = np.minimum.reduceat(common[: to[b - 1] + 1], to[a : b - 1] + 1)
-                    fresh[a + 1 : b] = np.minimum(least, LENGTH - 1) + 1
-            order = order[to]
-            order.tofile(folder / "order")
-            fresh.tofile(folder / "common")
+            column = np.frombuffer(symbols.read(n), np.uint8)
+            place = np.concatenate([[0], np.cumsum(np.bincount(column, minlength=256))])  # where each symbol's suffixes go
+            since = np.full(256, -1, np.int16)  # least common prefix since a symbol was seen; -1: not yet
+            for f in now:
+                f.seek(0)
+            for at in range(0, n, rows):
+                order, common = np.frombuffer(now[0].read(4 * rows), np.int32), np.frombuffer(now[1].read(rows), np.uint8)
+                transform = column[order]
+                to = np.argsort(transform, kind="stable")
+                ranked = transform[to]
+                first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+                kinds, ends = ranked[first], np.append(first[1:], len(to))
+                until, after = np.minimum.accumulate(common), np.append(np.minimum.accumulate(common[::-1])[::-1], np.uint8(LENGTH))
+                shared = np.empty(len(to), np.int16)
+                again = np.ones(len(to), bool)
+                again[first] = False
+                again = np.flatnonzero(again)
+                shared[again] = _between(common, to[again - 1] + 1, to[again])
+                shared[first] = np.minimum(since[kinds], until[to[first]])  # -1 stays, and becomes 0
+                fresh = np.minimum(shared + 1, LENGTH).astype(np.uint8)
+                since = np.minimum(since, until[-1])
+                since[kinds] = after[to[ends - 1] + 1]
+                sorted_ = order[to]
+                if n <= rows:
+                    runs = [(0, n, 0)]
+                else:
+                    runs = zip(first.tolist(), ends.tolist(), place[kinds].tolist(), strict=True)
+                for a, b, x in runs:
+                    then[0].seek(4 * x), then[0].write(sorted_[a:b].tobytes())
+                    then[1].seek(x), then[1].write(fresh[a:b].tobytes())
+                place[kinds] += ends - first
+            now, then = then, now
             if c + LENGTH <= width:
-                yield c, order, fresh
+                for f in now:
+                    f.seek(0)
+                yield c, np.frombuffer(now[0].read(), np.int32), np.frombuffer(now[1].read(), np.uint8)
 
 
 def _decide(group: pd.DataFrame) -> pd.DataFrame:
@@ -375,14 +410,13 @@ def _repeats(matrix: np.ndarray, ids: np.ndarray, left: np.ndarray, sizes: np.nd
     """Of each piece, the windows that a piece of a smaller document holds too, as bits."""
     bits = np.zeros(len(ids), np.int64)
     far = np.iinfo(np.int64).max
-    with tempfile.TemporaryDirectory() as folder:
-        for c, order, common in insert_columns(matrix, Path(folder)):
-            fits = (left <= c) & (c + LENGTH <= left + sizes)
-            first = np.flatnonzero(np.concatenate([[True], common[1:] < LENGTH]))
-            own = np.where(fits[order], ids[order], far)
-            least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.append(first, len(order))))
-            hit = order[fits[order] & (least < own)]
-            bits[hit] |= np.int64(1) << (c - left[hit])
+    for c, order, common in insert_columns(matrix):
+        fits = (left <= c) & (c + LENGTH <= left + sizes)
+        first = np.flatnonzero(np.concatenate([[True], common[1:] < LENGTH]))
+        own = np.where(fits[order], ids[order], far)
+        least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.append(first, len(order))))
+        hit = order[least < own]
+        bits[hit] |= np.int64(1) << (c - left[hit])
     return bits
 
 
@@ -400,25 +434,52 @@ def spans(starts: list[int], bits: list[int], size: int) -> np.ndarray:
     return turn.reshape(-1, 2)
 
 
+def _numbered(docs: DataFrame, keep: tuple[str, ...], doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The rows (keep, __id, __text, __nth), and (doc_id, nth, print, size) of those that can hold a repeat.
+
+    ``nth`` numbers the different texts of an id that repeats, in order of their hashes; it
+    is 0 for all others.
+    """
+    rows = docs.select(*keep, docs[doc_id].cast("long").alias("__id"), docs[text].alias("__text"))
+    prints = rows.select(F.col("__id").alias("doc_id"), F.sha2("__text", 256).alias("print"), F.octet_length("__text").cast("long").alias("size"))
+    prints = materialise(prints.where(F.col("doc_id").isNotNull() & (F.col("size") >= LENGTH)))
+    several = prints.groupBy("doc_id").agg(F.min("print").alias("low"), F.max("print").alias("high")).where("low < high").select("doc_id")
+    several = materialise(several)
+    if several.isEmpty():
+        return rows.withColumn("__nth", F.lit(0).cast("long")), prints.withColumn("nth", F.lit(0).cast("long"))
+    among = prints.join(several, "doc_id", "left_semi").groupBy("doc_id", "print").agg(F.first("size").alias("size"))
+    among = materialise(among.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("print")).cast("long") - 1).drop("size"))
+    number = F.coalesce("nth", F.lit(0)).cast("long")
+    own = among.select(F.col("doc_id").alias("__id"), F.col("print").alias("__print"), "nth")
+    numbered = rows.withColumn("__print", F.sha2("__text", 256)).join(own, ["__id", "__print"], "left").select(*keep, "__id", "__text", number.alias("__nth"))
+    return numbered, prints.join(among, ["doc_id", "print"], "left").select("doc_id", "print", "size", number.alias("nth"))
+
+
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, whole, starts, windows) of documents that hold a repeated string.
+    """(doc_id, nth, whole, starts, windows) of documents that hold a repeated string.
 
     ``whole``: the text equals that of a smaller id.  Else ``windows`` has the flagged
     windows from each of ``starts`` on, as bits; ``spans`` turns them into runs of bytes.
+    ``nth`` tells the texts of one id apart (see ``strip_repeats`` for all other cases).
     """
-    named = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
-    prints = named.select("doc_id", F.sha2("text", 256).alias("print"), F.octet_length("text").cast("long").alias("size"))
-    prints = materialise(prints)
+    return _spans_of(*_numbered(docs, (), doc_id, text))
+
+
+def _spans_of(rows: DataFrame, prints: DataFrame) -> DataFrame:
+    named = rows.select(F.col("__id").alias("doc_id"), F.col("__text").alias("text"), F.col("__nth").alias("nth")).where(F.col("__id").isNotNull() & (F.octet_length("__text") >= LENGTH))
     total = prints.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    least = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
-    copies = prints.join(least, "print").where("doc_id > least").select("doc_id").distinct()
+    least = prints.groupBy("print").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("print", "least")
+    copies = materialise(prints.join(materialise(least), "print").where("doc_id > least").select("doc_id", "nth").distinct())
+    alone = copies.join(prints.where("nth > 0").select("doc_id").distinct(), "doc_id", "left_anti")  # no other text of that id is lost
     buckets = max(16, total // HASHES)
-    shared = _shared_minimizers(named, buckets).join(copies, "doc_id", "left_anti")
+    shared = _shared_minimizers(named, buckets).join(alone.select("doc_id"), "doc_id", "left_anti")
     pieces = _cut(named, shared, buckets, max(16, total // PIECES))
     marks = pieces.groupBy("deal").applyInPandas(_decide, "doc_id long, start long, windows long")
-    parts = marks.groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows"))
+    marks = marks.select("doc_id", F.shiftright("start", PLACE).alias("nth"), F.col("start").bitwiseAND(F.lit((1 << PLACE) - 1)).alias("start"), "windows")
+    parts = marks.groupBy("doc_id", "nth").agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows"))
+    parts = parts.join(copies, ["doc_id", "nth"], "left_anti")
     none = F.array().cast("array<long>")
-    return parts.select("doc_id", F.lit(False).alias("whole"), "starts", "windows").unionByName(copies.select("doc_id", F.lit(True).alias("whole"), none.alias("starts"), none.alias("windows")))
+    return parts.select("doc_id", "nth", F.lit(False).alias("whole"), "starts", "windows").unionByName(copies.select("doc_id", "nth", F.lit(True).alias("whole"), none.alias("starts"), none.alias("windows")))
 
 
 def strip_repeats(docs: DataFrame, outputs: tuple[str, ...] = ("kept",), doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -427,19 +488,22 @@ def strip_repeats(docs: DataFrame, outputs: tuple[str, ...] = ("kept",), doc_id:
     Returns ``keep`` and any of: kept (binary), kept_text (the kept bytes as text; a
     character that lost some of its bytes goes), kept_sha256, n_bytes, n_removed, n_spans.
     Strings are judged on the input.  Null texts count as empty; texts shorter than
-    ``LENGTH`` bytes and rows with a null id stay whole.  Ids name documents: repeated
-    equal rows do not shorten each other, and ids should not repeat with another text.
+    ``LENGTH`` bytes and rows with a null id stay whole.  Repeated rows, and rows that
+    repeat an id with another text, do not shorten each other, for neither id is smaller.
+    An empty table gives no rows; columns outside ``keep`` are not read.
     """
+    small_batches(docs.sparkSession)
     kinds = {"kept": T.BinaryType(), "kept_text": T.StringType(), "kept_sha256": T.StringType(), "n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType()}
     schema = T.StructType([*[docs.schema[c] for c in keep], *[T.StructField(o, kinds[o]) for o in outputs]])
-    found = repeated_spans(docs, doc_id, text)
-    rows = zipped(docs.select(*keep, docs[doc_id].cast("long").alias("__id"), docs[text].alias("text")))
-    both = rows.join(found.withColumnRenamed("doc_id", "__id"), "__id", "left").drop("__id")
+    numbered, prints = _numbered(docs, keep, doc_id, text)
+    found = _spans_of(numbered, prints).withColumnsRenamed({"doc_id": "__id", "nth": "__nth", "whole": "__whole", "starts": "__starts", "windows": "__windows"})
+    rows = zipped(numbered, "__text")
+    both = rows.join(found, ["__id", "__nth"], "left").drop("__id", "__nth")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made: dict[str, list] = {o: [] for o in outputs}
-            for value, whole, starts, bits in zip(batch["text"], batch["whole"], batch["starts"], batch["windows"], strict=True):
+            for value, whole, starts, bits in zip(batch["__text"], batch["__whole"], batch["__starts"], batch["__windows"], strict=True):
                 raw = _unzip(value)
                 if whole is True or whole == True:  # noqa: E712  numpy's own booleans too
                     cut = np.array([[0, len(raw)]])
@@ -458,4 +522,4 @@ def strip_repeats(docs: DataFrame, outputs: tuple[str, ...] = ("kept",), doc_id:
                     made[o].append(row[o])
             yield pd.DataFrame({c: batch[c] for c in keep} | {o: pd.Series(v, index=batch.index, dtype=object if isinstance(kinds[o], (T.StringType, T.BinaryType)) else "int64") for o, v in made.items()})
 
-    return both.select(*keep, "text", "whole", "starts", "windows").mapInPandas(run, schema)
+    return both.mapInPandas(lean(run), schema)
