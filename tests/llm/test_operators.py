@@ -285,8 +285,8 @@ def test_decontamination_query(spark):
     items = {r.item_id: decontam.words_of(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     truth = set()
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
-        joined = b" " + b" ".join(decontam.words_of(r.text)) + b" "
-        truth |= {(r.doc_id, i) for i, ws in items.items() if b" " + b" ".join(ws) + b" " in joined}
+        joined = " " + " ".join(decontam.words_of(r.text)) + " "
+        truth |= {(r.doc_id, i) for i, ws in items.items() if " " + " ".join(ws) + " " in joined}
     found = {(r.doc_id, r.item_id) for r in queries.op1_decontaminate(spark, SF).collect()}
     assert truth and truth <= found and len(found - truth) <= max(2, len(truth) // 10)
 
@@ -304,9 +304,59 @@ def test_paraphrase_needs_the_answer(spark):
     assert {(r.doc_id, r.item_id) for r in found} == {(30, 7), (32, 7)}
 
 
+def test_items_of_all_lengths_follow_one_rule(spark):
+    """Exhaustive subsequences over whole texts agree with the search, for copies, cut copies and paraphrases."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghijklm") for _ in range(7))
+    items = {k: [word() for _ in range(n)] for k, n in enumerate([6, 12, 25, 48, 70, 90, 97, 150, 300])}
+    texts, wanted = [], set()
+    noise = lambda: [word() for _ in range(60)]
+    for k, item in items.items():
+        for share in (1.0, 0.9, 0.6, 0.4):
+            held = item[: round(share * len(item))]
+            if share >= decontam.VERBATIM:
+                wanted.add((len(texts), k))
+            texts.append(" ".join([*noise(), *held, *noise()]))
+        if len(item) > 10:
+            loose = [w if i % 9 else word() for i, w in enumerate(item)]
+            wanted.add((len(texts), k))
+            texts.append(" ".join([*noise(), *loose, *noise()]))
+    bench = spark.createDataFrame([(k, " ".join(ws)) for k, ws in items.items()], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), bench).collect()}
+    assert found == wanted
+
+
+def test_items_in_other_scripts_and_quotes(spark):
+    rnd = random.Random(13)
+    han = "".join(chr(rnd.randrange(0x4E00, 0x5E00)) for _ in range(60))
+    rows = [(1, "前書き。" + han + "。後書き"), (2, "He said “seven purple elephants danced quietly” before noon and left the old town"), (3, han[:20])]
+    bench = [(1, han), (2, 'he said "seven purple elephants danced quietly" before noon')]
+    found = decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 2)}
+
+
+def test_many_items_share_one_space(spark, monkeypatch):
+    """More items than dimensions, in blocks: copies and paraphrases are found, others are not."""
+    rnd = random.Random(14)
+    word = lambda: rnd.choice("abcdefghijklmnop") + str(rnd.randrange(3000))
+    items = [[word() for _ in range(rnd.randint(15, 40))] for _ in range(400)]
+    texts, wanted = [], set()
+    for k in range(0, 400, 4):
+        copy = list(items[k])
+        for i in rnd.sample(range(len(copy)), len(copy) // 8):
+            copy[i] = word()
+        wanted.add((len(texts), k))
+        texts.append(" ".join([word() for _ in range(50)] + (copy if k % 8 else items[k]) + [word() for _ in range(50)]))
+        texts.append(" ".join(word() for _ in range(150)))
+    monkeypatch.setattr(decontam, "ITEMS", 150)
+    bench = spark.createDataFrame([(k, " ".join(ws)) for k, ws in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), bench).collect()}
+    assert found <= wanted and len(found) >= 0.97 * len(wanted)
+
+
 def test_subsequence():
-    assert decontam.common_subsequence(b"a b c d".split(), b"x a y c d b".split()) == 3
-    assert decontam.common_subsequence(b"a a b".split(), b"a b a".split()) == 2
+    assert decontam.common_subsequence("a b c d".split(), "x a y c d b".split()) == 3
+    assert decontam.common_subsequence("a a b".split(), "a b a".split()) == 2
 
 
 # 3, 6
