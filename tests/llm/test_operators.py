@@ -381,6 +381,36 @@ def test_forward_sums_all_segmentations():
     assert beta[:, 0] == pytest.approx([first, second])
 
 
+def _sum_of_segmentations(lattice_pieces, word, row):
+    """Log of the summed probability of all segmentations, by the plain recurrence over logs."""
+    marked, logs = "▁" + word, [0.0]
+    for e in range(1, len(marked) + 1):
+        terms = [logs[s] + np.log(row[lattice_pieces[marked[s:e]]]) for s in range(max(0, e - 63), e) if marked[s:e] in lattice_pieces]
+        if marked[e - 1] not in lattice_pieces:
+            terms.append(logs[e - 1] + np.log(langid.UNSEEN))
+        logs.append(np.logaddexp.reduce(terms))
+    return logs[-1]
+
+
+def test_language_query_equals_brute_force(spark):
+    """Predictions and scores of the registered model's kind, word by word from the plain recurrence; long words too."""
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.train(frame, PIECES, rows_per_language=20)
+    pieces = {p: k for k, p in enumerate(model.pieces)}
+    rnd = random.Random(6)
+    texts = [r.text[:400] for r in frame.orderBy("doc_id").limit(12).collect()]
+    texts += ["".join(rnd.choice("abcdefghiéñß漢") for _ in range(n)) for n in (40, 65, 300, 1500)] + ["das ist " + "x" * 900, "123", "", None]
+    lang, score = model.predict(texts)
+    for text, got, p in zip(texts, lang, score, strict=True):
+        words = langid.WORD.findall((text or "").lower())
+        total = np.array([sum(_sum_of_segmentations(pieces, w, model.table[:, k]) for w in words) for k in range(len(model.languages))])
+        if not words:
+            assert (got, p) == ("und", 0.0)
+            continue
+        share = np.exp(total - np.logaddexp.reduce(total))
+        assert p == pytest.approx(share.max(), abs=1e-6) and share[model.languages.index(got)] == pytest.approx(share.max(), abs=1e-6)
+
+
 def test_toxicity_is_learned_and_clean_texts_stay(spark):
     rnd = random.Random(4)
     word = lambda: "".join(rnd.choice("aeioulmnrst") for _ in range(rnd.randint(3, 7)))
@@ -458,6 +488,34 @@ def test_chat_query(spark):
         assert (r.n_turns, r.turns_sha256) == (len(turns), hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest())
         assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
         assert r.formatted_chars == sum(len(template.turn(*t)[0]) for t in turns)
+    # the same tree, walked: children by their smallest conversation, nodes in depth-first order
+    tree = {}
+    for c in sorted(wanted, key=lambda c: f"c{c}"):
+        at = tree
+        for t in wanted[c]:
+            at = at.setdefault(template.turn(*t)[0], {})
+    start, stack, place = 0, [(tree, ())], {}
+    while stack:
+        node, way = stack.pop()
+        if way:
+            place[way] = start, start + len(way[-1])
+            start += len(way[-1])
+        stack += [(child, (*way, turn)) for turn, child in reversed(node.items())]
+    for r in rows:
+        way = tuple(template.turn(*t)[0] for t in wanted[r.conv_id])
+        before = np.cumsum([0, *map(len, way)])
+        positions = "".join(f"{a} {b - 1}\n" for a, b in zip(before, before[1:], strict=False))
+        assert r.positions_sha256 == hashlib.sha256(positions.encode()).hexdigest()
+        lines = ""
+        for k in range(1, len(way) + 1):
+            spans = []
+            for a, b in (place[way[:j]] for j in range(1, k)):
+                if spans and spans[-1][1] == a:
+                    spans[-1][1] = b
+                else:
+                    spans.append([a, b])
+            lines += " ".join(f"{a}-{b}" for a, b in [*spans, place[way[:k]]]) + "\n"
+        assert r.attend_sha256 == hashlib.sha256(lines.encode()).hexdigest()
 
 
 def test_tree_shares_beginnings_in_depth_first_order(spark):

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tickloom.llm.common import Memo
+from tickloom.llm.common import Memo, lean, small_batches
 
 #: Entries kept in each memo of a Python worker before it starts afresh.
 MEMO_ENTRIES = 150_000
@@ -191,6 +191,7 @@ def transcode(
     cannot clash.  A worker holds one Arrow batch and memos of bounded size.
     """
     spark: SparkSession = docs.sparkSession
+    small_batches(spark)
     lines = spark.sparkContext.broadcast(rank_file(ranks_path))
     schema = T.StructType([docs.schema[k] for k in keep] + [T.StructField(o, OUTPUTS[o]) for o in outputs])
     names, wanted = list(keep), set(outputs)
@@ -219,4 +220,4 @@ def transcode(
             yield pd.DataFrame({k: batch[k] for k in names} | rows)
         bpe.forget()
 
-    return docs.select(*keep, docs[text].alias("__text")).mapInPandas(run, schema)
+    return docs.select(*keep, docs[text].alias("__text")).mapInPandas(lean(run), schema)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import materialise, partitions
+from tickloom.llm.common import lean, materialise, partitions, small_batches
 
 
 @dataclass(frozen=True)
@@ -86,12 +86,13 @@ def _turns(rows: DataFrame, template: Template) -> DataFrame:
             yield frame.astype({"conv": object, "node": object, "parent": object, "formatted": object})
 
     dealt = rows.repartition(partitions(rows), "conv").sortWithinPartitions("conv", F.col("turn").asc_nulls_first(), "role", "text")
-    return dealt.select("conv", "role", "text").mapInPandas(run, "conv string, depth int, node string, parent string, formatted string, loss_from int, loss_to int, pos long")
+    return dealt.select("conv", "role", "text").mapInPandas(lean(run), "conv string, depth int, node string, parent string, formatted string, loss_from int, loss_to int, pos long")
 
 
 def conversation_key(conv_id: Column) -> Column:
-    """A name for every conversation; rows with a null id are one conversation."""
-    return F.coalesce(F.concat(F.lit("c"), conv_id.cast("string")), F.lit("n"))
+    """A name for every conversation; a row with a null id is one by itself, with its equals as further turns."""
+    alone = F.concat(F.lit("n"), F.sha2(F.to_json(F.struct("turn", "role", "text")), 256))
+    return F.coalesce(F.concat(F.lit("c"), conv_id.cast("string")), alone)
 
 
 def prefix_tree(conversations: DataFrame, template: Template | None = None, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -104,20 +105,24 @@ def prefix_tree(conversations: DataFrame, template: Template | None = None, conv
     Ways: conv_id, conv, and runs of (owner, from_depth, to_depth) from the root on.
 
     Turns are taken by ``turn``, nulls first, ties by role and text; repeated rows are
-    turns of their own; null roles and texts count as empty.
+    turns of their own; null roles and texts count as empty.  Rows with a null id are
+    conversations of their own, for nothing tells them to belong together.  An empty table
+    gives two empty ones; other columns are not read.
     """
     template = template or Template()
+    small_batches(conversations.sparkSession)
     rows = conversations.select(conversations[conv_id].cast("long").alias("conv_id"), conversations[turn].alias("turn"), conversations[role].alias("role"), conversations[text].alias("text"))
     rows = rows.withColumn("conv", conversation_key(F.col("conv_id")))
     turns = materialise(_turns(rows, template))
-    owners = turns.groupBy("node").agg(F.min("conv").alias("owner"))
+    # a table of its own, so that a join with the many turns of a common beginning can be split
+    owners = materialise(turns.groupBy("node").agg(F.min("conv").alias("owner")))
     owned = materialise(turns.select("conv", "depth", "node").join(owners, "node"))
     runs = owned.groupBy("conv", "owner").agg(F.min("depth").alias("from_depth"), F.max("depth").alias("to_depth"))
     run = F.struct("from_depth", "owner", "to_depth")
     ways = materialise(runs.groupBy("conv").agg(F.array_sort(F.collect_list(run)).alias("runs")))
 
     # a node is its owner's; the owner's own way down to it holds all branches above
-    mine = turns.join(owners.where("owner is not null"), "node").where("conv = owner")
+    mine = turns.join(owners.select("node", F.col("owner").alias("conv")), ["node", "conv"]).withColumn("owner", F.col("conv"))
     placed = mine.join(ways, "conv").select("owner", "depth", "formatted", "loss_from", "loss_to", "pos", F.length("formatted").alias("n_tokens"), "runs")
     branch = F.transform(F.filter("runs", lambda r: r["from_depth"] > 0), lambda r: F.struct((-r["from_depth"]).alias("up"), r["owner"].alias("owner")))
     first = F.element_at("runs", 1)["owner"]
@@ -154,41 +159,55 @@ def prefix_tree(conversations: DataFrame, template: Template | None = None, conv
 
 
 def read_back(tree: DataFrame, ways: DataFrame) -> DataFrame:
-    """(conv_id, conv, depth, token_ids, loss_from, loss_to) for every turn of every conversation."""
+    """(conv_id, conv, depth, token_ids, loss_from, loss_to, pos, start, attend) for every turn of every conversation.
+
+    Empty tables give no rows; each conversation of ``ways`` has all its turns.
+    """
     step = F.explode("runs").alias("r")
     steps = ways.select("conv_id", "conv", step).select("conv_id", "conv", F.col("r.owner").alias("owner"), F.explode(F.sequence("r.from_depth", "r.to_depth")).alias("depth"))
-    return steps.join(tree.select("owner", "depth", "token_ids", "loss_from", "loss_to"), ["owner", "depth"])
+    return steps.join(tree.select("owner", "depth", "token_ids", "loss_from", "loss_to", "pos", "start", "attend"), ["owner", "depth"])
 
 
 def digests(turns: DataFrame, template: Template | None = None) -> DataFrame:
-    """Per conversation, from the turns read back: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
+    """Per conversation, from the turns read back: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, positions_sha256, attend_sha256.
+
+    ``positions_sha256`` digests a line for each turn with the position ids of its first and
+    last token, ``attend_sha256`` a line for each turn with the intervals of the packed
+    sequence that it may attend to, its own last (``from-to``, joined by blanks).
+    Conversations have a turn at least; a null id stays null; no turns give no rows.
+    """
     template = template or Template()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def row():
-            return (conv_id, n, turns_hash.hexdigest(), loss, loss_hash.hexdigest(), size)
+            return (conv_id, n, turns_hash.hexdigest(), loss, loss_hash.hexdigest(), size, places.hexdigest(), seen.hexdigest())
 
         conv, started = None, False
         for batch in batches:
             out = []
-            for c, cid, ids, a, b in zip(batch["conv"], batch["conv_id"], batch["token_ids"], batch["loss_from"], batch["loss_to"], strict=True):
+            for c, cid, ids, a, b, pos, start, attend in zip(*(batch[x] for x in columns), strict=True):
                 if c != conv or not started:
                     if started:
                         out.append(row())
                     conv, conv_id, started = c, None if pd.isna(cid) else int(cid), True
-                    n, loss, size, turns_hash, loss_hash = 0, 0, 0, hashlib.sha256(), hashlib.sha256()
+                    n, loss, size = 0, 0, 0
+                    turns_hash, loss_hash, places, seen = (hashlib.sha256() for _ in range(4))
                 formatted = "".join(map(chr, ids))
                 role, text = template.parse(formatted)
                 turns_hash.update(f"{role}\n{text}\n".encode())
                 learned = template.unescape(formatted[a:b])
                 loss_hash.update(learned.encode())
+                places.update(f"{pos} {pos + len(ids) - 1}\n".encode())
+                spans = [*((x["from"], x["to"]) for x in attend), (start, start + len(ids))]
+                seen.update((" ".join(f"{x}-{y}" for x, y in spans) + "\n").encode())
                 n, loss, size = n + 1, loss + len(learned), size + len(ids)
             yield pd.DataFrame(out, columns=names).astype(kinds)
         if started:
             yield pd.DataFrame([row()], columns=names).astype(kinds)
 
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    kinds = {"conv_id": "Int64", "turns_sha256": object, "loss_sha256": object}
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "positions_sha256", "attend_sha256"]
+    columns = ["conv", "conv_id", "token_ids", "loss_from", "loss_to", "pos", "start", "attend"]
+    kinds = {x: object for x in names if x.endswith("sha256")} | {"conv_id": "Int64"}
     schema = T.StructType([T.StructField(x, T.StringType() if x.endswith("sha256") else T.LongType()) for x in names])
     dealt = turns.repartition(partitions(turns), "conv").sortWithinPartitions("conv", "depth")
-    return dealt.select("conv", "conv_id", "token_ids", "loss_from", "loss_to").mapInPandas(run, schema)
+    return dealt.select(*columns).mapInPandas(lean(run), schema)

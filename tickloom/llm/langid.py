@@ -23,12 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import materialise
+from tickloom.llm.common import lean, materialise, small_batches
 
 UNDETERMINED = "und"
-#: A letter with what follows it; words longer than LONGEST are cut there.
+#: A letter with what follows it.
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-LONGEST = 32
+#: Words longer than this are summed one by one, with rescaling, and do not teach; longest piece, and words summed at once.
+LONG, WIDEST, AT_ONCE = 64, 63, 4096
+#: Languages learned at most, the most frequent ones.
+LANGUAGES = 256
 #: Probability of a character for which the vocabulary has no piece.
 UNSEEN = 1e-6
 #: Words remembered with their probabilities in each Python worker, and words handled at once.
@@ -49,8 +52,6 @@ def words_of(text: str | None) -> Iterator[list[str]]:
     low = text.lower()
     parts = iter([WORD.findall(low)]) if len(low) < 8 * CHUNK else iter(lambda m=WORD.finditer(low): [x.group() for x in islice(m, CHUNK)], [])
     for part in parts:
-        if part and len(max(part, key=len)) > LONGEST:
-            part = [w[i : i + LONGEST] for w in part for i in range(0, len(w), LONGEST)]
         if part:
             yield part
 
@@ -104,6 +105,23 @@ class Lattice:
                 alpha[w[first], e] = np.add.reduceat(alpha[w, start[at]] * weight[at], first)
         return alpha
 
+    def whole(self, word: str, table: np.ndarray) -> np.ndarray:
+        """Log probability of one word of any length in each language: the same sum, rescaled on the way."""
+        _, start, end, piece, sizes = self.edges([word])
+        order = np.argsort(end, kind="stable")
+        start, weight = start[order], table[piece[order]]
+        bounds = np.searchsorted(end[order], np.arange(int(sizes[0]) + 2))
+        alpha, total = np.zeros((int(sizes[0]) + 1, table.shape[1])), np.zeros(table.shape[1])
+        alpha[0] = 1
+        for e in range(1, len(alpha)):
+            a, b = bounds[e], bounds[e + 1]
+            now = (alpha[start[a:b]] * weight[a:b]).sum(axis=0)
+            alpha[e] = now
+            if now.min() < 1e-150:
+                alpha[max(0, e - WIDEST) : e + 1] /= now
+                total += np.log(now)
+        return total + np.log(alpha[-1])
+
     @classmethod
     def backward(cls, n: int, edges: tuple[np.ndarray, ...], weight: np.ndarray) -> np.ndarray:
         """beta[word, place, language]: the forward pass over mirrored edges."""
@@ -127,12 +145,21 @@ class Model:
         self.__init__(*state)
 
     def _learn(self, words: list[str]) -> None:
-        edges = self.lattice.edges(words)
-        alpha = self.lattice.forward(len(words), edges, self.table[edges[3]])
-        logs = np.log(np.maximum(alpha[np.arange(len(words)), edges[4]], 1e-300))
+        words = sorted(words, key=len)
+        made, short = [self.logs], sum(len(w) <= LONG for w in words)
+        for k in range(0, short, AT_ONCE):
+            part = words[k : min(k + AT_ONCE, short)]
+            edges = self.lattice.edges(part)
+            alpha = self.lattice.forward(len(part), edges, self.table[edges[3]])
+            made.append(np.log(alpha[np.arange(len(part)), edges[4]]))
+        made += [self.lattice.whole(w, self.table)[None] for w in words[short:]]
         base = len(self.logs)
         self.known.update({w: base + i for i, w in enumerate(words)})
-        self.logs = np.concatenate([self.logs, logs])
+        self.logs = np.concatenate(made)
+
+    def forget(self) -> None:
+        """Give the memory of words back."""
+        self.known, self.logs = {}, np.zeros((0, len(self.languages)))
 
     def _sums(self, words: list[str], starts: list[int]) -> np.ndarray:
         """Log probabilities summed over the runs of words that begin at ``starts``."""
@@ -156,9 +183,9 @@ class Model:
         rows: list[int] = []
 
         def flush() -> None:
-            if words:
+            if words and self.languages:
                 np.add.at(total, rows, self._sums(words, starts))
-                words.clear(), starts.clear(), rows.clear()
+            words.clear(), starts.clear(), rows.clear()
 
         for i, text in enumerate(texts):
             for part in words_of(text):
@@ -169,7 +196,7 @@ class Model:
                 if len(words) >= CHUNK:
                     flush()
         flush()
-        if not self.languages:
+        if not self.languages or not len(texts):
             return [UNDETERMINED] * len(texts), [0.0] * len(texts)
         share = np.exp(total - total.max(axis=1, keepdims=True))
         share /= share.sum(axis=1, keepdims=True)
@@ -191,20 +218,25 @@ def train(
 ) -> Model:
     """Learn piece probabilities from whole texts with a non-null language.
 
-    At most about ``rows_per_language`` rows of each language are used, chosen by a hash
-    of ``sample_key``: the documented bound of the training sample.
+    At most about ``rows_per_language`` rows of each of the ``LANGUAGES`` most frequent
+    languages are used, chosen by a hash of ``sample_key``: the documented bounds of the
+    training sample.  Words of over ``LONG`` characters do not teach.  Rows with a null text
+    or language are left out, null keys draw alike, empty texts teach nothing, repeated
+    rows count as often as they stand; no rows give a model without a language.  Other
+    columns are not read.
     """
+    small_batches(labelled.sparkSession)
     pieces = vocabulary(model_path)
     rows = labelled.select(labelled[text].alias("text"), labelled[lang].alias("lang"), labelled[sample_key].alias("key"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     languages = sorted(counts)
     if not languages:
         return Model(pieces, [], np.zeros((len(pieces) + 1, 0)))
     share = [min(1.0, rows_per_language / counts[x]) for x in languages]
     place = F.array_position(F.lit(languages), F.col("lang")).cast("int") - 1
     draw = F.pmod(F.xxhash64("key", F.lit("language sample")), F.lit(1_000_000)) / 1e6
-    sample = rows.withColumn("k", place).where(draw < F.element_at(F.lit(share), F.col("k") + 1))
+    sample = rows.withColumn("k", place).where(F.col("k") >= 0).where(draw < F.element_at(F.lit(share), F.col("k") + 1))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -212,10 +244,10 @@ def train(
                 seen: Counter = Counter()
                 for t in part["text"]:
                     for found in words_of(t):
-                        seen.update(found)
+                        seen.update(w for w in found if len(w) <= LONG)
                 yield pd.DataFrame({"k": np.int32(k), "word": list(seen), "n": list(seen.values())})
 
-    words = materialise(sample.select("k", "text").mapInPandas(count, "k int, word string, n long").groupBy("k", "word").agg(F.sum("n").alias("n")))
+    words = materialise(sample.select("k", "text").mapInPandas(lean(count), "k int, word string, n long").groupBy("k", "word").agg(F.sum("n").alias("n")))
     table = np.full((len(pieces) + 1, len(languages)), 1.0 / len(pieces))
     table[-1] = UNSEEN
     for _ in range(rounds):
@@ -224,9 +256,7 @@ def train(
         def expect(batches: Iterator[pd.DataFrame], now=now) -> Iterator[pd.DataFrame]:
             known, prob = now.value
             lattice, total = Lattice(known), np.zeros_like(prob)
-            for batch in batches:
-                if not len(batch):
-                    continue
+            for batch in (whole.iloc[k : k + AT_ONCE] for whole in batches for k in range(0, len(whole), AT_ONCE)):
                 edges = lattice.edges(batch["word"].tolist())
                 word, start, end, piece, sizes = edges
                 k = batch["k"].to_numpy()[word]
@@ -238,7 +268,7 @@ def train(
             at, lang_at = np.nonzero(total)
             yield pd.DataFrame({"piece": at, "k": lang_at, "n": total[at, lang_at]})
 
-        got = words.mapInPandas(expect, "piece int, k int, n double").groupBy("piece", "k").agg(F.sum("n").alias("n")).toPandas()
+        got = words.mapInPandas(lean(expect), "piece int, k int, n double").groupBy("piece", "k").agg(F.sum("n").alias("n")).toPandas()
         fresh = np.full_like(table, 0.01)
         fresh[got["piece"], got["k"]] += got["n"]
         fresh[-1] = 0
@@ -252,8 +282,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[Colu
 
     ``und`` with score 0 for null texts, texts without a letter, and models without a
     language; equal posteriors go to the first language in order.  Repeated rows and
-    rows with null ids stay; other columns are not read.
+    rows with null ids stay, an empty table gives no rows; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*keep, docs[text].alias("__text"))
     schema = T.StructType([*[f for f in rows.schema if f.name != "__text"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -262,5 +293,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[Colu
         for batch in batches:
             lang, score = shared.value.predict(batch["__text"].tolist())
             yield batch.drop(columns="__text").assign(lang_pred=pd.Series(lang, index=batch.index, dtype=object), score=score)
+        shared.value.forget()
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInPandas(lean(run), schema)
