@@ -598,3 +598,57 @@ def test_top_k_with_ties_and_copies(spark, monkeypatch):
         best = sorted((-scores[q, c], c) for c in range(400) if c != q)[:10]
         wanted |= {(q, r + 1, c, -s) for r, (s, c) in enumerate(best)}
     assert {(r.query_id, r.rank, r.vec_id, r.score) for r in got} == wanted
+
+
+def test_top_k_of_huge_components(spark):
+    """Scores beyond a long are ranked exactly and told as the nearest long."""
+    vectors = {0: [1e15, 1.0], 1: [1e15, 2.0], 2: [1e15, -5.0], 3: [-1e15, 0.0], 4: [1e300, 0.0], 5: [3.0, 4.0], 6: [0.0, 0.0]}
+    frame = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    got = sorted((r.rank, r.vec_id, r.score) for r in topk.top_k(frame, F.col("id") == 0).collect())
+    held = lambda x: int(max(-topk.LARGEST, min(topk.LARGEST, np.floor(1024 * x))))
+    whole = {i: [held(x) for x in v] for i, v in vectors.items()}
+    scores = {i: sum(a * b for a, b in zip(v, whole[0], strict=True)) for i, v in whole.items() if i}
+    order = sorted(scores, key=lambda i: (-scores[i], i))
+    assert got == [(k + 1, i, max(-(2**63), min(2**63 - 1, scores[i]))) for k, i in enumerate(order)]
+
+
+def test_files_are_read_in_ranges(spark, tmp_path):
+    """Ranges and blocks that end inside tokens, files that begin with a byte order mark or end with the cut."""
+    rng = np.random.default_rng(5)
+    files = {
+        "plain": rng.integers(0, 40, 5000),
+        "mark": np.concatenate([[0xEFBB, 0xBF0A], rng.integers(0, 20, 300)]),
+        "cut": np.concatenate([rng.integers(0, 20, 301), [0x0A0A]]),
+        "one": np.array([9]),
+        "none": np.array([], int),
+        "cuts": np.full(400, 0x0A0A),
+    }
+    wanted = set()
+    for name, ids in files.items():
+        (tmp_path / name).write_bytes(ids.astype(">u2").tobytes())
+        at = np.flatnonzero(ids == 9)
+        lengths = np.diff(np.concatenate([[-1], at])) - 1
+        wanted |= {(name, k, int(n), True) for k, n in enumerate(lengths)}
+        left = len(ids) - (at[-1] + 1 if len(at) else 0)
+        if left:
+            wanted.add((name, len(at), int(left), False))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        for block in (3, 100, 1 << 20):
+            got = tokcount.count_tokens(tokcount.read_blocks(spark, str(tmp_path), block), 9).collect()
+            assert {(r.file.rsplit("/", 1)[1], r.doc, r.n_tokens, r.ended) for r in got} == wanted and len(got) == len(wanted)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_token_counts_of_wide_ids(spark):
+    ids = np.array([70000, 9, 9, 1 << 24, 5, 9, 7], ">u4").tobytes()
+    rows = [("f", k, ids[3 * k : 3 * k + 3]) for k in range(-(-len(ids) // 3))]
+    got = tokcount.count_tokens(spark.createDataFrame(rows, "file string, block int, data binary"), 9, 4).orderBy("doc").collect()
+    assert [(r.doc, r.n_tokens, r.ended) for r in got] == [(0, 1, True), (1, 0, True), (2, 2, True), (3, 1, False)]
+
+
+def test_token_count_query(spark, reference):
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = queries.op9_token_counts(spark, SF).collect()
+    assert sorted(r.n_tokens for r in got) == sorted(len(reference.encode_ordinary(t)) for t in texts) and all(r.ended for r in got)

@@ -15,6 +15,7 @@ computed block against block: a task holds one block of queries and one of candi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -25,17 +26,20 @@ from tickloom.llm.common import materialise
 
 #: Vectors in one block of candidates and of queries.
 CANDIDATES, QUERIES = 4096, 2048
+#: Components are held inside this, so that decimals with 38 digits hold every score of up to 4096 dimensions.
+LARGEST = 2.0**56
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(id, components array<bigint>) of the usable rows: floor(scale * x), x as double.
 
     Rows with a null id or vector, or a null or non-finite component, take no part.
+    Components beyond ``LARGEST`` count as that.
     """
     x = vectors[vector_col].cast("array<double>")
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     usable = vectors.where(vectors[id_col].isNotNull() & x.isNotNull() & finite)
-    return usable.select(usable[id_col].cast("bigint").alias("id"), F.transform(x, lambda v: F.floor(v * F.lit(float(scale))).cast("bigint")).alias("v"))
+    return usable.select(usable[id_col].cast("bigint").alias("id"), F.transform(x, lambda v: F.greatest(F.least(F.floor(v * F.lit(float(scale))).cast("double"), F.lit(LARGEST)), F.lit(-LARGEST)).cast("bigint")).alias("v"))
 
 
 def fingerprint() -> Column:
@@ -74,14 +78,15 @@ def products(queries: list, candidates: list) -> np.ndarray:
     bound = int(np.abs(q).max(initial=0)) * int(np.abs(c).max(initial=0)) * max(1, q.shape[1])
     if bound < 2**53:
         return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
-    return q @ c.T if bound < 2**63 else (q.astype(object) @ c.astype(object).T).astype(np.int64)
+    return q @ c.T if bound < 2**63 else q.astype(object) @ c.astype(object).T
 
 
 def _blocks(classes: DataFrame, asked: DataFrame, lists: int, n_cand: int, n_ask: int, scan, schema: str) -> DataFrame:
     """Run ``scan(queries, candidates)`` on every pair of blocks of each local list."""
-    block = lambda n: F.pmod(F.xxhash64("key"), F.lit(n))
-    cand = _sliced(classes.select("key", "v"), lists).withColumn("cb", block(n_cand)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_ask - 1))))
-    ask = _sliced(asked, lists).withColumn("qb", block(n_ask)).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_cand - 1))))
+    block = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n))
+    # new names, for the two sides can come from one table
+    cand = _sliced(classes.select(F.col("key").alias("ckey"), F.col("v").alias("v")), lists).withColumn("cb", block("ckey", n_cand)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_ask - 1))))
+    ask = _sliced(asked, lists).withColumn("qb", block("key", n_ask)).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_cand - 1))))
     keys = ["list", "dim", "cb", "qb"]
     return ask.groupBy(*keys).cogroup(cand.groupBy(*keys)).applyInPandas(scan, schema)
 
@@ -101,19 +106,27 @@ def top_k(
     of the same dimension with another id; ties go to the smaller id; fewer candidates
     give fewer rows.  Repeated rows of one id and vector count once.  Unusable rows
     (see ``quantised``) take no part, an empty table gives no rows, and columns other
-    than the two named ones are not read.
+    than the two named ones are not read.  Scores are ranked exactly; one outside the range
+    of a long is told as the nearest long.
     """
     rows = quantised(vectors, id_col, vector_col, scale).select("id", "v")
     classes = materialise(_classes(rows, is_query, k))
-    n, n_asked = classes.agg(F.count("*"), F.count_if("asked")).first()
+    size = F.transform("v", lambda x: F.abs(x))
+    n, n_asked, largest, widest = classes.agg(F.count("*"), F.count_if("asked"), F.max(F.array_max(size)), F.max(F.size("v"))).first()
+    small = (largest or 0) ** 2 * (widest or 0) < 2**62
+    one, whole = ("bigint", "bigint") if small else ("decimal(18,0)", "decimal(38,0)")  # of components; of scores and their parts
+    number = (lambda x: x) if small else (lambda x: [Decimal(int(v)) for v in x])
     n_cand, n_ask = max(1, -(-n // CANDIDATES)), max(1, -(-n_asked // QUERIES))
     asked = classes.where("asked").select("key", "v")
     full = classes.select(F.col("key").alias("ckey"), F.col("v").alias("cv"))
 
+    terms = F.zip_with("qv", "cv", lambda a, b: (a.cast(one) * b.cast(one)).cast(whole))
+    dot = F.aggregate(terms, F.lit(0).cast(whole), lambda a, b: (a + b).cast(whole))
+
     def exact(pairs: DataFrame) -> DataFrame:
         """Add the exact score to (qkey, ckey) rows."""
         both = pairs.join(full, "ckey").join(asked.select(F.col("key").alias("qkey"), F.col("v").alias("qv")), "qkey")
-        return both.withColumn("score", F.aggregate(F.zip_with("qv", "cv", lambda a, b: a * b), F.lit(0).cast("bigint"), lambda a, b: a + b)).drop("qv", "cv")
+        return both.withColumn("score", dot).drop("qv", "cv")
 
     best = k + 1  # the query's own class may be one of them
 
@@ -123,15 +136,15 @@ def top_k(
         s = products(q["part"].tolist(), c["part"].tolist())
         top = np.argpartition(-s, best, axis=1)[:, :best] if s.shape[1] > best else np.tile(np.arange(s.shape[1]), (len(q), 1))
         at = np.repeat(np.arange(len(q)), top.shape[1])
-        return pd.DataFrame({"qkey": q["key"].to_numpy()[at], "ckey": c["key"].to_numpy()[top.ravel()], "list": q["list"].iloc[0], "part": s[at, top.ravel()]})
+        return pd.DataFrame({"qkey": q["key"].to_numpy()[at], "ckey": c["ckey"].to_numpy()[top.ravel()], "list": q["list"].iloc[0], "part": number(s[at, top.ravel()])})
 
-    local = _blocks(classes, asked, lists, n_cand, n_ask, gather, "qkey long, ckey long, list int, part bigint")
+    local = _blocks(classes, asked, lists, n_cand, n_ask, gather, f"qkey long, ckey long, list int, part {whole}")
     per_list = Window.partitionBy("qkey", "list").orderBy(F.desc("part"), "ckey")
     first = local.withColumn("r", F.row_number().over(per_list)).where(F.col("r") <= best).select("qkey", "ckey").distinct()
     per_query = Window.partitionBy("qkey").orderBy(F.desc("score"), "ckey")
     cutoffs = exact(first).withColumn("r", F.row_number().over(per_query)).where(F.col("r") == best).select(F.col("qkey").alias("key"), F.col("score").alias("cutoff"))
     # fewer classes than that: everything is wanted
-    informed = materialise(asked.join(cutoffs, "key", "left"))
+    informed = materialise(asked.join(cutoffs.withColumn("cutoff", F.col("cutoff").cast("bigint" if small else "double")), "key", "left"))
 
     def send(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
@@ -139,13 +152,15 @@ def top_k(
         s = products(q["part"].tolist(), c["part"].tolist())
         cut = q["cutoff"].astype("float64").to_numpy()  # a cutoff beyond 2**53 rounds by less than the 1 that is left as slack
         least = np.where(np.isnan(cut), -np.inf, np.floor(cut / lists) - np.maximum(1, np.abs(cut) * 1e-12))
-        i, j = np.nonzero(s >= least[:, None])
-        return pd.DataFrame({"qkey": q["key"].to_numpy()[i], "ckey": c["key"].to_numpy()[j], "part": s[i, j], "cutoff": q["cutoff"].astype("Int64").iloc[i].array})
+        i, j = np.nonzero((s if small else s.astype(float)) >= least[:, None])
+        cuts = q["cutoff"].astype("Int64" if small else "float64").iloc[i].array
+        return pd.DataFrame({"qkey": q["key"].to_numpy()[i], "ckey": c["ckey"].to_numpy()[j], "part": number(s[i, j]), "cutoff": cuts})
 
-    sent = _blocks(classes, informed, lists, n_cand, n_ask, send, "qkey long, ckey long, part bigint, cutoff bigint")
+    sent = _blocks(classes, informed, lists, n_cand, n_ask, send, f"qkey long, ckey long, part {whole}, cutoff {'bigint' if small else 'double'}")
     held = sent.groupBy("qkey", "ckey").agg(F.sum("part").alias("seen"), F.count("*").alias("n"), F.first("cutoff").alias("cutoff"))
+    # large scores are all scored exactly, for a bound on their decimals would round
     upper = F.col("seen") + (lists - F.col("n")) * F.ceil(F.col("cutoff") / F.lit(lists)).cast("bigint")
-    open_ = held.where(F.col("cutoff").isNull() | (upper >= F.col("cutoff")))
+    open_ = held.where(F.col("cutoff").isNull() | (upper >= F.col("cutoff"))) if small else held
     scored = exact(open_.select("qkey", "ckey"))
     members = scored.join(classes.select(F.col("key").alias("ckey"), "ids"), "ckey").select("qkey", "score", F.explode("ids").alias("vec_id"))
     order = Window.partitionBy("qkey").orderBy(F.desc("score"), "vec_id")
@@ -153,5 +168,6 @@ def top_k(
     askers = rows.where(is_query).select(fingerprint().alias("print"), F.col("id").alias("query_id")).distinct()
     askers = askers.join(classes.select("print", F.col("key").alias("qkey")), "print").drop("print")
     each = askers.join(named, "qkey").where(F.col("query_id") != F.col("vec_id"))
+    told = F.least(F.greatest(F.col("score"), F.lit(-(2**63)).cast(whole)), F.lit(2**63 - 1).cast(whole)).cast("bigint")
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return each.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return each.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", told.alias("score"))
