@@ -41,6 +41,8 @@ SHORT = 30
 SMALL = 8
 #: Counters that order words by frequency in the exact search; collisions only change the order.
 COUNTERS = 1 << 18
+#: Bits of a text's parity signature in the exact search.
+BITS = 1024
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _words = Memo(lambda w: xxhash.xxh3_64_intdigest(w.encode()), 100_000)
@@ -202,7 +204,10 @@ def remaining_pairs(entry: DataFrame, linked: DataFrame, docs: DataFrame, least:
     labelled by occurrence, in order of frequency among them.  Similar texts of n words
     together have least / (1 + least) * n in common, so at the first of these in that
     order both must have as many words left.  In each word's group all but the largest
-    component are paired with the members of other components.  None if no text is left.
+    component are paired with the members of other components.  Each text also has the
+    parities of how many of its words fall on each of ``BITS`` places: where two texts'
+    parities differ, at least one word is not common, so pairs with too many such places
+    are left out.  None if no text is left.
     """
     part = entry.where(F.col("size") > SMALL).join(linked, F.col("rep") == F.col("node"), "left").select("sig", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = part.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
@@ -241,16 +246,18 @@ def remaining_pairs(entry: DataFrame, linked: DataFrame, docs: DataFrame, least:
                 order = np.lexsort((w, times))
                 after = len(w) - np.arange(len(w))  # a word and those behind it
                 keep = (after >= share * len(w) * (1 + least) - 1e-6) & (times[order] > 1)
-                rows.append(pd.DataFrame({"label": w[order][keep].view(np.int64), "rep": rep, "n": len(w), "component": component, "after": after[keep]}))
+                odd = np.packbits(np.bincount((w >> np.uint64(20)) % np.uint64(BITS), minlength=BITS) & 1 == 1).view(np.int64)
+                rows.append(pd.DataFrame({"label": w[order][keep].view(np.int64), "rep": rep, "n": len(w), "component": component, "after": after[keep], "odd": [odd] * int(keep.sum())}))
             if rows:
                 yield pd.concat(rows)
 
-    first = materialise(held.mapInPandas(lead, "label long, rep long, n int, component long, after int"))
+    first = materialise(held.mapInPandas(lead, "label long, rep long, n int, component long, after int, odd array<long>"))
     sizes = first.groupBy("label", "component").agg(F.count("*").alias("members"))
     largest = sizes.groupBy("label").agg(F.max_by("component", "members").alias("largest"), F.count("*").alias("components")).where("components > 1")
     open_ = first.join(largest.select("label", "largest"), "label")
-    one = open_.where("component <> largest").select("label", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("after").alias("ax"))
-    could = (F.least("after", "ax") >= (F.col("n") + F.col("nx")) * F.lit(share) - 1e-6) & (F.least("n", "nx") >= F.greatest("n", "nx") * F.lit(least - 1e-9))
+    one = open_.where("component <> largest").select("label", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("after").alias("ax"), F.col("odd").alias("ox"))
+    apart = F.aggregate(F.zip_with("odd", "ox", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    could = (apart <= (F.col("n") + F.col("nx")) * F.lit(1 - 2 * share) + 1e-6) & (F.least("after", "ax") >= (F.col("n") + F.col("nx")) * F.lit(share) - 1e-6) & (F.least("n", "nx") >= F.greatest("n", "nx") * F.lit(least - 1e-9))
     pair = one.join(open_, "label").where((F.col("cx") != F.col("component")) & could)
     return pair.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
 
