@@ -6,18 +6,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def series_keys(df: DataFrame) -> list[str]:
+    """What tells one series of bars from another: exchange and symbol, as far as there are such columns."""
+    return [c for c in ("exchange", "symbol") if c in df.columns]
+
+
 def with_neighbour(df: DataFrame, by: list[str] | tuple[str, ...], columns: list[str], ts: str = "ts", after: bool = False) -> DataFrame:
     """Add ``prev_`` (or ``next_``) columns of the neighbouring row of the same key in time.
 
     Rows are ordered inside (key, day), so a symbol of many years is as many tasks as days;
-    the neighbour of a day's outer row comes from one row for each day.
+    the neighbour of a day's outer row comes from one row for each day.  Equal times are
+    ordered by the columns asked for.
     """
     keys = [*by, "__day"]
     here = F.struct(*columns)
-    inside = Window.partitionBy(*keys).orderBy(ts)
+    inside = Window.partitionBy(*keys).orderBy(*dict.fromkeys([ts, *columns]))
     across = Window.partitionBy(*by).orderBy("__day")
     rows = df.withColumn("__day", F.to_date(ts))
-    edge = rows.groupBy(*keys).agg((F.min_by if after else F.max_by)(here, ts).alias("__edge"))
+    edge = rows.groupBy(*keys).agg((F.min_by if after else F.max_by)(here, F.struct(*dict.fromkeys([ts, *columns]))).alias("__edge"))
     step = F.lead if after else F.lag
     outer = edge.select(*keys, step("__edge").over(across).alias("__outer"))
     both = rows.withColumn("__inner", step(here).over(inside)).join(outer, keys, "left")

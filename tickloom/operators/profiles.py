@@ -95,15 +95,17 @@ def system_status(checks: DataFrame, status: str = "status") -> DataFrame:
 
 
 def row_hash(columns: list[str]) -> Column:
-    """SHA-256 of a row's columns as text, nulls marked."""
-    return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]), 256)
+    """SHA-256 of a row's columns as text, each after its length; a null is a dash, which no length begins with."""
+    text = [F.col(c).cast("string") for c in columns]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]), 256)
 
 
-def content_hash(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One hash of all rows whatever their order, and their number.
+def content_hash(df: DataFrame, columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """One hash of all rows (of each group ``by``) whatever their order, and their number.
 
-    The 64-bit halves of the row hashes are summed, which partial aggregation combines,
+    Four 60-bit parts of the row hashes are summed, which partial aggregation combines,
     so no row list is gathered.
     """
-    h = F.conv(F.substring(row_hash(columns), 1, 15), 16, 10).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("n_rows"), F.sha2(F.coalesce(F.sum(h), F.lit(0)).cast("string"), 256).alias("content_sha256"))
+    part = lambda k: F.conv(F.substring("__h", 15 * k + 1, 15), 16, 10).cast("decimal(19,0)")
+    sums = [F.coalesce(F.sum(part(k)), F.lit(0)).cast("decimal(38,0)").cast("string") for k in range(4)]
+    return df.withColumn("__h", row_hash(columns)).groupBy(*by).agg(F.count("*").alias("n_rows"), F.sha2(F.concat_ws(",", *sums), 256).alias("content_sha256"))

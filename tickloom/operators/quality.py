@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import row_sample, seconds_between
-from tickloom.operators.ordered import with_neighbour
+from tickloom.operators.ordered import series_keys, with_neighbour
 
 PRICES = ("open", "high", "low", "close")
 #: Severity of each rule.
@@ -68,9 +68,9 @@ def rule(name: str) -> Column:
     raise ValueError(f"unknown rule {name!r}")
 
 
-def with_gaps(bars: DataFrame, step_seconds: float = 1, keys: tuple[str, ...] = ("symbol",)) -> DataFrame:
-    """Seconds since the bar before of the same key; duplicates give 0."""
-    near = with_neighbour(bars, keys, ["ts"])
+def with_gaps(bars: DataFrame, step_seconds: float = 1, keys: tuple[str, ...] | None = None) -> DataFrame:
+    """Seconds since the bar before of the same key, by default the exchange's symbol; duplicates give 0."""
+    near = with_neighbour(bars, keys or series_keys(bars), ["ts"])
     return near.withColumn("gap_seconds", seconds_between("prev_ts", "ts")).withColumn("step_seconds", F.lit(float(step_seconds))).drop("prev_ts")
 
 
@@ -102,13 +102,14 @@ def rule_summary(bars: DataFrame, timeframe_seconds: int = 1) -> DataFrame:
     held = flagged(bars, timeframe_seconds)
     counts = [F.count_if(F.array_contains("rules", n)).alias(n.lower()) for n in ("R1", "R2", "R3", "R4", "R5", "R6", "NEG_VOL")]
     kind = spread_kind()
-    return held.agg(F.count("*").alias("bars"), *counts, F.count_if(kind == "negative").alias("r6_negative"), F.count_if(kind == "excessive").alias("r6_excessive"))
+    held = held.withColumn("r6_known", F.col("spread") + F.col("bid") + F.col("ask"))  # null where one is
+    return held.agg(F.count("*").alias("bars"), *counts, F.count_if(kind == "negative").alias("r6_negative"), F.count_if(kind == "excessive").alias("r6_excessive"), F.count("r6_known").alias("r6_checked"))
 
 
 def report_verdict(summary: DataFrame) -> DataFrame:
-    """PASS, INVESTIGATE (only few excessive spreads) or FAIL; R5 and R7 do not count."""
+    """PASS, INVESTIGATE (only few excessive spreads among the bars with quotes) or FAIL; R5 and R7 do not count."""
     hard = (F.col("r1") + F.col("r2") + F.col("r3") + F.col("r4")) == 0
-    share = 100.0 * F.col("r6_excessive") / F.nullif("bars", F.lit(0))
+    share = 100.0 * F.col("r6_excessive") / F.nullif("r6_checked", F.lit(0))
     return summary.withColumn("verdict", F.when(hard & (F.col("r6") == 0), "PASS").when(hard & (F.coalesce(share, F.lit(0.0)) < 0.1), "INVESTIGATE").otherwise("FAIL"))
 
 

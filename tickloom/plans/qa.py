@@ -46,14 +46,19 @@ class QaConfig:
 
 
 def anomalies(bars: DataFrame, violations: DataFrame, config: QaConfig) -> DataFrame:
-    """Labelled anomalies of all configured detectors: symbol, ts, detector, z, spread_bp, label, confidence."""
-    found = []
+    """Labelled anomalies of all configured detectors: symbol, ts, detector, z, spread_bp, label, confidence.
+
+    Rows that break a rule are no anomalies: z-scores and jumps are those of the clean
+    rows, and the forest learns from them.
+    """
+    found, masked = [], clean_rows(bars, violations)
+    clean = masked.where("is_clean").drop("is_clean")
     if "zscore" in config.detectors:
-        found.append(detect.zscores(bars, config.zscore_window, config.zscore_k).select("symbol", "ts", "detector", "z", F.lit(None).cast("double").alias("spread_bp")))
+        found.append(detect.zscores(clean, config.zscore_window, config.zscore_k).select("symbol", "ts", "detector", "z", F.lit(None).cast("double").alias("spread_bp")))
     if "jump" in config.detectors:
-        found.append(detect.jumps(bars, config.jump_k_sigma, config.jump_stable_bps, config.jump_min_trades).select("symbol", "ts", "detector", "z", "spread_bp"))
+        found.append(detect.jumps(clean, config.jump_k_sigma, config.jump_stable_bps, config.jump_min_trades).select("symbol", "ts", "detector", "z", "spread_bp"))
     if "iforest" in config.detectors:
-        scored = detect.isolation_forest(clean_rows(bars, violations), config.forest_contamination, config.forest_trees)
+        scored = detect.isolation_forest(masked, config.forest_contamination, config.forest_trees)
         found.append(scored.select("symbol", "ts", "detector", F.col("score").alias("z"), F.lit(None).cast("double").alias("spread_bp")))
     rows = found[0]
     for more in found[1:]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.keys import dedup, upsert
-from tickloom.operators.profiles import content_hash
+from tickloom.operators.profiles import content_hash, gap_rows
 
 PARTITIONS = ["exchange", "symbol", "year", "month", "day"]
 
@@ -45,13 +45,17 @@ def upsert_days(spark: SparkSession, fresh: DataFrame, root: str, staging: str,
 def compact(bars: DataFrame, root: str, columns: list[str], keys: tuple[str, ...] = ("exchange", "symbol", "ts")) -> DataFrame:
     """One sorted file for each day and symbol under its own root, and a summary of each.
 
-    The first of equal keys stays.  The summary has rows, gaps over a second, and one hash
-    of the content, which does not depend on the writer.
+    The first of equal keys stays.  The summary, read from what was written, has date,
+    n_rows, gaps over a second inside each symbol's series (a day's first row looks back to
+    the day before), and content_sha256, which does not depend on the writer.
     """
     first = dedup(bars, list(keys), ["trade_count"], keep="first").withColumn("date", F.to_date("ts"))
     chosen = first.select("date", *columns)
     chosen.repartition("date", "exchange", "symbol").sortWithinPartitions("date", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(root)
-    return content_hash(chosen, columns)
+    written = bars.sparkSession.read.parquet(root).join(F.broadcast(chosen.select("date").distinct()), "date", "left_semi")
+    late = gap_rows(written.select("exchange", "symbol", "ts", "date"), ["exchange", "symbol"], longer_than=1.0)
+    gaps = late.groupBy(F.to_date(F.col("ts") + F.make_dt_interval(secs=F.col("gap_seconds"))).alias("date")).agg(F.count("*").alias("gaps"))
+    return content_hash(written, columns, ("date",)).join(gaps, "date", "left").fillna(0, ["gaps"])
 
 
 def export(df: DataFrame, path: str, kind: str = "parquet") -> None:

@@ -43,8 +43,10 @@ def day_or_daily(spark: SparkSession, compacted_root: str, root: str, day: datet
     """The compacted bars of a day where they exist, else those in partitions."""
     try:
         return spark.read.parquet(f"{compacted_root}/date={day:%Y-%m-%d}")
-    except AnalysisException:
-        return spark.read.parquet(root).where(partition_range(day, day))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.read.parquet(root).where(partition_range(day, day)).drop("year", "month", "day")
 
 
 def recent(df: DataFrame, days: int, now: datetime | None = None, ts: str = "ts") -> DataFrame:

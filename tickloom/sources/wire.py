@@ -23,7 +23,7 @@ def _tick(exchange: str, symbol: Column, ts_event: Column, stream: Column, price
 
 
 def binance(raw: DataFrame) -> DataFrame:
-    """Combined-stream messages; the stream name decides the kind, else the event type."""
+    """Combined-stream messages; the stream name decides the kind, and the event type only where there is none."""
     # field names differ in case only (e and E), which a struct cannot hold
     body = F.coalesce(F.get_json_object("message", "$.data"), F.col("message"))
     rows = raw.withColumn("body", body)
@@ -31,7 +31,7 @@ def binance(raw: DataFrame) -> DataFrame:
     name, kind = F.coalesce(F.get_json_object("message", "$.stream"), F.lit("")), F.lower(F.coalesce(d("e"), F.lit("")))
     stream = (
         F.when(name.contains("@trade"), "trade").when(name.contains("@bookTicker"), "bookTicker")
-        .when(kind.contains("trade"), "trade").when(kind.contains("bookticker"), "bookTicker").otherwise(F.coalesce(F.nullif(d("e"), F.lit("")), F.lit("unknown")))
+        .when((name == "") & kind.contains("trade"), "trade").when((name == "") & kind.contains("bookticker"), "bookTicker").otherwise(F.coalesce(F.nullif(d("e"), F.lit("")), F.lit("unknown")))
     )
     ms = lambda name: F.nullif(d(name).try_cast("bigint"), F.lit(0))
     kept = rows.where(d("s").isNotNull() | d("e").isNotNull())
