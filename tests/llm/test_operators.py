@@ -546,7 +546,9 @@ def test_escapes_are_reversible(text, role):
 # 7, 9, 10
 
 
-def test_url_rules_edges(spark):
+@pytest.mark.parametrize("most", [50_000, 0])
+def test_url_rules_edges(spark, monkeypatch, most):
+    monkeypatch.setattr(urlrules, "MAX_RULES", most)  # few rules in every task, or a table of them
     urls = ["HTTP://EXAMPLE.com/EN/7", "http://a.example.com/en/71?x#y", "http://com/en/1", "http://notcom/en/1", "http://x.net/de/8", "http://example.net/de/8#z", "no url", None, "http://", "a://b://c/d", "http://x.com?/en/"]
     got = urlrules.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), map(urlrules.parse_rule, queries.URL_RULES)).orderBy("page_id").collect()
     assert [(r.host, r.path, r.rule, r.verdict) for r in got] == [

@@ -41,6 +41,8 @@ SHORT = 30
 SMALL = 8
 #: Counters that order words by frequency in the exact search; collisions only change the order.
 COUNTERS = 1 << 18
+#: Names of texts whose id has other texts begin here; ids lie below.
+APART = 1 << 62
 #: Bits of a text's parity signature in the exact search.
 BITS = 1024
 
@@ -300,15 +302,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     comparing them; texts without a word are compared as they are; a null text is like no
     other.  A row with a null id has a null class and takes no part.  Repeated rows stay.
     Where an id repeats with another text, each row has its own text's class and
-    ``text_hash`` (xxhash64) tells them apart; texts are compared under the smallest id
-    that has them, so such an id should be rare.  An empty table gives no rows, and other
+    ``text_hash`` (xxhash64) tells them apart.  An empty table gives no rows, and other
     columns are not read.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     named = rows.where(F.col("doc_id").isNotNull())
     prints = materialise(_fingerprints(named, count, size, words))
-    texts = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sigs").alias("sigs")))
+    first = F.min(F.struct("doc_id", "text_hash")).alias("first")
+    texts = prints.groupBy("fp").agg(first, F.first("n").alias("n"), F.first("sigs").alias("sigs"))
+    several = prints.groupBy("doc_id").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high")).where("low < high")
+    several = materialise(several.select("doc_id"))
+    repeats = not several.isEmpty()
+    if repeats:  # a text of an id that has others goes by a name of its own, above all ids
+        odd = several.select(F.col("doc_id").alias("__odd"))
+        own = F.xxhash64("fp").bitwiseAND(F.lit(APART - 1)).bitwiseOR(F.lit(APART))
+        texts = texts.join(odd, F.col("first.doc_id") == F.col("__odd"), "left").withColumn("rep", F.when(F.col("__odd").isNull(), F.col("first.doc_id")).otherwise(own)).drop("__odd")
+        texts = materialise(texts)
+        of = texts.select("rep", F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"))
+        named = named.withColumn("text_hash", F.xxhash64("text")).join(of, ["doc_id", "text_hash"]).select(F.col("rep").alias("doc_id"), "text")
+    else:
+        texts = materialise(texts.withColumn("rep", F.col("first.doc_id")))
     entry = entries(texts)
     links = materialise(verified(materialise(candidate_pairs(entry, least)), named, least).select("a", "b"))
     joined = components(links)
@@ -317,7 +331,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         more = materialise(verified(materialise(rest), named, least).select("a", "b"))
         if not more.isEmpty():
             joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-    of_text = texts.join(joined, texts["rep"] == joined["node"], "left").select("fp", F.coalesce("component", "rep").alias("class_id"))
+    of_text = texts.join(joined, texts["rep"] == joined["node"], "left").select("fp", F.col("first.doc_id").alias("least"), F.coalesce("component", "rep").alias("class_id"))
+    if repeats:
+        named_by = of_text.groupBy("class_id").agg(F.min("least").alias("id"))
+        of_text = of_text.join(named_by, "class_id").select("fp", F.col("id").alias("class_id"))
+    of_text = of_text.select("fp", "class_id")
     classes = prints.select("doc_id", "text_hash", "fp").join(of_text, "fp").select("doc_id", "text_hash", "class_id")
     none = F.lit(None).cast("long")
     return classes.unionByName(rows.where(F.col("doc_id").isNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), none.alias("class_id")))
