@@ -248,8 +248,10 @@ def remaining_pairs(entry: DataFrame, linked: DataFrame, docs: DataFrame, least:
                 order = np.lexsort((w, times))
                 after = len(w) - np.arange(len(w))  # a word and those behind it
                 keep = (after >= share * len(w) * (1 + least) - 1e-6) & (times[order] > 1)
+                if not keep.any():
+                    continue
                 odd = np.packbits(np.bincount((w >> np.uint64(20)) % np.uint64(BITS), minlength=BITS) & 1 == 1).view(np.int64)
-                rows.append(pd.DataFrame({"label": w[order][keep].view(np.int64), "rep": rep, "n": len(w), "component": component, "after": after[keep], "odd": [odd] * int(keep.sum())}))
+                rows.append(pd.DataFrame({"label": w[order][keep].view(np.int64), "rep": rep, "n": len(w), "component": component, "after": after[keep], "odd": pd.Series([odd] * int(keep.sum()), dtype=object)}))
             if rows:
                 yield pd.concat(rows)
 
