@@ -258,11 +258,13 @@ def remaining_pairs(entry: DataFrame, linked: DataFrame, docs: DataFrame, least:
     first = materialise(held.mapInPandas(lead, "label long, rep long, n int, component long, after int, odd array<long>"))
     sizes = first.groupBy("label", "component").agg(F.count("*").alias("members"))
     largest = sizes.groupBy("label").agg(F.max_by("component", "members").alias("largest"), F.count("*").alias("components")).where("components > 1")
-    open_ = first.join(largest.select("label", "largest"), "label")
-    one = open_.where("component <> largest").select("label", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("after").alias("ax"), F.col("odd").alias("ox"))
+    # of each word's texts, those outside its largest component look for partners among all
+    other = largest.select(F.col("label").alias("l"), "largest")
+    one = first.join(other, (F.col("label") == F.col("l")) & (F.col("component") != F.col("largest")))
+    one = one.select("label", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("after").alias("ax"), F.col("odd").alias("ox"))
     apart = F.aggregate(F.zip_with("odd", "ox", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     could = (apart <= (F.col("n") + F.col("nx")) * F.lit(1 - 2 * share) + 1e-6) & (F.least("after", "ax") >= (F.col("n") + F.col("nx")) * F.lit(share) - 1e-6) & (F.least("n", "nx") >= F.greatest("n", "nx") * F.lit(least - 1e-9))
-    pair = one.join(open_, "label").where((F.col("cx") != F.col("component")) & could)
+    pair = one.join(first, "label").where((F.col("cx") != F.col("component")) & could)
     return pair.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
 
 
