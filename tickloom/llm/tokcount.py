@@ -18,12 +18,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.bpe import codec, rank_file
-from tickloom.llm.common import lean, small_batches
+from tickloom.llm.common import lean, materialise, small_batches
 
 #: Bytes of a block, and the byte at which Spark cuts ranges; any byte value serves.
 BLOCK, CUT = 1 << 20, b"\n"
 #: Blocks of one range at most, as a power of two.
 RANGE_BLOCKS = 20
+#: Outer blocks of files, two a file, that may be broadcast; some 150 bytes each.
+EDGES = 100_000
 
 
 def write_flat(docs: DataFrame, path: str, ranks_path: str, pattern: str, end_id: int, width: int = 2, text: str = "text") -> None:
@@ -86,8 +88,8 @@ def read_blocks(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame
     sizes = rows.groupBy("file").agg(F.first("size").alias("size"), F.sum(F.octet_length("data") + 1).alias("read"))
     first = Window.partitionBy("file").orderBy("block")
     ends = glued.select("file", "block").withColumns({"lead": F.row_number().over(first), "last": F.lead("block").over(first).isNull()}).where(F.col("last") | (F.col("lead") == 1))
-    known = ends.join(sizes, "file").select("file", "block", "last", (F.col("size") - F.col("read")).alias("more"), (F.col("lead") == 1).alias("lead"))
-    both = glued.join(known, ["file", "block"], "left")
+    known = materialise(ends.join(sizes, "file").select("file", "block", "last", (F.col("size") - F.col("read")).alias("more"), (F.col("lead") == 1).alias("lead")))
+    both = glued.join(F.broadcast(known) if known.count() <= EDGES else known, ["file", "block"], "left")  # else the blocks would be shuffled
     missing = F.col("more") >= 2  # size - read is 0, or -1 without a cut at the end; a mark adds its 3 bytes
     data = F.when(F.col("lead") & missing, F.concat(F.lit(b"\xef\xbb\xbf"), F.col("data"))).otherwise(F.col("data"))
     cut = F.col("last") & F.col("more").isin(-1, 2)
