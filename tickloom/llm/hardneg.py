@@ -186,7 +186,7 @@ def best(scores: np.ndarray, wanted: np.ndarray, first_ids: np.ndarray, k: int)
 def paired(anchors: DataFrame, rows: DataFrame, n_anchors: int, n_rows: int, scan: Callable, schema: str) -> DataFrame:
     """Run ``scan`` on every block of anchors with every block of rows of their dimension."""
     blocks_a, blocks_r = max(1, -(-n_anchors // ANCHORS)), max(1, -(-n_rows // CANDIDATES))
-    block = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n))
+    block = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")  # noqa: E731  the type of the other side, or equal blocks would be dealt apart
     left = anchors.withColumn("ab", block("key", blocks_a)).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(blocks_r - 1))))
     right = rows.select(F.col("dim").alias("rdim"), F.col("key").alias("rkey"), F.col("label").alias("rlabel"), F.col("v").alias("rv"), "ids", "codes", "rest")
     right = right.withColumn("rrb", block("rkey", blocks_r)).withColumn("rab", F.explode(F.sequence(F.lit(0), F.lit(blocks_a - 1))))
