@@ -372,8 +372,8 @@ def test_forward_sums_all_segmentations():
     lattice = langid.Lattice(["▁a", "a", "b", "▁ab", "ab"])
     table = np.array([0.1, 0.2, 0.3, 0.05, 0.07, 1e-6])[:, None]
     edges = lattice.edges(["ab", "bab"])
-    alpha = lattice.forward(2, edges, table[edges[3]])[:, :, 0]
-    beta = lattice.backward(2, edges, table[edges[3]])[:, :, 0]
+    alpha = np.exp(lattice.forward(2, edges, table[edges[3]])[:, :, 0])
+    beta = np.exp(lattice.backward(2, edges, table[edges[3]])[:, :, 0])
     unseen = 1e-6  # the word mark alone is no piece here
     first = 0.1 * 0.3 + 0.05 + unseen * (0.07 + 0.2 * 0.3)
     second = unseen * 0.3 * (0.07 + 0.2 * 0.3)
@@ -392,6 +392,24 @@ def _sum_of_segmentations(lattice_pieces, word, row):
     return logs[-1]
 
 
+def test_long_words_teach(spark):
+    """A language of words of over 64 characters of a script without spaces is learned."""
+    rnd = random.Random(8)
+    word = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    rows = [(i, word("漢字語文書体会社時間", 90), "zh") for i in range(40)] + [(100 + i, word("かなきくけこさしすせそ", 90), "ja") for i in range(40)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PIECES)
+    lang, score = model.predict([word("漢字語文書体", 80), word("かなきくけこ", 80)])
+    assert lang == ["zh", "ja"] and min(score) > 0.99
+
+
+def test_runs_of_words_cover_all(monkeypatch):
+    monkeypatch.setattr(langid, "AT_ONCE", 3)
+    monkeypatch.setattr(langid, "CELLS", 40)
+    for sizes in ([], [1], [1] * 7, [1, 2, 100, 3, 3, 3, 50]):
+        runs = list(langid.together(sizes))
+        assert [i for r in runs for i in range(r.start, r.stop)] == list(range(len(sizes)))
+
+
 def test_language_query_equals_brute_force(spark):
     """Predictions and scores of the registered model's kind, word by word from the plain recurrence; long words too."""
     frame = spark.read.parquet(f"{SF}/documents.parquet")
@@ -399,7 +417,11 @@ def test_language_query_equals_brute_force(spark):
     pieces = {p: k for k, p in enumerate(model.pieces)}
     rnd = random.Random(6)
     texts = [r.text[:400] for r in frame.orderBy("doc_id").limit(12).collect()]
-    texts += ["".join(rnd.choice("abcdefghiéñß漢") for _ in range(n)) for n in (40, 65, 300, 1500)] + ["das ist " + "x" * 900, "123", "", None]
+    texts += ["".join(rnd.choice("abcdefghiéñß漢") for _ in range(n)) for n in (40, 65, 300, 1500)]
+    # letters outside the vocabulary, at lengths where plain sums leave the doubles; a Latin word between them decides
+    texts += ["".join(rnd.choice(letters) for _ in range(n)) for letters in ("漢字語文書体", "かなきくけこ", "ابتثجحخد", "ሀለሐመሠረ") for n in (45, 50, 58, 64, 65, 400)]
+    texts += ["漢" * 60 + " und der die", "ሀ" * 50]
+    texts += ["das ist " + "x" * 900, "123", "", None]
     lang, score = model.predict(texts)
     for text, got, p in zip(texts, lang, score, strict=True):
         words = langid.WORD.findall((text or "").lower())
@@ -408,6 +430,7 @@ def test_language_query_equals_brute_force(spark):
             assert (got, p) == ("und", 0.0)
             continue
         share = np.exp(total - np.logaddexp.reduce(total))
+        assert 0 <= p <= 1
         assert p == pytest.approx(share.max(), abs=1e-6) and share[model.languages.index(got)] == pytest.approx(share.max(), abs=1e-6)
 
 
@@ -604,14 +627,26 @@ def test_top_k_with_ties_and_copies(spark, monkeypatch):
 
 def test_top_k_of_huge_components(spark):
     """Scores beyond a long are ranked exactly and told as the nearest long."""
-    vectors = {0: [1e15, 1.0], 1: [1e15, 2.0], 2: [1e15, -5.0], 3: [-1e15, 0.0], 4: [1e300, 0.0], 5: [3.0, 4.0], 6: [0.0, 0.0]}
+    vectors = {0: [1e15, 1.0], 1: [1e15, 2.0], 2: [1e15, -5.0], 3: [-1e15, 0.0], 4: [1e300, 0.0], 5: [3.0, 4.0], 6: [0.0, 0.0], 7: [0.001, 0.0], 8: [0.002, 1.0]}
     frame = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
     got = sorted((r.rank, r.vec_id, r.score) for r in topk.top_k(frame, F.col("id") == 0).collect())
-    held = lambda x: int(max(-topk.LARGEST, min(topk.LARGEST, np.floor(1024 * x))))
-    whole = {i: [held(x) for x in v] for i, v in vectors.items()}
+    whole = {i: [int(np.floor(1024 * x)) for x in v] for i, v in vectors.items()}
     scores = {i: sum(a * b for a, b in zip(v, whole[0], strict=True)) for i, v in whole.items() if i}
     order = sorted(scores, key=lambda i: (-scores[i], i))
     assert got == [(k + 1, i, max(-(2**63), min(2**63 - 1, scores[i]))) for k, i in enumerate(order)]
+    assert {i: s for _, i, s in got}[7] == 1_024_000_000_000_000_000 and {i: s for _, i, s in got}[8] == 2_048_000_000_001_048_576
+
+
+@pytest.mark.parametrize("name", ["op10_top_k", "op11_hard_negatives"])
+def test_blocks_meet_without_coalescing(spark, name):
+    """Equal blocks of both sides meet in one task, however many tasks there are."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        same(queries.QUERIES[name](spark, SF), SF, queries.ORACLE_SQL[name])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_files_are_read_in_ranges(spark, tmp_path):
