@@ -28,8 +28,10 @@ from tickloom.llm.common import lean, materialise, small_batches
 UNDETERMINED = "und"
 #: A letter with what follows it.
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-#: Words longer than this are summed one by one, with rescaling, and do not teach; longest piece, and words summed at once.
-LONG, WIDEST, AT_ONCE = 64, 63, 4096
+#: Pieces longer than this are not used; words summed at once, and places of all of them times languages.
+WIDEST, AT_ONCE, CELLS = 24, 4096, 1_200_000
+#: Sums below this are scaled up; over the longest piece they stay doubles then.
+TINY = 1e-60
 #: Languages learned at most, the most frequent ones.
 LANGUAGES = 256
 #: Probability of a character for which the vocabulary has no piece.
@@ -42,7 +44,7 @@ def vocabulary(model_path: str) -> list[str]:
     """Pieces that stand for text: no control or byte pieces; the word mark only in front."""
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
     ids = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
-    return [p for p in map(model.id_to_piece, ids) if "▁" not in p[1:]]
+    return [p for p in map(model.id_to_piece, ids) if "▁" not in p[1:] and len(p) <= WIDEST]
 
 
 def words_of(text: str | None) -> Iterator[list[str]]:
@@ -91,44 +93,53 @@ class Lattice:
 
     @staticmethod
     def forward(n: int, edges: tuple[np.ndarray, ...], weight: np.ndarray) -> np.ndarray:
-        """alpha[word, place, language]; ``weight`` has a row of probabilities for each edge."""
+        """Log of alpha[word, place, language]; ``weight`` has a row of probabilities for each edge.
+
+        Sums are scaled up where they become tiny: a word's next places need no more of those
+        before than the longest edge reaches, so these are scaled alike and the factor is kept
+        as a log.
+        Words of any length go this way.
+        """
         word, start, end, _, sizes = edges
-        alpha = np.zeros((n, int(sizes.max(initial=0)) + 1, weight.shape[1]))
-        alpha[:, 0] = 1
+        places, languages = int(sizes.max(initial=0)) + 1, weight.shape[1]
+        alpha, logs, scale = np.zeros((n, places, languages)), np.full((n, places, languages), -np.inf), np.zeros((n, languages))
+        alpha[:, 0], logs[:, 0] = 1, 0
+        reach = int((end - start).max(initial=1))
         order = np.lexsort((word, end))
-        bounds = np.searchsorted(end[order], np.arange(alpha.shape[1] + 1))
-        for e in range(1, alpha.shape[1]):
+        bounds = np.searchsorted(end[order], np.arange(places + 1))
+        for e in range(1, places):
             at = order[bounds[e] : bounds[e + 1]]
             if len(at):
                 w = word[at]
                 first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-                alpha[w[first], e] = np.add.reduceat(alpha[w, start[at]] * weight[at], first)
-        return alpha
-
-    def whole(self, word: str, table: np.ndarray) -> np.ndarray:
-        """Log probability of one word of any length in each language: the same sum, rescaled on the way."""
-        _, start, end, piece, sizes = self.edges([word])
-        order = np.argsort(end, kind="stable")
-        start, weight = start[order], table[piece[order]]
-        bounds = np.searchsorted(end[order], np.arange(int(sizes[0]) + 2))
-        alpha, total = np.zeros((int(sizes[0]) + 1, table.shape[1])), np.zeros(table.shape[1])
-        alpha[0] = 1
-        for e in range(1, len(alpha)):
-            a, b = bounds[e], bounds[e + 1]
-            now = (alpha[start[a:b]] * weight[a:b]).sum(axis=0)
-            alpha[e] = now
-            if now.min() < 1e-150:
-                alpha[max(0, e - WIDEST) : e + 1] /= now
-                total += np.log(now)
-        return total + np.log(alpha[-1])
+                now, own = np.add.reduceat(alpha[w, start[at]] * weight[at], first), w[first]
+                alpha[own, e], logs[own, e] = now, np.log(now) + scale[own]
+                row, k = np.nonzero(now < TINY)
+                if len(row):
+                    factor = now[row, k]
+                    alpha[own[row], max(0, e - reach) : e + 1, k] /= factor[:, None]
+                    scale[own[row], k] += np.log(factor)
+        return logs
 
     @classmethod
     def backward(cls, n: int, edges: tuple[np.ndarray, ...], weight: np.ndarray) -> np.ndarray:
-        """beta[word, place, language]: the forward pass over mirrored edges."""
+        """Log of beta[word, place, language]: the forward pass over mirrored edges."""
         word, start, end, piece, sizes = edges
         mirrored = cls.forward(n, (word, sizes[word] - end, sizes[word] - start, piece, sizes), weight)
         place = sizes[:, None] - np.arange(mirrored.shape[1])
-        return np.where((place >= 0)[:, :, None], np.take_along_axis(mirrored, np.maximum(place, 0)[:, :, None], 1), 0)
+        return np.where((place >= 0)[:, :, None], np.take_along_axis(mirrored, np.maximum(place, 0)[:, :, None], 1), -np.inf)
+
+
+def together(sizes: list[int], languages: int = 1) -> Iterator[slice]:
+    """Runs of words to sum at once: so many, and so many places when all are as long as the longest."""
+    at = longest = 0
+    for i, size in enumerate(sizes):
+        longest = max(longest, size + 2)
+        if i > at and (i - at >= AT_ONCE or (i + 1 - at) * longest * languages > CELLS):
+            yield slice(at, i)
+            at, longest = i, size + 2
+    if at < len(sizes):
+        yield slice(at, len(sizes))
 
 
 class Model:
@@ -146,13 +157,11 @@ class Model:
 
     def _learn(self, words: list[str]) -> None:
         words = sorted(words, key=len)
-        made, short = [self.logs], sum(len(w) <= LONG for w in words)
-        for k in range(0, short, AT_ONCE):
-            part = words[k : min(k + AT_ONCE, short)]
-            edges = self.lattice.edges(part)
-            alpha = self.lattice.forward(len(part), edges, self.table[edges[3]])
-            made.append(np.log(alpha[np.arange(len(part)), edges[4]]))
-        made += [self.lattice.whole(w, self.table)[None] for w in words[short:]]
+        made = [self.logs]
+        for part in together(list(map(len, words)), len(self.languages)):
+            edges = self.lattice.edges(words[part])
+            logs = self.lattice.forward(len(edges[4]), edges, self.table[edges[3]])
+            made.append(logs[np.arange(len(edges[4])), edges[4]])
         base = len(self.logs)
         self.known.update({w: base + i for i, w in enumerate(words)})
         self.logs = np.concatenate(made)
@@ -220,8 +229,7 @@ def train(
 
     At most about ``rows_per_language`` rows of each of the ``LANGUAGES`` most frequent
     languages are used, chosen by a hash of ``sample_key``: the documented bounds of the
-    training sample.  Words of over ``LONG`` characters do not teach.  Rows with a null text
-    or language are left out, null keys draw alike, empty texts teach nothing, repeated
+    training sample; words of any length teach.  Rows with a null text or language are left out, null keys draw alike, empty texts teach nothing, repeated
     rows count as often as they stand; no rows give a model without a language.  Other
     columns are not read.
     """
@@ -244,7 +252,7 @@ def train(
                 seen: Counter = Counter()
                 for t in part["text"]:
                     for found in words_of(t):
-                        seen.update(w for w in found if len(w) <= LONG)
+                        seen.update(found)
                 yield pd.DataFrame({"k": np.int32(k), "word": list(seen), "n": list(seen.values())})
 
     words = materialise(sample.select("k", "text").mapInPandas(lean(count), "k int, word string, n long").groupBy("k", "word").agg(F.sum("n").alias("n")))
@@ -256,15 +264,18 @@ def train(
         def expect(batches: Iterator[pd.DataFrame], now=now) -> Iterator[pd.DataFrame]:
             known, prob = now.value
             lattice, total = Lattice(known), np.zeros_like(prob)
-            for batch in (whole.iloc[k : k + AT_ONCE] for whole in batches for k in range(0, len(whole), AT_ONCE)):
-                edges = lattice.edges(batch["word"].tolist())
-                word, start, end, piece, sizes = edges
-                k = batch["k"].to_numpy()[word]
-                weight = prob[piece, k][:, None]
-                alpha, beta = lattice.forward(len(batch), edges, weight), lattice.backward(len(batch), edges, weight)
-                whole = np.maximum(alpha[np.arange(len(batch)), sizes, 0], 1e-300)
-                gain = batch["n"].to_numpy()[word] * alpha[word, start, 0] * weight[:, 0] * beta[word, end, 0] / whole[word]
-                np.add.at(total, (piece, k), gain)
+            for whole in batches:
+                whole = whole.iloc[whole["word"].map(len).argsort(kind="stable")]
+                for part in together(whole["word"].map(len).tolist()):
+                    batch = whole.iloc[part]
+                    edges = lattice.edges(batch["word"].tolist())
+                    word, start, end, piece, sizes = edges
+                    k = batch["k"].to_numpy()[word]
+                    weight = prob[piece, k][:, None]
+                    alpha, beta = lattice.forward(len(batch), edges, weight), lattice.backward(len(batch), edges, weight)
+                    share = np.exp(alpha[word, start, 0] + np.log(weight[:, 0]) + beta[word, end, 0] - alpha[word, sizes[word], 0])
+                    gain = batch["n"].to_numpy()[word] * share
+                    np.add.at(total, (piece, k), gain)
             at, lang_at = np.nonzero(total)
             yield pd.DataFrame({"piece": at, "k": lang_at, "n": total[at, lang_at]})
 
