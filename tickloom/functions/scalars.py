@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Timeframes by name, in seconds.
@@ -102,3 +102,11 @@ def candle_up(open_: Column, close: Column) -> Column:
 def row_sample(columns: list[str]) -> Column:
     """A row as JSON text; NaN becomes null, timestamps ISO text."""
     return F.to_json(F.struct(*columns), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss'Z'", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss'Z'"})
+
+
+def iso_times(df: DataFrame) -> DataFrame:
+    """All times and dates as ISO text, as a service answers; a fraction of a second is told where there is one."""
+    seconds = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    exact = lambda c: F.when(F.date_format(c, "SSSSSS") != "000000", F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).otherwise(seconds(c))
+    made = {"timestamp": lambda c: F.concat(exact(c), F.date_format(c, "xxx")), "timestamp_ntz": exact, "date": lambda c: F.date_format(c, "yyyy-MM-dd")}
+    return df.select(*[made[kind](F.col(c)).alias(c) if kind in made else F.col(c) for c, kind in df.dtypes])

@@ -2,69 +2,109 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import bucket
+from tickloom.operators.ordered import with_carried
 
 KEYS = ["exchange", "symbol"]
 
 
-def tick_order(ticks: DataFrame) -> Column:
-    """What orders ticks by (ts, trade_id), nulls first.
+#: Digits of whole numbers.
+DIGITS = {"bigint": 19, "int": 10, "smallint": 5, "tinyint": 3}
+
 
-    Whole-number ids make one decimal with the time: by a struct, which other ids need,
-    Spark would sort all ticks before it aggregates them.
+def tick_order(ticks: DataFrame, seconds: int) -> Column:
+    """What orders the ticks of one bar by (ts, trade_id), nulls first.
+
+    Whole-number ids make one decimal with the time inside the bar: by a struct, which other
+    ids need, Spark would sort all ticks before it aggregates them.
     """
-    if dict(ticks.dtypes)["trade_id"] not in ("bigint", "int", "smallint", "tinyint"):
+    kinds, span = dict(ticks.dtypes), seconds * 1_000_000
+    listed = re.fullmatch(r"decimal\((\d+),0\)", kinds["trade_id"])
+    own, inside = int(listed[1]) if listed else DIGITS.get(kinds["trade_id"], 99), len(str(span - 1))
+    if own + 1 + inside > 38:
         return F.struct("ts", "trade_id")
     number = lambda n, digits: F.lit(str(n)).cast(f"decimal({digits},0)")
-    micros = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(17,0)")
-    id_ = F.coalesce(F.col("trade_id").cast("decimal(20,0)"), number(-(2**63) - 1, 20))
-    return (micros * number(10**20, 21) + id_).cast("decimal(38,0)")
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")) if kinds["ts"] == "timestamp_ntz" else F.unix_micros("ts")
+    id_ = F.coalesce(F.col("trade_id").cast(f"decimal({own + 1},0)"), number(-(10**own), own + 1))
+    return (F.pmod(micros, F.lit(span)).cast(f"decimal({inside},0)") * number(10 ** (own + 1), own + 2) + id_).cast(f"decimal({own + 1 + inside},0)")
 
 
-def tick_bars(ticks: DataFrame, seconds: int = 1, fill: str | None = None, keys: list[str] = KEYS) -> DataFrame:
-    """OHLCV bars with the last top-of-book quote, in one grouped pass.
+def partial_bars(ticks: DataFrame, seconds: int = 1, keys: list[str] = KEYS) -> DataFrame:
+    """What a part of the ticks tells about each bar, in one grouped pass; ``merge_partials`` puts parts together.
 
-    ``ticks``: the keys, ts, trade_id, stream, price, qty, bid, ask.  Open and close are
-    the first and last non-null trade price by (ts, trade_id); bid and ask are the last
-    non-null quote, each on its own.  Buckets without a trade are dropped; with
-    ``fill="ffill"`` they stay and carry the last close at volume 0.
+    Keys, ``start``, the measures of a bar, and of open, close, bid and ask the order of the
+    tick they come from (``open_at`` and so on).
     """
     trade, quote = F.col("stream") == "trade", F.col("stream") == "bookTicker"
-    order = tick_order(ticks)
+    order = tick_order(ticks, seconds)
     price, qty = F.when(trade, F.col("price")), F.when(trade, F.col("qty"))
+    priced = F.when(price.isNotNull(), order)
 
-    def last(column: str):
+    def last(column: str) -> list[Column]:
         value = F.when(quote, F.col(column))
-        return F.max_by(value, F.when(value.isNotNull(), order))
+        at = F.when(value.isNotNull(), order)
+        return [F.max_by(value, at).alias(column), F.max(at).alias(f"{column}_at")]
 
-    priced = F.when(price.isNotNull(), order)
     grouped = ticks.groupBy(*keys, F.window("ts", f"{seconds} seconds").alias("in")).agg(  # the window itself, so that a watermark still holds
         F.min_by(price, priced).alias("open"),
+        F.min(priced).alias("open_at"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
         F.max_by(price, priced).alias("close"),
+        F.max(priced).alias("close_at"),
         F.coalesce(F.sum(qty), F.lit(0.0)).alias("volume_base"),
         F.coalesce(F.sum(price * qty), F.lit(0.0)).alias("volume_quote"),
         F.count(price).alias("trade_count"),
-        last("bid").alias("bid"),
-        last("ask").alias("ask"),
+        *last("bid"),
+        *last("ask"),
     )
-    grouped = grouped.withColumn("start", F.col("in.start")).drop("in")
+    return grouped.withColumn("start", F.col("in.start")).drop("in")
+
+
+def merge_partials(parts: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Parts of the same bars as one part, whatever order they come in."""
+    return parts.groupBy(*keys, "start").agg(
+        F.min_by("open", "open_at").alias("open"),
+        F.min("open_at").alias("open_at"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", "close_at").alias("close"),
+        F.max("close_at").alias("close_at"),
+        F.sum("volume_base").alias("volume_base"),
+        F.sum("volume_quote").alias("volume_quote"),
+        F.sum("trade_count").alias("trade_count"),
+        *[x for c in ("bid", "ask") for x in (F.max_by(c, f"{c}_at").alias(c), F.max(f"{c}_at").alias(f"{c}_at"))],
+    )
+
+
+def finished(parts: DataFrame, fill: str | None = None, keys: list[str] = KEYS) -> DataFrame:
+    """Bars from whole parts: VWAP and spread added, buckets without a trade dropped or, with ``fill="ffill"``, filled."""
     if fill == "ffill":
-        before = Window.partitionBy(*keys).orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
-        known = F.last("close", ignorenulls=True).over(before)
-        grouped = grouped.withColumn("known", known).where(F.col("known").isNotNull())
-        grouped = grouped.withColumns({c: F.coalesce(c, "known") for c in ("open", "high", "low", "close")}).drop("known")
+        parts = with_carried(parts, keys, "close", "known", "start").where(F.col("known").isNotNull())
+        parts = parts.withColumns({c: F.coalesce(c, "known") for c in ("open", "high", "low", "close")}).drop("known")
     elif fill is None:
-        grouped = grouped.where(F.col("close").isNotNull())
+        parts = parts.where(F.col("close").isNotNull())
     else:
         raise ValueError(f"unknown fill {fill!r}")
     vwap = F.when(F.col("volume_base") > 0, F.col("volume_quote") / F.nullif("volume_base", F.lit(0.0))).otherwise(F.col("close"))
     out = [*keys, F.col("start").alias("ts"), "open", "high", "low", "close", "volume_base", "volume_quote", "trade_count"]
-    return grouped.select(*out, vwap.alias("vwap"), "bid", "ask", (F.col("ask") - F.col("bid")).alias("spread"))
+    return parts.select(*out, vwap.alias("vwap"), "bid", "ask", (F.col("ask") - F.col("bid")).alias("spread"))
+
+
+def tick_bars(ticks: DataFrame, seconds: int = 1, fill: str | None = None, keys: list[str] = KEYS) -> DataFrame:
+    """OHLCV bars with the last top-of-book quote, in one grouped pass.
+
+    ``ticks``: the keys, ts, trade_id, stream, price, qty, bid, ask.  Open and close are
+    the first and last non-null trade price by (ts, trade_id); bid and ask are the last
+    non-null quote, each on its own.  Buckets without a trade are dropped; with
+    ``fill="ffill"`` they stay and carry the last close at volume 0.
+    """
+    return finished(partial_bars(ticks, seconds, keys), fill, keys)
 
 
 def joined_trades_quotes(ticks: DataFrame, seconds: int = 1, keys: list[str] = KEYS) -> DataFrame:
@@ -125,9 +165,9 @@ def time_slice(bars: DataFrame, symbols: list[str] | None = None, start=None, en
     return bars
 
 
-def latest_n(bars: DataFrame, symbol: str, n: int) -> DataFrame:
-    """The newest ``n`` bars of a symbol in ascending order."""
-    return bars.where(F.col("symbol") == symbol).orderBy(F.desc("ts")).limit(n).orderBy("ts")
+def latest_n(bars: DataFrame, symbol: str | None, n: int) -> DataFrame:
+    """The newest ``n`` bars of a symbol, or of all there are, in ascending order."""
+    return (bars if symbol is None else bars.where(F.col("symbol") == symbol)).orderBy(F.desc("ts")).limit(n).orderBy("ts")
 
 
 def from_klines(klines: DataFrame, exchange: str = "binance") -> DataFrame:

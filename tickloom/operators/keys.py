@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.ordered import series_keys
+
 
 def dedup(df: DataFrame, keys: list[str], order: list[Column | str], keep: str = "last") -> DataFrame:
     """One row for each key: the first or last in ``order``, which should leave no ties."""
@@ -20,8 +22,9 @@ def only_new(fresh: DataFrame, existing: DataFrame, keys: list[str]) -> DataFram
     return fresh.join(existing.select(*keys).distinct(), keys, "left_anti")
 
 
-def clean_rows(df: DataFrame, violations: DataFrame, keys: tuple[str, ...] = ("symbol", "ts")) -> DataFrame:
-    """All rows with ``is_clean``: whether no violation has their key."""
+def clean_rows(df: DataFrame, violations: DataFrame, keys: tuple[str, ...] | None = None) -> DataFrame:
+    """All rows with ``is_clean``: whether no violation has their key, by default the series and time of the violations."""
+    keys = keys or (*series_keys(violations), "ts")
     bad = violations.select(*keys).distinct().withColumn("__bad", F.lit(True))
     return df.join(bad, list(keys), "left").withColumn("is_clean", F.col("__bad").isNull()).drop("__bad")
 

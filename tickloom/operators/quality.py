@@ -88,29 +88,40 @@ def severity(name: Column) -> Column:
 
 
 def violations(bars: DataFrame, timeframe_seconds: int = 1, max_rows: int | None = 25) -> DataFrame:
-    """Violation records; of each rule at most ``max_rows``, the earliest by (symbol, ts)."""
-    broken = flagged(bars, timeframe_seconds).withColumn("rule", F.explode("rules"))
+    """Violation records; of each rule at most ``max_rows``, the earliest by (symbol, ts).
+
+    Bars that have ``rules`` already, see ``flagged``, are not judged again.
+    """
+    broken = (bars if "rules" in bars.columns else flagged(bars, timeframe_seconds)).withColumn("rule", F.explode("rules"))
+    series = series_keys(bars)
     if max_rows is not None:
-        order = Window.partitionBy("rule").orderBy("symbol", "ts")
+        order = Window.partitionBy("rule").orderBy("symbol", "ts", *series)
         broken = broken.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max_rows)
     detail = F.element_at(F.create_map(*[F.lit(x) for pair in DETAIL.items() for x in pair]), F.col("rule"))
-    return broken.select("symbol", "ts", "rule", severity(F.col("rule")).alias("severity"), detail.alias("detail"), row_sample(bars.columns).alias("row_sample"))
+    own = [c for c in bars.columns if c not in ("rules", "gap_seconds", "step_seconds")]
+    return broken.select(*series, "ts", "rule", severity(F.col("rule")).alias("severity"), detail.alias("detail"), row_sample(own).alias("row_sample"))
+
+
+def critical(records: DataFrame) -> DataFrame:
+    """The violations of critical rules."""
+    return records.where(F.col("severity") == "critical")
 
 
-def rule_summary(bars: DataFrame, timeframe_seconds: int = 1) -> DataFrame:
-    """One row of counts for the whole rule pack, from one scan."""
-    held = flagged(bars, timeframe_seconds)
+def rule_summary(bars: DataFrame, timeframe_seconds: int = 1, by: tuple[str, ...] = ()) -> DataFrame:
+    """Counts for the whole rule pack from one scan: one row, or one for each ``by``."""
+    held = bars if "rules" in bars.columns else flagged(bars, timeframe_seconds)
     counts = [F.count_if(F.array_contains("rules", n)).alias(n.lower()) for n in ("R1", "R2", "R3", "R4", "R5", "R6", "NEG_VOL")]
     kind = spread_kind()
     held = held.withColumn("r6_known", F.col("spread") + F.col("bid") + F.col("ask"))  # null where one is
-    return held.agg(F.count("*").alias("bars"), *counts, F.count_if(kind == "negative").alias("r6_negative"), F.count_if(kind == "excessive").alias("r6_excessive"), F.count("r6_known").alias("r6_checked"))
+    all_ = [F.count("*").alias("bars"), *counts, F.count_if(kind == "negative").alias("r6_negative"), F.count_if(kind == "excessive").alias("r6_excessive"), F.count("r6_known").alias("r6_checked")]
+    return held.groupBy(*by).agg(*all_) if by else held.agg(*all_)
 
 
-def report_verdict(summary: DataFrame) -> DataFrame:
-    """PASS, INVESTIGATE (only few excessive spreads among the bars with quotes) or FAIL; R5 and R7 do not count."""
+def report_verdict(summary: DataFrame, most_percent: float = 0.1) -> DataFrame:
+    """PASS, INVESTIGATE (under ``most_percent`` of the spreads with quotes are excessive) or FAIL; R5 and R7 do not count."""
     hard = (F.col("r1") + F.col("r2") + F.col("r3") + F.col("r4")) == 0
     share = 100.0 * F.col("r6_excessive") / F.nullif("r6_checked", F.lit(0))
-    return summary.withColumn("verdict", F.when(hard & (F.col("r6") == 0), "PASS").when(hard & (F.coalesce(share, F.lit(0.0)) < 0.1), "INVESTIGATE").otherwise("FAIL"))
+    return summary.withColumn("verdict", F.when(hard & (F.col("r6") == 0), "PASS").when(hard & (F.coalesce(share, F.lit(0.0)) < most_percent), "INVESTIGATE").otherwise("FAIL"))
 
 
 def violation_counts(records: DataFrame) -> DataFrame:

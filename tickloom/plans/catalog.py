@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars
@@ -12,7 +13,9 @@ from tickloom.operators import bars as B
 from tickloom.operators import detect, fusion, keys, parity, profiles, quality
 from tickloom.operators.ordered import with_neighbour
 from tickloom.plans import qa, slices
-from tickloom.sources import klines, wire
+from tickloom.session import materialise, shared_folder
+from tickloom.sinks import lake as sink
+from tickloom.sources import klines, lake, wire
 from tickloom.sources.adapters import driver_table, event_ticks, line_trades
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,8 +205,8 @@ def latest_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{HOURLY} SELECT {BAR_COLUMNS} FROM bars WHERE symbol = (SELECT min(event_type) FROM events) ORDER BY ts DESC LIMIT 60")
 def latest_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest sixty bars of the first symbol, ascending."""
-    symbol = driver_table(spark, sf_dir, "events").agg(F.min("event_type")).first()[0]
-    return rounded(B.latest_n(bars_of(spark, sf_dir), symbol, 60))
+    first = driver_table(spark, sf_dir, "events").agg(F.min("event_type").alias("symbol"))  # one row
+    return rounded(B.latest_n(bars_of(spark, sf_dir).join(F.broadcast(first), "symbol", "left_semi"), None, 60))
 
 
 @query(f"{HOURLY} SELECT {BAR_COLUMNS} FROM bars WHERE symbol IN ('click', 'view', 'purchase') AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'")
@@ -463,12 +466,12 @@ SELECT symbol, ts, detector, round(value, 5) AS value, round(z, 5) AS z FROM ({'
 
 @query(_zscore_sql("ROWS BETWEEN 47 PRECEDING AND CURRENT ROW", 3.0))
 def zscore_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(detect.zscores(bars_of(spark, sf_dir), 48, 3.0), 5)
+    return rounded(detect.zscores(bars_of(spark, sf_dir), 48, 3.0).drop("exchange"), 5)
 
 
 @query(_zscore_sql("RANGE BETWEEN 172799999999 PRECEDING AND CURRENT ROW", 3.0, "epoch_us(ts)"))
 def zscore_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(detect.zscores(bars_of(spark, sf_dir), "2d", 3.0), 5)
+    return rounded(detect.zscores(bars_of(spark, sf_dir), "2d", 3.0).drop("exchange"), 5)
 
 
 JUMP = f"""{FEATURES}, r AS (SELECT *, ln(close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY ts), 0)) AS ret, coalesce(spread_bp <= 50, false) AS stable FROM f),
@@ -480,7 +483,7 @@ jump AS (SELECT symbol, ts, 'JUMP' AS detector, ret, (ret - mean) / sigma AS z,
 
 @query(f"{JUMP} SELECT symbol, ts, detector, round(ret, 5) AS ret, round(z, 5) AS z, round(spread_bp, 5) AS spread_bp FROM jump")
 def jump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(detect.jumps(bars_of(spark, sf_dir), 2.0), 5)
+    return rounded(detect.jumps(bars_of(spark, sf_dir), 2.0).drop("exchange"), 5)
 
 
 @query(f"""{JUMP} SELECT symbol, ts, detector, round(z, 5) AS z, 'anomaly' AS label,
@@ -496,7 +499,7 @@ burst AS (SELECT symbol, detector, c, min(ts) AS start_ts, max(ts) AS end_ts, co
 
 @query(f"{CLUSTER} SELECT symbol, detector, start_ts, end_ts, n, round(max_abs_z, 5) AS max_abs_z FROM burst")
 def cluster_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(detect.clusters(detect.jumps(bars_of(spark, sf_dir), 2.0), 36_000), 5)
+    return rounded(detect.clusters(detect.jumps(bars_of(spark, sf_dir), 2.0), 36_000).drop("exchange"), 5)
 
 
 @query(f"{CLUSTER} SELECT symbol, CAST(sum(n) AS BIGINT) AS anomalies, count(*) AS bursts, min(start_ts) AS first_ts, max(end_ts) AS last_ts FROM burst GROUP BY 1")
@@ -511,13 +514,13 @@ shown AS (SELECT symbol, detector, min(ts) AS ts FROM jump GROUP BY 1, 2
 SELECT symbol, detector, ts, round(z, 5) AS z FROM jump SEMI JOIN shown USING (symbol, detector, ts)""")
 def burst_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anomalies to print, none within two days of the last printed one of its key."""
-    return rounded(detect.preview(detect.jumps(bars_of(spark, sf_dir), 2.0), 172_800), 5)
+    return rounded(detect.preview(detect.jumps(bars_of(spark, sf_dir), 2.0), 172_800).drop("exchange"), 5)
 
 
 @query()
 def iforest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Isolation forest over complete bars; a random method that SQL cannot express."""
-    return detect.isolation_forest(bars_of(spark, sf_dir), contamination=0.01)
+    return detect.isolation_forest(bars_of(spark, sf_dir), contamination=0.01).drop("exchange")
 
 
 FUSED = f"""{LISTED}, {JUMP.split('WITH ', 1)[1].split(bars_sql('bars', 3600), 1)[1].lstrip(', ')},
@@ -532,7 +535,7 @@ fused AS (SELECT symbol, CASE WHEN critical > 0 OR raw < 0.65 THEN 'FAIL' WHEN m
 
 
 def _fused(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = bars_of(spark, sf_dir)
+    own = materialise(bars_of(spark, sf_dir))  # three stages read them
     found = detect.label(detect.jumps(own, 2.0))
     return fusion.fuse(own.select("symbol").distinct(), quality.violations(seeded(own), 3600, None), found)
 
@@ -670,8 +673,7 @@ def macro_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookback cut-off, with a fixed present."""
     events = driver_table(spark, sf_dir, "events").select("event_id", "ts")
-    now = F.lit("2024-01-30").cast("timestamp_ntz")
-    return events.where(F.col("ts") >= now - F.make_dt_interval(F.lit(7)))
+    return lake.recent(events, 7, F.lit("2024-01-30").cast("timestamp_ntz"))
 
 
 #: Each column as text after its length; a dash for null.
@@ -711,3 +713,193 @@ def system_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.system_status(checks)
 
 
+
+
+# Two exchanges, evidence, bursts, examples
+
+#: Ticks of two exchanges: every third user trades on the second, so that series of one symbol stand side by side.
+TWO_TICKS = TICKS.replace("SELECT 'driver' AS exchange,", "SELECT CASE WHEN user_id % 3 = 0 THEN 'north' ELSE 'south' END AS exchange,")
+TWO = f"WITH {TWO_TICKS}, {bars_sql('bars', 3600)}"
+SERIES = "PARTITION BY exchange, symbol"
+
+
+def two_exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ticks = ticks_of(spark, sf_dir).withColumn("exchange", F.when(F.col("user_id") % 3 == 0, "north").otherwise("south"))
+    return B.tick_bars(ticks, 3600)
+
+
+TWO_FEATURES = FEATURES.replace(HOURLY, TWO)
+TWO_Z = " UNION ALL ".join(
+    f"SELECT exchange, symbol, ts, 'ZSCORE_{c.upper()}' AS detector, {c} AS value, ({c} - avg({c}) OVER w) / (stddev_samp({c}) OVER w + 1e-10) AS z FROM big WINDOW w AS ({SERIES} ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)"
+    for c in ("spread_bp", "log_volume", "vwap_drift_bp")
+)
+TWO_BIG = f"big AS (SELECT * FROM (SELECT *, count(*) OVER ({SERIES}) AS n FROM f) WHERE n >= 10)"
+
+
+@query(f"{TWO_FEATURES}, {TWO_BIG} SELECT exchange, symbol, ts, detector, round(value, 5) AS value, round(z, 5) AS z FROM ({TWO_Z}) WHERE abs(z) > 3")
+def zscore_exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z-scores of each exchange's own series, in frames of a day."""
+    return rounded(detect.zscores(two_exchanges(spark, sf_dir), 24, 3.0), 5)
+
+
+TWO_JUMP = JUMP.replace(FEATURES, TWO_FEATURES).replace("PARTITION BY symbol", SERIES).replace("SELECT symbol, ts, 'JUMP' AS detector", "SELECT exchange, symbol, ts, trade_count, 'JUMP' AS detector")
+
+
+@query(f"{TWO_JUMP} SELECT exchange, symbol, ts, detector, round(ret, 5) AS ret, round(z, 5) AS z, round(spread_bp, 5) AS spread_bp FROM jump WHERE coalesce(trade_count >= 4, true)")
+def jump_traded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jumps of each exchange's own series in bars of at least four trades."""
+    return rounded(detect.jumps(two_exchanges(spark, sf_dir), 2.0, min_trades=4), 5)
+
+
+@query(f"""{SEEDED.replace(HOURLY, TWO).replace("PARTITION BY symbol", SERIES)}
+SELECT exchange, symbol, ts, NOT (r1 OR r2 OR r3 OR r4 OR r5 OR kind IS NOT NULL OR neg_vol) AS is_clean FROM rules""")
+def clean_mask_exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A violation on one exchange leaves the other's bar of the same symbol and time clean."""
+    rows = seeded(two_exchanges(spark, sf_dir))
+    return keys.clean_rows(rows, quality.violations(rows, 3600, None)).select("exchange", "symbol", "ts", "is_clean")
+
+
+def _evident(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = materialise(two_exchanges(spark, sf_dir))
+    jumps, scores = detect.jumps(own, 2.0).withColumn("value", F.lit(None).cast("double")), detect.zscores(own, 24, 3.0)
+    both = jumps.unionByName(scores.withColumn("ret", F.lit(None).cast("double")).withColumn("spread_bp", F.lit(None).cast("double")))
+    return detect.label(detect.evidence(both, 3.0, 2.0))
+
+
+EVIDENT = f"""{TWO_JUMP}, {TWO_BIG}, zs AS (SELECT * FROM ({TWO_Z}) WHERE abs(z) > 3),
+evident AS (
+  SELECT exchange, symbol, ts, detector, z, ret, spread_bp, NULL AS value, 'Price jump Z-score ' || printf('%.2f', z) || ' exceeds 2.0' AS rationale,
+         CASE WHEN coalesce(spread_bp <> 0 AND spread_bp < 20, false) AND abs(z) > 8 THEN 0.95 WHEN abs(z) > 6 THEN 0.75 ELSE 0.5 END AS confidence FROM jump
+  UNION ALL
+  SELECT exchange, symbol, ts, detector, z, NULL, NULL, value, lower(substr(detector, 8)) || ' Z-score ' || printf('%.2f', z) || ' exceeds threshold 3.0',
+         CASE WHEN detector = 'ZSCORE_SPREAD_BP' THEN CASE WHEN abs(z) > 10 THEN 0.9 WHEN abs(z) > 5 THEN 0.7 ELSE 0.5 END ELSE 0.5 END FROM zs)"""
+
+
+@query(f"""{EVIDENT} SELECT exchange, symbol, ts, detector, 'anomaly' AS label, confidence, rationale, CASE WHEN detector = 'JUMP' THEN 3 ELSE 2 END AS n_features, round(z, 5) AS z_score,
+  round(ret, 5) AS log_return, round(spread_bp, 5) AS jump_spread_bp, round(CASE WHEN detector = 'ZSCORE_LOG_VOLUME' THEN value END, 5) AS log_volume FROM evident""")
+def anomaly_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each detector measured, as a map, and why the row is listed."""
+    rows = _evident(spark, sf_dir)
+    of = lambda name: F.try_element_at("features", F.lit(name))
+    jump_only = F.when(F.col("detector") == "JUMP", of("spread_bp"))
+    return rounded(rows.select("exchange", "symbol", "ts", "detector", "label", "confidence", "rationale", F.size("features").alias("n_features"), of("z_score").alias("z_score"), of("log_return").alias("log_return"), jump_only.alias("jump_spread_bp"), of("log_volume").alias("log_volume")), 5)
+
+
+TWO_BURST = f"""{EVIDENT}, marked AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= 36000000000 THEN 0 ELSE 1 END AS fresh FROM evident WINDOW w AS (PARTITION BY exchange, symbol, detector ORDER BY ts)),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY exchange, symbol, detector ORDER BY ts) AS c FROM marked),
+burst AS (SELECT exchange, symbol, detector, c, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n, max(abs(z)) AS max_abs_z, arg_min(rationale, ts) AS rationale, arg_min(confidence, ts) AS confidence, arg_min(z, ts) AS z FROM numbered GROUP BY 1, 2, 3, 4)"""
+
+
+@query(f"""{TWO_BURST} SELECT exchange, symbol, start_ts AS ts, detector, 'anomaly' AS label, rationale, confidence, round(z, 5) AS z_score, CASE WHEN n > 1 THEN n END AS cluster_rows,
+  CASE WHEN n > 1 THEN end_ts END AS cluster_end, round(CASE WHEN n > 1 THEN max_abs_z END, 5) AS cluster_max FROM burst""")
+def burst_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bursts as stored: the first row's features, label and rationale, and the cluster where there are more rows."""
+    made = detect.records(detect.clusters(_evident(spark, sf_dir), 36_000))
+    cluster = F.col("cluster")
+    return rounded(made.select("exchange", "symbol", "ts", "detector", "label", "rationale", "confidence", F.col("features")["z_score"].alias("z_score"), cluster["count"].alias("cluster_rows"), cluster["end_ts"].alias("cluster_end"), cluster["max_abs_z"].alias("cluster_max")), 5)
+
+
+@query(f"""{TWO_BURST} SELECT symbol, CAST(sum(n) AS BIGINT) AS anomalies, count(*) AS bursts, min(start_ts) AS first_ts, max(end_ts) AS last_ts,
+  first(rationale ORDER BY start_ts, detector, exchange) AS first_rationale, 'anomaly' AS first_label FROM burst GROUP BY 1""")
+def busiest_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anomalies of each symbol with the rationale and label of the first."""
+    return detect.weighted_counts(detect.clusters(_evident(spark, sf_dir), 36_000))
+
+
+@query(f"""{EVIDENT}, placed AS (SELECT *, row_number() OVER (PARTITION BY detector ORDER BY ts, symbol, exchange) AS place, count(*) OVER (PARTITION BY detector) AS total FROM evident)
+SELECT detector, CAST(place AS INTEGER) AS place, total, exchange, symbol, ts, rationale FROM placed WHERE place <= 10""")
+def detector_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten anomalies of each detector: a report's limit that is part of the operator."""
+    chosen = detect.examples(_evident(spark, sf_dir), 10, order=("ts", "symbol", "exchange"))
+    return chosen.select("detector", "place", "total", "exchange", "symbol", "ts", "rationale")
+
+
+# Derivatives, verdicts, batches, files, read calls
+
+
+@query(f"""{HOURLY}, derived AS (SELECT event_type AS symbol, date_trunc('minute', ts) AS ts, max(value / 1000) AS funding_rate, max(CAST(user_id AS DOUBLE)) AS open_interest, max(value * user_id) AS oi_usd
+  FROM events WHERE user_id % 50 = 0 GROUP BY 1, 2)
+SELECT b.symbol, b.ts, round(b.close, 6) AS close, round(d.funding_rate, 6) AS funding_rate, d.open_interest, round(d.oi_usd, 6) AS oi_usd FROM bars b ASOF LEFT JOIN derived d ON b.symbol = d.symbol AND b.ts >= d.ts""")
+def derivatives_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bars with the last funding rate and open interest of their symbol, some days old."""
+    events = driver_table(spark, sf_dir, "events").where("user_id % 50 = 0")
+    derived = events.select(F.col("event_type").alias("symbol"), F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("ts"), (F.col("value") / 1000).alias("funding_rate"), F.col("user_id").cast("double").alias("open_interest"), (F.col("value") * F.col("user_id")).alias("oi_usd"))
+    return rounded(lake.with_derivatives(bars_of(spark, sf_dir), derived).select("symbol", "ts", "close", "funding_rate", "open_interest", "oi_usd"))
+
+
+#: Bars whose defects differ by day: even days none, every third an excessive spread in the first hour, days divisible by five a crossed high.
+VERDICT_BARS = f"""{HOURLY},
+damaged AS (
+  SELECT * REPLACE (CASE WHEN day(ts) % 5 = 0 AND hour(ts) = 1 THEN open - 1 ELSE high END AS high, CASE WHEN day(ts) % 3 = 0 AND hour(ts) = 0 AND symbol = (SELECT min(event_type) FROM events) THEN bid ELSE 0.0 END AS spread) FROM bars),
+lines AS (SELECT *, CAST(day(ts) % 5 = 0 AS INTEGER) * 2 + CAST(day(ts) % 3 = 0 AS INTEGER) AS kind FROM damaged WHERE bid > 0 AND ask > 0 AND ask >= bid)"""
+
+
+@query(f"""{VERDICT_BARS}, judged AS (SELECT kind, count(*) AS bars,
+  count(*) FILTER (WHERE NOT (low <= open AND low <= close AND open <= high AND close <= high)) AS r1, count(*) FILTER (WHERE NOT coalesce(open > 0 AND high > 0 AND low > 0 AND close > 0, false)) AS r2,
+  count(*) FILTER (WHERE spread / ((bid + ask) / 2) * 10000 >= 500) AS r6 FROM lines GROUP BY 1)
+SELECT kind, bars, r1, r2, r6, CASE WHEN r1 + r2 = 0 AND r6 = 0 THEN 'PASS' WHEN r1 + r2 = 0 AND 100.0 * r6 / bars < 5 THEN 'INVESTIGATE' ELSE 'FAIL' END AS verdict FROM judged""")
+def report_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for each kind of day, so that every outcome occurs; five percent of spreads may be excessive."""
+    own = bars_of(spark, sf_dir)
+    first = F.broadcast(driver_table(spark, sf_dir, "events").agg(F.min("event_type").alias("__first")))  # one row
+    day, hour = F.dayofmonth("ts"), F.hour("ts")
+    wide = (day % 3 == 0) & (hour == 0) & (F.col("symbol") == F.col("__first"))
+    damaged = own.join(first).withColumns({"high": F.when((day % 5 == 0) & (hour == 1), F.col("open") - 1).otherwise(F.col("high")), "spread": F.when(wide, F.col("bid")).otherwise(0.0)}).drop("__first")
+    lines = damaged.where("bid > 0 and ask > 0 and ask >= bid").withColumn("kind", (day % 5 == 0).cast("int") * 2 + (day % 3 == 0).cast("int"))
+    judged = quality.report_verdict(quality.rule_summary(lines, 3600, ("kind",)), most_percent=5.0)
+    return judged.select("kind", "bars", "r1", "r2", "r6", "verdict")
+
+
+@query(f"{LISTED} SELECT symbol, ts, rule FROM listed WHERE severity = 'critical'")
+def critical_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.critical(quality.violations(seeded(bars_of(spark, sf_dir)), 3600, None)).select("symbol", "ts", "rule")
+
+
+@query(f"WITH {TICKS}, {bars_sql('bars', 90)} SELECT symbol, ts FROM bars WHERE second(ts) <> 0")
+def rule_r5_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of ninety seconds, judged as minute bars: every other one starts inside a minute."""
+    flagged = quality.flagged(bars_of(spark, sf_dir, 90), 60)
+    return flagged.where(F.array_contains("rules", "R5")).select("symbol", "ts")
+
+
+@query(f"{HOURLY} SELECT {BAR_COLUMNS.replace('round(vwap, 6) AS vwap, ', '')} FROM bars")
+def bars_from_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars put together from seven batches of ticks that came in no order."""
+    ticks = ticks_of(spark, sf_dir).withColumn("batch", F.pmod(F.xxhash64("trade_id"), F.lit(7)))
+    parts = B.partial_bars(ticks, 3600, ["exchange", "symbol", "batch"]).drop("batch")
+    return rounded(B.finished(B.merge_partials(parts)).drop("vwap"))
+
+
+@query("SELECT event_type AS symbol, CAST(count(*) AS BIGINT) AS ticks, round(sum(value), 4) AS price_sum FROM events WHERE user_id % 7 <> 3 GROUP BY 1")
+def raw_file_rejection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as raw JSON files, of which one group has a broken line each; such files are left out whole."""
+    events = driver_table(spark, sf_dir, "events")
+    line = F.to_json(F.struct(F.lit("driver").alias("exchange"), F.col("event_type").alias("symbol"), F.col("value").alias("price"), F.col("event_id").alias("trade_id")))
+    group = (F.col("user_id") % 7).alias("part")
+    broken = spark.range(1).select(F.lit('{"symbol": "cut of').alias("value"), F.lit(3).cast("bigint").alias("part"))
+    folder = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}"
+    # all rows of a part in one file, as a collector writes them; the broken line goes to the third
+    events.select(line.alias("value"), group.cast("bigint")).unionByName(broken).repartition(7, "part").write.partitionBy("part").text(folder)
+    kept = lake.ticks(spark, folder, reject="file")
+    return rounded(kept.groupBy("symbol").agg(F.count("*").alias("ticks"), F.sum("price").alias("price_sum")), 4)
+
+
+@query(f"{HOURLY} SELECT symbol, ts, round(open, 6) AS open, round(high, 6) AS high, round(low, 6) AS low, round(close, 6) AS close, round(volume_base, 6) AS volume_base, round(volume_quote, 6) AS volume_quote, trade_count, round(vwap, 6) AS vwap, round(bid, 6) AS bid, round(ask, 6) AS ask, round(spread, 6) AS spread FROM bars")
+def export_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars in the columns of the relational table."""
+    return rounded(sink.projected(bars_of(spark, sf_dir), "bars"))
+
+
+@query(f"{HOURLY} SELECT symbol, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts, round(close, 6) AS close FROM bars WHERE CAST(ts AS DATE) = DATE '2024-01-10'")
+def today_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day's bars, a fixed one for today's, with times as ISO text."""
+    day = slices.of_day(bars_of(spark, sf_dir), F.lit("2024-01-10").cast("date"))
+    return rounded(scalars.iso_times(day.select("symbol", "ts", "close")))
+
+
+@query(f"{HOURLY} SELECT symbol, ts, CAST(row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS INTEGER) AS place, round(close, 6) AS close FROM (SELECT * FROM bars WHERE ts >= TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-11')")
+def newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A closed range of time, each symbol's bars numbered from the newest."""
+    closed = B.time_slice(bars_of(spark, sf_dir), None, *[F.lit(d).cast("timestamp_ntz") for d in ("2024-01-10", "2024-01-11")], closed=True)
+    order = Window.partitionBy("symbol").orderBy(F.desc("ts"))
+    return rounded(closed.select("symbol", "ts", F.row_number().over(order).alias("place"), "close"))

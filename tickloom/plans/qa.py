@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators import detect, fusion, quality
-from tickloom.operators.keys import clean_rows
+from tickloom.operators.keys import union_all
+from tickloom.operators.ordered import series_keys
+from tickloom.plans.reports import grouped, section
+from tickloom.session import materialise
 
 
 @dataclass(frozen=True)
@@ -45,25 +48,29 @@ class QaConfig:
         return cls(**settings)
 
 
-def anomalies(bars: DataFrame, violations: DataFrame, config: QaConfig) -> DataFrame:
-    """Labelled anomalies of all configured detectors: symbol, ts, detector, z, spread_bp, label, confidence.
+def anomalies(judged: DataFrame, config: QaConfig) -> DataFrame:
+    """Labelled anomalies of all configured detectors, with ``features`` and ``rationale``.
 
-    Rows that break a rule are no anomalies: z-scores and jumps are those of the clean
-    rows, and the forest learns from them.
+    ``judged`` are bars with the array ``rules`` of those they break.  Rows that break a rule
+    are no anomalies: z-scores and jumps are those of the clean rows, and the forest learns
+    from them.
     """
-    found, masked = [], clean_rows(bars, violations)
-    clean = masked.where("is_clean").drop("is_clean")
+    is_clean = F.size("rules") == 0
+    clean, found = judged.where(is_clean), []
+    series = series_keys(judged)
     if "zscore" in config.detectors:
-        found.append(detect.zscores(clean, config.zscore_window, config.zscore_k).select("symbol", "ts", "detector", "z", F.lit(None).cast("double").alias("spread_bp")))
+        found.append(detect.zscores(clean, config.zscore_window, config.zscore_k))
     if "jump" in config.detectors:
-        found.append(detect.jumps(clean, config.jump_k_sigma, config.jump_stable_bps, config.jump_min_trades).select("symbol", "ts", "detector", "z", "spread_bp"))
+        found.append(detect.jumps(clean, config.jump_k_sigma, config.jump_stable_bps, config.jump_min_trades))
     if "iforest" in config.detectors:
-        scored = detect.isolation_forest(masked, config.forest_contamination, config.forest_trees)
-        found.append(scored.select("symbol", "ts", "detector", F.col("score").alias("z"), F.lit(None).cast("double").alias("spread_bp")))
-    rows = found[0]
-    for more in found[1:]:
-        rows = rows.unionByName(more)
-    return detect.label(rows) if config.labeler == "rules" else detect.label_without_model(rows)
+        scored = detect.isolation_forest(judged.withColumn("is_clean", is_clean), config.forest_contamination, config.forest_trees)
+        found.append(scored.withColumnRenamed("score", "z"))
+    rows = union_all(found)
+    for c in ("value", "ret", "spread_bp"):  # what only some detectors tell
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(None).cast("double"))
+    told = detect.evidence(rows, config.zscore_k, config.jump_k_sigma).select(*series, "ts", "detector", "z", "spread_bp", "features", "rationale")
+    return detect.label(told) if config.labeler == "rules" else detect.label_without_model(told)
 
 
 def bursts(labelled: DataFrame, config: QaConfig) -> DataFrame:
@@ -73,32 +80,32 @@ def bursts(labelled: DataFrame, config: QaConfig) -> DataFrame:
 
 
 def chain(bars: DataFrame, timeframe_seconds: int, config: QaConfig | None = None) -> dict[str, DataFrame]:
-    """All stages as one lineage: violations, violation_counts, anomalies, bursts, fused.
+    """All stages: judged, violations, violation_counts, anomalies, bursts, records, fused.
 
+    Bars are made and judged once and written to the shared folder; all stages read those.
     ``max_rows`` bounds only the listed violations; masks, counts and verdicts use all.
     """
     config = config or QaConfig()
-    broken = quality.violations(bars, timeframe_seconds, None)
-    found = anomalies(bars, broken, config)
-    fused = fusion.fuse(bars.select("symbol").distinct(), broken, found)
-    listed = quality.violations(bars, timeframe_seconds, config.max_rows)
-    return {"violations": listed, "violation_counts": quality.violation_counts(broken), "anomalies": found, "bursts": bursts(found, config), "fused": fused}
+    judged = materialise(quality.flagged(bars, timeframe_seconds))
+    broken = quality.violations(judged, timeframe_seconds, None)
+    found = anomalies(judged, config)
+    grouped = bursts(found, config)
+    fused = fusion.fuse(judged.select("symbol").distinct(), broken, found)
+    listed = quality.violations(judged, timeframe_seconds, config.max_rows)
+    return {"judged": judged, "violations": listed, "violation_counts": quality.violation_counts(broken), "anomalies": found, "bursts": grouped, "records": detect.records(grouped), "fused": fused}
 
 
 def report(stages: dict[str, DataFrame], day: str, top: int = 10) -> str:
     """The day's Markdown report; every table in it is small by construction."""
-    def section(title: str, df: DataFrame) -> str:
-        rows = df.collect()
-        lines = [" | ".join(df.columns), " | ".join("---" for _ in df.columns), *(" | ".join("" if v is None else f"{v:.4f}" if isinstance(v, float) else str(v) for v in r) for r in rows)]
-        return f"\n## {title}\n\n" + "\n".join(f"| {x} |" for x in lines) if rows else f"\n## {title}\n\nNone.\n"
-
     fused = stages["fused"]
     parts = [
         f"# Data quality, {day}\n",
         section("Summary", fusion.fusion_summary(fused)),
         section("Verdicts", fused.select("symbol", "verdict", "score", "critical", "major", "minor", "anomalies").orderBy("score", "symbol")),
         section("Violations", stages["violation_counts"]),
-        section("Anomalies by detector", detect.counts(stages["anomalies"]).orderBy(F.desc("anomalies"))),
+        grouped("Violations by rule", detect.examples(stages["violations"], top, "rule"), "rule", ["symbol", "ts", "detail"]),
+        section("Anomalies by detector", detect.counts(stages["anomalies"]).orderBy(F.desc("anomalies"), "detector")),
+        grouped("Examples by detector", detect.examples(stages["anomalies"], top), "detector", ["symbol", "ts", "rationale"]),
         section("Busiest symbols", detect.weighted_counts(stages["bursts"]).limit(top)),
     ]
     return "\n".join(parts) + "\n"

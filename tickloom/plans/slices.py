@@ -31,6 +31,14 @@ def bars_at(bars: DataFrame, timeframe: str, start=None, end=None, symbols: list
     return base if timeframe == "1s" else rollup(base, TIMEFRAMES[timeframe])
 
 
+def of_day(bars: DataFrame, day=None, ts: str = "ts") -> DataFrame:
+    """The rows of one day, by default today's, as a range of times that reaches the scan."""
+    start = F.to_timestamp_ntz(F.date_format(F.current_date() if day is None else F.lit(day), "yyyy-MM-dd"))
+    if dict(bars.dtypes)[ts] == "timestamp":
+        start = start.cast("timestamp")
+    return bars.where((F.col(ts) >= start) & (F.col(ts) < start + F.make_dt_interval(F.lit(1))))
+
+
 def slice_of(own: DataFrame, official: DataFrame, symbols: list[str], start, end, timeframe: str, source: str = "bars") -> DataFrame:
     """The rows to export, ordered by symbol and time."""
     check_slice(timeframe, source)

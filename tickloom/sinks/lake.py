@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators.keys import dedup, upsert
+from tickloom.operators.keys import dedup, union_all, upsert
 from tickloom.operators.profiles import content_hash, gap_rows
+from tickloom.schemas import EXPORTS
 
 PARTITIONS = ["exchange", "symbol", "year", "month", "day"]
 
@@ -50,27 +53,87 @@ def compact(bars: DataFrame, root: str, columns: list[str], keys: tuple[str, ...
     the day before), and content_sha256, which does not depend on the writer.
     """
     first = dedup(bars, list(keys), ["trade_count"], keep="first").withColumn("date", F.to_date("ts"))
-    chosen = first.select("date", *columns)
-    chosen.repartition("date", "exchange", "symbol").sortWithinPartitions("date", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(root)
-    written = bars.sparkSession.read.parquet(root).join(F.broadcast(chosen.select("date").distinct()), "date", "left_semi")
+    first.select("date", *columns).repartition("date", "exchange", "symbol").sortWithinPartitions("date", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(root)
+    written = bars.sparkSession.read.parquet(root).join(bars.select(F.to_date("ts").alias("date")).distinct(), "date", "left_semi")
     late = gap_rows(written.select("exchange", "symbol", "ts", "date"), ["exchange", "symbol"], longer_than=1.0)
     gaps = late.groupBy(F.to_date(F.col("ts") + F.make_dt_interval(secs=F.col("gap_seconds"))).alias("date")).agg(F.count("*").alias("gaps"))
     return content_hash(written, columns, ("date",)).join(gaps, "date", "left").fillna(0, ["gaps"])
 
 
-def export(df: DataFrame, path: str, kind: str = "parquet") -> None:
-    """A slice as Parquet (snappy) or CSV with a header."""
+def export(df: DataFrame, path: str, kind: str = "parquet", table: str | None = None) -> None:
+    """A slice as Parquet (snappy) or CSV with a header, in the columns of a relational table if one is named."""
+    made = projected(df, table) if table else df
     if kind == "csv":
-        df.write.mode("overwrite").option("header", "true").csv(path)
+        made.write.mode("overwrite").option("header", "true").csv(path)
     elif kind == "parquet":
-        df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+        made.write.mode("overwrite").option("compression", "snappy").parquet(path)
     else:
         raise ValueError(f"unknown format {kind!r}")
 
 
-def load_table(df: DataFrame, url: str, table: str, batch: int = 100_000, **options: str) -> None:
-    """Append rows to a database table in batches."""
-    df.write.format("jdbc").options(url=url, dbtable=table, batchsize=batch, **options).mode("append").save()
+def projected(df: DataFrame, table: str) -> DataFrame:
+    """The columns of a relational table in its order; one that the frame lacks is an error."""
+    if table not in EXPORTS:
+        raise ValueError(f"unknown table {table!r}")
+    if missing := [c for c in EXPORTS[table] if c not in df.columns]:
+        raise ValueError(f"{table} needs {missing}")
+    return df.select(*EXPORTS[table])
+
+
+class Database:
+    """Tables of a relational database, read and written in partitions through JDBC."""
+
+    def __init__(self, spark: SparkSession, url: str, **options: str) -> None:
+        self.spark, self.options = spark, {"url": url, **options}
+
+    def _reader(self, query: str):
+        return self.spark.read.format("jdbc").options(**self.options).option("dbtable", f"({query}) q")
+
+    def _quoted(self, name: str) -> str:
+        """A name as the database writes it, in the case that it has."""
+        return self.spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.options["url"]).quoteIdentifier(name)
+
+    def exists(self, table: str) -> bool:
+        try:
+            self._reader(f"SELECT * FROM {table} WHERE 1 = 0").load()
+            return True
+        except Exception as error:  # drivers have no error in common
+            if re.search(r"does not exist|not found|no such table|doesn't exist|unknown table", str(error), re.IGNORECASE):
+                return False
+            raise
+
+    def rows(self, table: str) -> int:
+        """The database counts, not Spark."""
+        return int(self._reader(f"SELECT COUNT(*) AS N FROM {table}").load().first()[0])
+
+    def read(self, table: str, by: str | None = None, parts: int = 8) -> DataFrame:
+        """A table; with ``by``, a numeric or time column, in as many ranges of it that are read side by side."""
+        reader = self.spark.read.format("jdbc").options(**self.options).option("dbtable", table)
+        if by is not None:
+            low, high = self._reader(f"SELECT MIN({self._quoted(by)}) AS LO, MAX({self._quoted(by)}) AS HI FROM {table}").load().first()
+            if low is not None:
+                reader = reader.options(partitionColumn=by, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts))
+        return reader.load()
+
+    def load(self, df: DataFrame, table: str, keys: list[str], batch: int = 10_000, parts: int = 8) -> int:
+        """Add the rows whose key the table lacks, in batches over ``parts`` connections; a rerun adds none.
+
+        Of rows with equal keys one is added.  Returns the number of rows added.
+        """
+        fresh = df.dropDuplicates(keys)
+        before = 0
+        if self.exists(table):
+            before = self.rows(table)
+            fresh = fresh.join(self.read(table).select(*keys), keys, "left_anti")  # only the keys are read
+        fresh.coalesce(parts).write.format("jdbc").options(**self.options, dbtable=table, batchsize=batch).mode("append").save()
+        return self.rows(table) - before
+
+    def verify(self, sources: dict[str, DataFrame]) -> DataFrame:
+        """Row counts of the source frames against the tables of the same names: table, source_rows, target_rows, same."""
+        side = lambda name, n: self.spark.range(1).select(F.lit(name).alias("table"), F.lit(n).cast("bigint").alias("target_rows"))
+        targets = union_all([side(name, self.rows(name) if self.exists(name) else 0) for name in sorted(sources)])
+        counts = union_all([df.agg(F.count("*").alias("source_rows")).select(F.lit(name).alias("table"), "source_rows") for name, df in sorted(sources.items())])
+        return counts.join(targets, "table").withColumn("same", F.col("source_rows") == F.col("target_rows"))
 
 
 def to_upload(local: DataFrame, remote: DataFrame, today: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schemas
+from tickloom.operators.ordered import as_of
 
 
 def partition_range(start: datetime, end: datetime) -> Column:
@@ -49,15 +50,58 @@ def day_or_daily(spark: SparkSession, compacted_root: str, root: str, day: datet
         return spark.read.parquet(root).where(partition_range(day, day)).drop("year", "month", "day")
 
 
-def recent(df: DataFrame, days: int, now: datetime | None = None, ts: str = "ts") -> DataFrame:
+def recent(df: DataFrame, days: int, now: datetime | Column | None = None, ts: str = "ts") -> DataFrame:
     """Rows of the last ``days`` days."""
-    end = F.lit(now) if now else F.current_timestamp()
+    end = F.current_timestamp() if now is None else F.lit(now)
     return df.where(F.col(ts) >= end - F.make_dt_interval(F.lit(days)))
 
 
-def ticks(spark: SparkSession, path: str) -> DataFrame:
-    """Raw JSON lines with the tick schema; a malformed line is dropped, not its file."""
-    return spark.read.schema(schemas.TICK).option("mode", "DROPMALFORMED").json(path)
+#: JSON as the standard has it.
+STRICT = {"allowSingleQuotes": "false", "allowUnquotedFieldNames": "false"}
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of raw files that are not blank: file, value, and whether they are a JSON object."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value").where(F.trim("value") != "")
+    return lines.withColumn("is_object", F.from_json("value", "map<string,string>", STRICT).isNotNull())
+
+
+def bad_files(spark: SparkSession, path: str) -> DataFrame:
+    """Raw files with a line that is no JSON object, and how many: file, bad_lines."""
+    return _lines(spark, path).where(~F.col("is_object")).groupBy("file").agg(F.count("*").alias("bad_lines"))
+
+
+def ticks(spark: SparkSession, path: str, reject: str = "line") -> DataFrame:
+    """Raw JSON lines with the tick schema; a value of the wrong type is null.
+
+    ``reject``: "line" drops malformed lines, "file" every file that has one (see
+    ``bad_files``); the list of such files is joined, never collected.
+    """
+    if reject not in ("line", "file"):
+        raise ValueError(f"unknown rejection {reject!r}")
+    lines = _lines(spark, path)
+    kept = lines.where("is_object") if reject == "line" else lines.join(bad_files(spark, path), "file", "left_anti")
+    return kept.select(F.inline(F.array(F.from_json("value", schemas.TICK, STRICT))))
+
+
+def derivatives(spark: SparkSession, root: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """Funding rates and open interest under ``root`` (year=/month=/day=), null times dropped: exchange, symbol, ts, funding_rate, open_interest, oi_usd."""
+    df = spark.read.parquet(root)
+    if start is not None and end is not None:
+        if {"year", "month", "day"} <= set(df.columns):
+            df = df.where(partition_range(start, end))
+        df = df.where((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))
+    return df.where(F.col("ts").isNotNull()).select(F.lit("binance_futures").alias("exchange"), "symbol", "ts", "funding_rate", "open_interest", "oi_usd")
+
+
+def with_derivatives(bars: DataFrame, derived: DataFrame) -> DataFrame:
+    """Bars with the last funding rate and open interest of their symbol at or before their time.
+
+    Of derivative rows with equal symbol and time the one with the largest values stays.
+    """
+    values = ["funding_rate", "open_interest", "oi_usd"]
+    one = derived.groupBy("symbol", "ts").agg(*[F.max(v).alias(v) for v in values])
+    return as_of(bars, one, ["symbol"], values)
 
 
 def quality_records(spark: SparkSession, path: str, kind: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom import schemas
-from tickloom.operators.bars import tick_bars
+from tickloom.operators.bars import finished, merge_partials, partial_bars, tick_bars
 from tickloom.operators.detect import clusters
+from tickloom.sinks.lake import PARTITIONS, with_day_columns
 from tickloom.sources.wire import parse
 
 
@@ -60,3 +63,41 @@ def write_bars(bars: DataFrame, path: str, checkpoint: str, once: bool = False)
     """Closed bars as Parquet, each exactly once; ``once`` stops when the input is read."""
     made = bars.withColumn("date", F.to_date("ts")).writeStream.format("parquet").partitionBy("exchange", "date").option("path", path).option("checkpointLocation", checkpoint)
     return (made.trigger(availableNow=True) if once else made.trigger(processingTime="10 seconds")).start()
+
+
+def upsert_batch(ticks: DataFrame, batch: int, root: str, partials: str, seconds: int = 1) -> None:
+    """Bring one batch of ticks into the stored bars; the same batch again changes nothing.
+
+    What the batch tells about its bars is written under its own number in ``partials``
+    (exchange=/symbol=/year=/month=/day=/batch=), replacing what an earlier attempt left.
+    The days that it touches are then put together from all their batches and replaced in
+    ``root``, so a tick of any lateness repairs its bar.  Only those days are read.
+    """
+    if ticks.isEmpty():
+        return
+    spark = ticks.sparkSession
+    parts = with_day_columns(partial_bars(ticks, seconds), "start").withColumn("batch", F.lit(batch))
+    write = lambda df, path, keys: df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    write(parts.repartition(*PARTITIONS), partials, [*PARTITIONS, "batch"])
+    stored = spark.read.schema(parts.schema).parquet(partials)
+    touched = stored.where(F.col("batch") == batch).select(*PARTITIONS).distinct()
+    days = stored.join(F.broadcast(touched), PARTITIONS, "left_semi")  # a row for each symbol and day of the batch
+    bars = with_day_columns(finished(merge_partials(days)))
+    write(bars.repartition(*PARTITIONS).sortWithinPartitions(*PARTITIONS, "ts"), root, PARTITIONS)
+
+
+def upsert_bars(ticks: DataFrame, root: str, partials: str, checkpoint: str, seconds: int = 1, once: bool = False, every: str = "60 seconds", after: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Keep the bars of the lake up to date with a stream of ticks, in micro-batches.
+
+    The checkpoint numbers the batches; one that is replayed after a failure has the same
+    number and the same ticks, see ``upsert_batch``.  ``after`` is told the number of each
+    batch that is stored.
+    """
+
+    def bring(batch: DataFrame, number: int) -> None:
+        upsert_batch(batch, number, root, partials, seconds)
+        if after is not None:
+            after(number)
+
+    made = ticks.writeStream.foreachBatch(bring).option("checkpointLocation", checkpoint)
+    return (made.trigger(availableNow=True) if once else made.trigger(processingTime=every)).start()
