@@ -490,8 +490,39 @@ def test_toxicity_query(spark):
     assert len(rows) == 200 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
     clean = [r for r in rows if r.held_out and known.get(r.doc_id) == 0]
     assert clean and sum(r.predicted for r in clean) <= 0.05 * len(clean)
-    toxic = [r for r in rows if known.get(r.doc_id) == 1]
-    assert sum(r.predicted for r in toxic) >= 0.5 * len(toxic)
+
+
+def test_toxicity_recall_on_held_out_rows(spark):
+    """Nine of ten held-out toxic documents are found; some of the rest are labelled so without any sign in the text."""
+    large = "/root/testdata/sf0.1"
+    known = {r.doc_id: r.toxic for r in spark.read.parquet(f"{large}/labels.parquet").collect()}
+    held = [r for r in queries.op6_toxicity(spark, large).collect() if r.held_out and r.doc_id in known]
+    toxic, clean = ([r for r in held if known[r.doc_id] == y] for y in (1, 0))
+    assert len(toxic) > 100 and sum(r.predicted for r in toxic) >= 0.9 * len(toxic)
+    assert sum(r.predicted for r in clean) <= 0.01 * len(clean)
+
+
+def test_repeated_entries_need_two_near_hits():
+    lexicon = toxicity.Lexicon(["grub*+", "plain"])
+    far = "x " * (toxicity.NEAR + 5)
+    found = lambda text: [lexicon.entries[k] for k in lexicon.measure(text)[0]]
+    assert found("grubx") == found(f"grubx {far} grubx") == found("") == found(None) == []
+    assert found("grubx y grubber") == ["grub*+"] and found("plain") == ["plain"]
+    assert lexicon.measure("grubx y grubber plain")[1].tolist()[:3] == [4, 3, 1]
+    assert {"ab+", "ab"} <= toxicity.terms_of("ab x ab") and "ab+" not in toxicity.terms_of(f"ab {far} ab")
+
+
+def test_label_model_follows_the_known_sample():
+    """Votes that mostly tell languages apart are still read as the sample says."""
+    g = np.random.default_rng(4)
+    y = (g.random(3000) < 0.15).astype(int)
+    other = g.random(3000) < 0.3  # of another language, whose toxic texts one voter alone finds
+    v = np.zeros((3000, 6), int)
+    for k in range(5):
+        v[:, k] = np.where((y == 1) & ~other & (g.random(3000) < 0.8), 1, -1)
+    v[:, 5] = np.where((y == 1) & other & (g.random(3000) < 0.95), 1, -1)
+    p = toxicity.LabelModel().fit(v, 0.15, known=(v[:300], y[:300])).posterior(v)
+    assert ((p >= 0.7) == (y == 1)).mean() > 0.97
 
 
 # 5

@@ -26,7 +26,7 @@ def test_toxicity_drops_labelled_documents_and_keeps_clean_ones(spark, corpus):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     clean = [i for i in texts(corpus) if labels.get(i) == 0]
     toxic = [i for i in texts(corpus) if labels.get(i) == 1]
-    assert sum(i in kept for i in clean) >= 0.97 * len(clean) and sum(i not in kept for i in toxic) >= 0.5 * len(toxic)
+    assert sum(i in kept for i in clean) >= 0.97 * len(clean) and sum(i not in kept for i in toxic) >= 0.6 * len(toxic)  # some are labelled so without any sign in the text
 
 
 def test_near_duplicates_keep_the_first_of_each_class(spark, corpus):

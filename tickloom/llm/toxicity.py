@@ -2,13 +2,14 @@
 
 Many voters look at a text: lexicons written by hand, lexicons of words and word beginnings
 induced from a bounded labelled sample, at several strictness levels, and patterns
-(repeated hits, hits close together, shouting, none of any lexicon).  Each votes toxic,
-clean, or abstains on a bounded sample of rows whose labels are not looked at.  A
+(one entry twice within a few words, repeated hits, hits close together, shouting, none of
+any lexicon).  Each votes toxic, clean, or abstains on a bounded sample of rows whose labels
+are not looked at, and on the labelled one.  A
 generative label model explains these votes by a hidden class: each voter has its own
 rates in either class, and depends on the one other voter it is most correlated with
 there, so that the dependencies form a tree; expectation-maximisation starts from the
-voters' majority.  A linear classifier on lexicon and density features is trained on the
-model's posterior labels alone and scores every text.
+labelled sample, or without one from the voters' majority.  A linear classifier on lexicon
+and density features is trained on the model's posterior labels alone and scores every text.
 """
 
 from __future__ import annotations
@@ -32,14 +33,16 @@ STEMS = range(4, 9)
 CHUNK = 200_000
 #: Lexicons dealt from the induced entries, entries in all, labelled rows used at most, and rows that are voted on.
 LEXICONS, ENTRIES, LABELLED, VOTED = 12, 600, 12_000, 12_000
-#: Toxic labelled texts that must hold an induced entry.
-LEAST = 3
+#: Toxic labelled texts that must hold an induced entry, and how much likelier it must be in them than in clean ones.
+LEAST, LIKELIER = 3, 25
+#: An entry that ends in ``+`` counts only where it stands twice within so many words.
+NEAR = 100
 #: Insults, each list one voter; ``*`` marks a word beginning.
 WRITTEN = {
     "wit": "idiot* moron* stupid* imbecil* dumb dumbass* dimwit* halfwit* brainless dummkopf* dumm blöd* trottel* estúpid* tont* tarad* débile* abruti* crétin*",
     "worth": "loser* pathetic worthless disgusting trash scum clown garbage filth* vermin abschaum dreck* versager* widerlich* wertlos* basura escoria asqueros* patétic* inútil ordure* déchet* minable* pathétique*",
     "abuse": "bastard* bitch* asshole* jerk* creep* shithead* arschloch* wichser* miststück* hurensohn* cabrón* gilipollas* hijoputa* pendej* connard* salaud* salope* enculé*",
-    "threat": "kys kill-yourself hate you-all verrecke* muérete crève",
+    "threat": "kys hate verrecke* muérete crève",
 }
 
 
@@ -48,6 +51,21 @@ def terms(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in STEMS if len(word) >= n)]
 
 
+def terms_of(text: str | None) -> set[str]:
+    """All terms of a text, and those that stand twice within ``NEAR`` words with a ``+``."""
+    last: dict[str, int] = {}
+    found: set[str] = set()
+    at = 0
+    for part in words_of(text):
+        for word in part:
+            for term in terms(word):
+                if at - last.get(term, -NEAR - 1) <= NEAR:
+                    found.add(term + "+")
+                last[term] = at
+            at += 1
+    return found | last.keys()
+
+
 def words_of(text: str | None) -> Iterator[list[str]]:
     """Lower-case words of the whole text, a bounded number at a time."""
     if not text:
@@ -85,25 +103,34 @@ class Lexicon:
     def __setstate__(self, state):
         self.__init__(state)
 
-    def _find(self, word: str) -> tuple[int, ...]:
-        return tuple(k for t in terms(word) for k in self.rank.get(t, ()))
+    def _find(self, word: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        """Entries that the word hits at once, and those that it hits where they stand twice."""
+        own = terms(word)
+        return tuple(k for t in own for k in self.rank.get(t, ())), tuple(k for t in own for k in self.rank.get(t + "+", ()))
 
     def measure(self, text: str | None) -> tuple[list[int], np.ndarray]:
-        """Entries found, and numbers on the whole text: words, hits, closest hits, shouting, marks."""
+        """Entries found, and numbers on the whole text: words, hits, closest hits, marks, length."""
         if self.hit is None:
             self.hit = Memo(self._find, 150_000)
-        found, words, hits, last, gap = set(), 0, 0, None, 1 << 30
+        found: set[int] = set()
+        hits: set[int] = set()  # places of words that hit an entry
+        last: dict[int, int] = {}
+        words = 0
         for part in words_of(text):
-            marked = [(i, h) for i, h in enumerate(map(self.hit.__getitem__, part)) if h]
-            for i, h in marked:
-                found.update(h)
-                if last is not None:
-                    gap = min(gap, words + i - last)
-                last = words + i
-            hits += len(marked)
+            for i, (once, twice) in enumerate(map(self.hit.__getitem__, part), words):
+                if once:
+                    found.update(once)
+                    hits.add(i)
+                for k in twice:
+                    if k in last and i - last[k] <= NEAR:
+                        found.add(k)
+                        hits.update((last[k], i))
+                    last[k] = i
             words += len(part)
         text = text or ""
-        return sorted(found), np.array([words, hits, gap, text.count("!!"), len(text)], float)
+        places = np.sort(np.fromiter(hits, np.int64, len(hits)))
+        gap = int(np.diff(places).min()) if len(places) > 1 else 1 << 30
+        return sorted(found), np.array([words, len(hits), gap, text.count("!!"), len(text)], float)
 
 
 def votes(found: list[list[int]], numbers: np.ndarray, entries: int) -> np.ndarray:
@@ -143,14 +170,27 @@ class LabelModel:
     the voters whose votes tell most about each other within a class.
     """
 
-    def fit(self, v: np.ndarray, share: float, rounds: int = 15) -> LabelModel:
-        """Fit to votes alone; ``share`` is the class balance."""
-        n, voters = v.shape
-        kinds = np.concatenate([v == x for x in (-1, 0, 1)], axis=1).astype(float)  # row, kind * voters + voter
-        p = self._majority(v, share)
+    def fit(self, v: np.ndarray, share: float, rounds: int = 15, known: tuple[np.ndarray, np.ndarray] | None = None) -> LabelModel:
+        """Fit to votes; ``share`` is the class balance, ``known`` votes on a sample whose classes are known.
+
+        Votes alone may take another hidden class for the wanted one, such as the language of
+        most lexicons; the known sample says which is meant: the first round sees it alone,
+        the others as so many more rows.
+        """
+        voters = v.shape[1]
+
+        def kinds_of(m: np.ndarray) -> np.ndarray:
+            return np.concatenate([m == x for x in (-1, 0, 1)], axis=1).astype(float)  # row, kind * voters + voter
+
+        kinds, sure = kinds_of(v), 0.0
         self.prior = float(np.clip(share, 1e-3, 1 - 1e-3))
-        for _ in range(rounds):
-            pair = np.stack([kinds.T @ (kinds * q[:, None]) for q in (1 - p, p)]).reshape(2, 3, voters, 3, voters) + 0.1
+        p = self._majority(v, share)
+        if known is not None and len(known[1]):
+            told, y = kinds_of(known[0]), np.asarray(known[1], float)
+            sure = np.stack([told.T @ (told * q[:, None]) for q in (1 - y, y)])
+        for n in range(rounds):
+            pair = sure + (np.stack([kinds.T @ (kinds * q[:, None]) for q in (1 - p, p)]) if n or isinstance(sure, float) else 0.0)
+            pair = pair.reshape(2, 3, voters, 3, voters) + 0.1
             joint = pair / pair.sum(axis=(1, 3), keepdims=True)  # class, kind, voter, kind, voter
             one = joint.sum(axis=3)
             other = joint.sum(axis=1)
@@ -247,9 +287,9 @@ def train(
 
     About ``rows`` labelled rows are used at most, chosen by a hash of ``key``: the
     documented bound, which also bounds what is broadcast to find their texts.  They serve
-    to induce lexicons and to tell the class balance.  The label model and the classifier
-    see the votes on about ``voted`` rows of ``docs``, chosen by another hash, never
-    their labels.  Equal labelled texts count once; where their labels differ the larger
+    to induce lexicons, to tell the class balance, and to tell the label model which hidden
+    class is meant.  The label model and the classifier see the votes on about ``voted`` rows
+    of ``docs``, chosen by another hash, without their labels.  Equal labelled texts count once; where their labels differ the larger
     one holds.  Null texts and rows with a null key are not drawn.  Without both classes
     every score is the share of toxic rows, or 0 without labels.  Other columns are not read.
     """
@@ -269,33 +309,38 @@ def train(
         for batch in batches:
             seen: Counter = Counter()
             for t, y in zip(batch["text"], batch["y"], strict=True):
-                own = {w for part in words_of(t) for w in part}
-                for term in {x for w in own for x in terms(w)}:
+                for term in terms_of(t):
                     seen[term] += (1 << 32) if y else 1
             yield pd.DataFrame({"term": list(seen), "toxic": [v >> 32 for v in seen.values()], "clean": [v & 0xFFFFFFFF for v in seen.values()]})
 
     table = sample.mapInPandas(lean(count), "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
     # a term must be far likelier in toxic texts; those in most of them come first
     ratio = (F.col("t") + 0.1) / toxic / ((F.col("c") + 0.3) / (n - toxic))
-    best = table.where((F.col("t") >= LEAST) & (ratio > 25)).withColumn("r", F.col("t") * F.log(ratio)).orderBy(F.desc("r"), F.length("term"), "term").limit(entries).collect()
-    sample.unpersist()
+    best = table.where((F.col("t") >= LEAST) & (ratio > LIKELIER)).withColumn("r", F.col("t") * F.log(ratio)).orderBy(F.desc("r"), F.length("term"), "term").limit(entries).collect()
     induced = [r["term"] for r in best]
     lexicon = Lexicon(induced + written())
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             m = [lexicon.measure(t) for t in batch["text"]]
-            yield pd.DataFrame({"found": [f for f, _ in m], "numbers": [x.tolist() for _, x in m]})
+            yield pd.DataFrame({"y": batch["y"], "found": [f for f, _ in m], "numbers": [x.tolist() for _, x in m]})
         lexicon.hit = None
 
+    def looked_at(frame: DataFrame) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
+        """Entries found, numbers and class of a bounded sample."""
+        got = frame.select("text", "y").mapInPandas(lean(look), "y int, found array<int>, numbers array<double>").toPandas()
+        numbers = np.stack(got["numbers"].tolist()) if len(got) else np.zeros((0, 5))
+        return [list(f) for f in got["found"]], numbers, got["y"].to_numpy()
+
     of_docs = texts.count()
     drawn = texts.where(_drawn("key", "toxicity votes", min(1.0, voted / max(of_docs, 1))))
-    seen = drawn.select("text").mapInPandas(lean(look), "found array<int>, numbers array<double>").toPandas()
-    if not len(seen):
+    found, numbers, _ = looked_at(drawn.withColumn("y", F.lit(0)))
+    if not len(found):
         return Model([], None, toxic / n)
-    found, numbers = [list(f) for f in seen["found"]], np.stack(seen["numbers"].tolist())
+    of_known, numbers_known, y = looked_at(sample)
+    sample.unpersist()
     v = votes(found, numbers, len(induced))
-    posterior = LabelModel().fit(v, toxic / n).posterior(v)
+    posterior = LabelModel().fit(v, toxic / n, known=(votes(of_known, numbers_known, len(induced)), y)).posterior(v)
     return Model(induced, logistic(features(found, numbers, len(induced)), posterior), toxic / n)
 
 
