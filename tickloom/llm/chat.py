@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,6 +67,16 @@ class Template:
         return self.unescape(role), self.unescape(rest[: len(rest) - len(self.close)])
 
 
+def codes(text: str) -> np.ndarray:
+    """The code points of a text."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<i4")
+
+
+def text_of(ids) -> str:
+    """The text of code points."""
+    return np.asarray(ids, "<i4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def _turns(rows: DataFrame, template: Template) -> DataFrame:
     """Format every turn and name every beginning: conv, depth, node, parent, tokens, loss, pos."""
 
@@ -149,7 +160,7 @@ def prefix_tree(conversations: DataFrame, template: Template | None = None, conv
 
     @F.pandas_udf("array<int>")
     def points(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: list(map(ord, t)))
+        return texts.map(codes)
 
     none = F.array().cast("array<struct<from:bigint,to:bigint>>")
     tree = nodes.drop("runs").join(attend, ["owner", "depth"], "left").withColumn("attend", F.coalesce("attend", none))
@@ -192,7 +203,7 @@ def digests(turns: DataFrame, template: Template | None = None) -> DataFrame:
                     conv, conv_id, started = c, None if pd.isna(cid) else int(cid), True
                     n, loss, size = 0, 0, 0
                     turns_hash, loss_hash, places, seen = (hashlib.sha256() for _ in range(4))
-                formatted = "".join(map(chr, ids))
+                formatted = text_of(ids)
                 role, text = template.parse(formatted)
                 turns_hash.update(f"{role}\n{text}\n".encode())
                 learned = template.unescape(formatted[a:b])
