@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import bpe, chat, decontam, hardneg, kmeans, langid, licenses, omh, suffix, tokcount, topk, toxicity, urlrules
-from tickloom.llm.common import materialise, shared_folder, table
+from tickloom.llm.common import shared_folder, table
 
 #: The rank file that the byte-level queries use.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -93,11 +94,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Returns file (number of the part file), doc (from 0 in each file), n_tokens, ended.
     """
-    path = f"{shared_folder(spark)}/flat-tokens"
+    path = f"{shared_folder(spark)}/flat-tokens-{uuid.uuid4().hex}"  # of this run alone
     tokcount.write_flat(table(spark, sf_dir, "documents"), path, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, END_ID)
     counts = tokcount.count_tokens(tokcount.read_blocks(spark, path), END_ID)
     part = F.regexp_extract("file", r"part-(\d+)", 1).cast("int")
-    return materialise(counts.withColumn("file", part))  # the next call writes its files in the same place
+    return counts.withColumn("file", part)
 
 
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
