@@ -204,7 +204,7 @@ def test_the_chain_reads_its_bars_once(spark):
 
 
 def test_every_verdict_occurs(spark):
-    assert {r.verdict for r in catalog.report_verdicts(spark, SF).collect()} == {"PASS", "INVESTIGATE", "FAIL"}
+    assert {r.verdict for r in catalog.report_verdicts(spark, "/root/testdata/sf0.01").collect()} == {"PASS", "INVESTIGATE", "FAIL"}
 
 
 def test_rules_and_parity_reports(spark):
@@ -262,3 +262,53 @@ def test_plans_that_were_heavy(spark):
     """No sort of all ticks for daily bars of order lines, and one scan for what reads bars twice."""
     assert "SortAggregate" not in plan_of(catalog.trade_bars_daily(spark, SF))
     assert "SortAggregate" not in plan_of(catalog.candle_changes(spark, SF))
+
+
+def test_compaction_counts_gaps_and_reads_only_its_days(spark, tmp_path):
+    root = str(tmp_path / "daily")
+    frame = lambda day, seconds: spark.createDataFrame([("x", "S", T0 + timedelta(days=day, seconds=t), 1, 1.0) for t in seconds], "exchange string, symbol string, ts timestamp, trade_count bigint, close double")
+    columns = ["exchange", "symbol", "ts", "close"]
+    sink.compact(frame(5, [0, 1]), root, columns)
+    summary = {str(r.date): r for r in sink.compact(frame(0, [86395, 86397, 86399]).unionByName(frame(1, [0, 7, 8, 20])), root, columns).collect()}
+    # the second day's first row comes a second after the first day's last
+    assert {d: (r.n_rows, r.gaps) for d, r in summary.items()} == {"2025-01-01": (3, 2), "2025-01-02": (4, 2)}
+    assert spark.read.parquet(root).select("date").distinct().count() == 3
+
+
+def test_detectors_are_pluggable(spark):
+    own = catalog.bars_of(spark, SF)
+
+    def first_hour(clean, masked, config):
+        return clean.where(F.hour("ts") == 0).select("exchange", "symbol", "ts", F.lit("MIDNIGHT").alias("detector"), F.lit(9.0).alias("z"))
+
+    with pytest.raises(ValueError):
+        qa.QaConfig(detectors=("midnight",))
+    qa.DETECTORS["midnight"] = first_hour
+    try:
+        stages = qa.chain(own, 3600, qa.QaConfig(detectors=("jump", "midnight")))
+        rows = stages["anomalies"].where("detector = 'MIDNIGHT'")
+        assert rows.count() > 0 and rows.first().label == "anomaly" and rows.first().confidence == 0.5
+    finally:
+        del qa.DETECTORS["midnight"]
+    silent = qa.chain(own, 3600, qa.QaConfig(detectors=(), labeler="none"))
+    assert silent["anomalies"].count() == 0 and silent["fused"].count() > 0
+    named = qa.chain(own, 3600, qa.QaConfig(detectors=("zscore",), zscore_k=0.5, labeler="none"))["anomalies"]
+    assert named.count() > 0 and {(r.label, r.confidence) for r in named.collect()} == {("unreviewed", 0.5)}
+
+
+def test_the_forest_finds_outliers_of_either_exchange(spark):
+    own = catalog.two_exchanges(spark, SF).withColumn("ask", F.coalesce("ask", F.lit(11.0))).withColumn("bid", F.coalesce("bid", F.lit(10.0))).withColumn("spread", F.col("ask") - F.col("bid"))
+    odd = own.withColumn("vwap", F.when((F.col("exchange") == "north") & (F.dayofmonth("ts") == 3), F.col("close") * 50).otherwise(F.col("vwap")))
+    found = detect.isolation_forest(odd, contamination=0.02)
+    assert found.count() > 0 and set(found.columns) == {"exchange", "symbol", "ts", "detector", "score"}
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, detect.isolation_forest(odd, contamination=0.02).collect()))
+
+
+def test_tables_and_exports(spark, tmp_path):
+    made = sink.projected(catalog.bars_of(spark, SF), "bars")
+    sink.export(catalog.bars_of(spark, SF), str(tmp_path / "p"), table="bars")
+    sink.export(made, str(tmp_path / "c"), "csv")
+    assert spark.read.parquet(str(tmp_path / "p")).columns == list(made.columns) and spark.read.option("header", "true").csv(str(tmp_path / "c")).count() == made.count()
+    with pytest.raises(ValueError):
+        sink.export(made, str(tmp_path / "x"), "xml")
+    assert spark.range(1).select(scalars.basis_points(F.lit(1.0), F.lit(200.0)), scalars.basis_points(F.lit(1.0), F.lit(0.0))).first()[:] == (50.0, None)

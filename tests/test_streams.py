@@ -112,6 +112,38 @@ def test_heartbeat_of_a_replay(spark, tmp_path):
     assert [health.overall(*s) for s in (("running",), ("running", "error"), ("stopped",), ("starting",))] == ["HEALTHY", "ERROR", "STOPPED", "UNKNOWN"]
 
 
+def drained(frame, spark, name, mode):
+    """What a stream gives in memory when all its input is read."""
+    query = frame.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    return spark.table(name)
+
+
+def test_messages_candles_clusters_and_rotation(spark, tmp_path):
+    message = lambda i, price: json.dumps({"stream": "s@trade", "data": {"e": "trade", "E": 1735689600000 + i * 1000, "s": "S", "p": str(price), "q": "2", "t": i, "m": False}})
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "0.txt").write_text("\n".join([message(i, 10 + i) for i in range(5)] + ["not json"]) + "\n")
+    ticks = drained(live.message_stream(spark, str(tmp_path / "m"), "binance"), spark, "messages", "append").collect()
+    assert sorted(r.price for r in ticks) == [10, 11, 12, 13, 14] and ticks[0].ts == datetime(2025, 1, 1) + timedelta(seconds=ticks[0].trade_id)
+    put(tmp_path / "raw", "0.jsonl", BATCHES[0])
+    put(tmp_path / "raw", "1.jsonl", BATCHES[1])
+    stream = lambda: live.tick_stream(spark, str(tmp_path / "raw"), 1)
+    candles = drained(live.live_candle(stream(), 60), spark, "candles", "update")
+    last = candles.where("symbol = 'S'").groupBy("ts").agg(F.max_by("close", "volume_base").alias("close"), F.max("volume_base").alias("volume")).orderBy("ts").collect()
+    assert [(r.close, r.volume) for r in last] == [(13.0, 4.0), (50.0, 1.0)]  # the newest state of each candle
+    live.write_rotated(stream(), str(tmp_path / "rotated"), str(tmp_path / "c1"), "1 second").processAllAvailable()
+    for q in spark.streams.active:
+        q.stop()
+    kept = spark.read.json(str(tmp_path / "rotated"))
+    assert kept.count() == 6 and {str(r.date) for r in kept.select("date").distinct().collect()} == {"2025-01-01", "2025-01-02"}
+    rows = [("S", "JUMP", T0 + timedelta(seconds=t), z) for t, z in ((0, 7.0), (3, -9.0), (20, 8.0), (500, 1.0))]
+    for n, r in enumerate(rows):
+        spark.createDataFrame([r], "symbol string, detector string, ts timestamp, z double").coalesce(1).write.mode("append").parquet(str(tmp_path / "a"))
+    found = spark.readStream.schema("symbol string, detector string, ts timestamp, z double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "a"))
+    closed = drained(live.live_clusters(found, 5, "1 minute"), spark, "clusters", "append").orderBy("start_ts").collect()
+    assert [(r.n, r.max_abs_z) for r in closed] == [(2, 9.0), (1, 8.0)]
+
+
 # Raw files, digests, database
 
 

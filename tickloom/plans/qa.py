@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame
@@ -37,7 +38,7 @@ class QaConfig:
             raise ValueError("contamination must lie between 0 and 0.5")
         if self.labeler not in ("rules", "none"):
             raise ValueError(f"unknown labeler {self.labeler!r}")
-        if unknown := set(self.detectors) - {"zscore", "jump", "iforest"}:
+        if unknown := set(self.detectors) - set(DETECTORS):
             raise ValueError(f"unknown detectors {sorted(unknown)}")
 
     @classmethod
@@ -48,6 +49,14 @@ class QaConfig:
         return cls(**settings)
 
 
+#: Detectors by name, to be extended: (clean bars, all bars with ``is_clean``, config) to rows of a series' keys, ts, detector, z and what else it tells.
+DETECTORS: dict[str, Callable[[DataFrame, DataFrame, QaConfig], DataFrame]] = {
+    "zscore": lambda clean, masked, config: detect.zscores(clean, config.zscore_window, config.zscore_k),
+    "jump": lambda clean, masked, config: detect.jumps(clean, config.jump_k_sigma, config.jump_stable_bps, config.jump_min_trades),
+    "iforest": lambda clean, masked, config: detect.isolation_forest(masked, config.forest_contamination, config.forest_trees).withColumnRenamed("score", "z"),
+}
+
+
 def anomalies(judged: DataFrame, config: QaConfig) -> DataFrame:
     """Labelled anomalies of all configured detectors, with ``features`` and ``rationale``.
 
@@ -56,16 +65,10 @@ def anomalies(judged: DataFrame, config: QaConfig) -> DataFrame:
     from them.
     """
     is_clean = F.size("rules") == 0
-    clean, found = judged.where(is_clean), []
+    clean, masked = judged.where(is_clean), judged.withColumn("is_clean", is_clean)
     series = series_keys(judged)
-    if "zscore" in config.detectors:
-        found.append(detect.zscores(clean, config.zscore_window, config.zscore_k))
-    if "jump" in config.detectors:
-        found.append(detect.jumps(clean, config.jump_k_sigma, config.jump_stable_bps, config.jump_min_trades))
-    if "iforest" in config.detectors:
-        scored = detect.isolation_forest(judged.withColumn("is_clean", is_clean), config.forest_contamination, config.forest_trees)
-        found.append(scored.withColumnRenamed("score", "z"))
-    rows = union_all(found)
+    none = judged.limit(0).select(*series, "ts", F.lit("").alias("detector"), F.lit(0.0).alias("z"))
+    rows = union_all([none, *(DETECTORS[name](clean, masked, config) for name in config.detectors)])
     for c in ("value", "ret", "spread_bp"):  # what only some detectors tell
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast("double"))

@@ -11,7 +11,7 @@ KLINE = "symbol string, open_time timestamp, close_time timestamp, open double,
 MACRO = "ticker string, ts timestamp, open double, high double, low double, close double, volume bigint"
 CONNECTION = "event string, exchange string, ts string, reason string, gap_seconds double"
 VIOLATION = "symbol string, ts timestamp, rule string, severity string, detail string, row_sample string"
-ANOMALY = "symbol string, ts timestamp, detector string, features map<string,double>, label string, rationale string, confidence double"
+ANOMALY = "symbol string, ts timestamp, detector string, features map<string,double>, label string, rationale string, confidence double, cluster struct<count:bigint,start_ts:timestamp,end_ts:timestamp,max_abs_z:double>"
 
 #: Columns that every stored bar has.
 BAR_COLUMNS = ("window_start", "symbol", "open", "high", "low", "close", "volume_base", "volume_quote", "trade_count", "vwap", "bid", "ask", "spread")
