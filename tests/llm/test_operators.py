@@ -348,10 +348,38 @@ def test_many_items_share_one_space(spark, monkeypatch):
         wanted.add((len(texts), k))
         texts.append(" ".join([word() for _ in range(50)] + (copy if k % 8 else items[k]) + [word() for _ in range(50)]))
         texts.append(" ".join(word() for _ in range(150)))
-    monkeypatch.setattr(decontam, "ITEMS", 150)
     bench = spark.createDataFrame([(k, " ".join(ws)) for k, ws in enumerate(items)], "item_id long, text string")
-    found = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), bench).collect()}
-    assert found <= wanted and len(found) >= 0.97 * len(wanted)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = {(r.doc_id, r.item_id): (r.cosine, r.common, r.answer) for r in decontam.contaminated(frame, bench).collect()}
+    monkeypatch.setattr(decontam, "ITEMS", 150)
+    found = {(r.doc_id, r.item_id): (r.cosine, r.common, r.answer) for r in decontam.contaminated(frame, bench).collect()}
+    assert found.keys() <= wanted and len(found) >= 0.97 * len(wanted)
+    assert found.keys() == whole.keys() and all(found[k] == pytest.approx(whole[k], abs=1e-4) for k in found)
+    monkeypatch.setattr(decontam, "LARGEST", 1000)
+    with pytest.raises(ValueError):
+        decontam.contaminated(frame, bench)
+
+
+def test_paraphrases_are_recalled(spark):
+    """Of items planted with a third of their words replaced, but for their answer, nine of ten are found, and of copies all."""
+    rnd = random.Random(21)
+    docs = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) > 600").orderBy("doc_id").limit(60).collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").where("text is not null").orderBy("item_id").collect() if len(decontam.words_of(r.text)) >= 15][:20]
+    fillers = sorted({w for t in docs for w in t.split()})[:2000]
+    rows, planted = [], []
+    for k, (item, text) in enumerate(items * 2):
+        head, answer = text.split(), decontam.answer_of(text)
+        if k >= len(items):
+            for i in rnd.sample(range(max(0, len(head) - len(answer))), int(0.33 * max(0, len(head) - len(answer)))):
+                head[i] = rnd.choice(fillers)
+        base = docs[k % len(docs)].split()
+        cut = len(base) // 2
+        rows.append((k, " ".join([*base[:cut], *head, *base[cut:]])))
+        planted.append((k, item))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert all(p in found for p in planted[: len(items)])
+    assert sum(p in found for p in planted[len(items) :]) >= 0.9 * len(items)
 
 
 def test_subsequence():
