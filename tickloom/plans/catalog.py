@@ -158,7 +158,7 @@ def _rollup(name: str, seconds: int) -> None:
     ORACLE_SQL[f"rollup_{name}"] = _rollup_sql(seconds)
 
 
-for _name, _seconds in (("1s", 1), ("1h", 3600)):
+for _name, _seconds in (("1s", 1), ("1m", 60), ("1h", 3600)):
     _tick_bars(_name, _seconds)
 for _name, _seconds in (("1m", 60), ("5m", 300), ("15m", 900), ("1h", 3600)):
     _rollup(_name, _seconds)
@@ -903,3 +903,38 @@ def newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     closed = B.time_slice(bars_of(spark, sf_dir), None, *[F.lit(d).cast("timestamp_ntz") for d in ("2024-01-10", "2024-01-11")], closed=True)
     order = Window.partitionBy("symbol").orderBy(F.desc("ts"))
     return rounded(closed.select("symbol", "ts", F.row_number().over(order).alias("place"), "close"))
+
+
+@query(f"{EVIDENT} SELECT detector, count(*) AS anomalies FROM evident GROUP BY 1")
+def detector_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect.counts(_evident(spark, sf_dir))
+
+
+@query(f"""WITH {TICKS}, {bars_sql('bars', 60)}, part AS (SELECT * FROM bars WHERE symbol IN ('click', 'view') AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-06'),
+rolled AS (SELECT exchange, symbol, time_bucket(INTERVAL '900 seconds', ts, TIMESTAMP '1970-01-01') AS ts, first(open ORDER BY ts) AS open, max(high) AS high, min(low) AS low, last(close ORDER BY ts) AS close, count(*) AS bar_count FROM part GROUP BY 1, 2, 3)
+SELECT exchange, symbol, ts, round(open, 6) AS open, round(high, 6) AS high, round(low, 6) AS low, round(close, 6) AS close, bar_count FROM rolled""")
+def slice_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarter-hour bars of two symbols and a day: symbols, range and timeframe together."""
+    day = [F.lit(d).cast("timestamp_ntz") for d in ("2024-01-05", "2024-01-06")]
+    made = slices.bars_at(bars_of(spark, sf_dir, 60), "15m", *day, symbols=["click", "view"])
+    return rounded(made.select("exchange", "symbol", "ts", "open", "high", "low", "close", "bar_count"))
+
+
+@query(f"""{SEEDED}, known AS (SELECT symbol, ts, last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY ts) AS known FROM seeded),
+back AS (SELECT *, lag(known) OVER (PARTITION BY symbol ORDER BY ts) AS before FROM known)
+SELECT symbol, ts, round(coalesce(known / nullif(before, 0) - 1, 0), 6) AS ret1 FROM back""")
+def padded_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns over bars of which some lack a close."""
+    return rounded(detect.padded_returns(seeded(bars_of(spark, sf_dir))).select("symbol", "ts", "ret1"))
+
+
+@query(f"{HOURLY} SELECT count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts FROM bars WHERE CAST(ts AS DATE) = DATE '2024-01-10'")
+def day_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of a day has come in."""
+    return profiles.span(slices.of_day(bars_of(spark, sf_dir), F.lit("2024-01-10").cast("date"))).select("n_rows", "first_ts", "last_ts")
+
+
+@query("SELECT count(*) AS n_rows, min(o_orderdate) AS first_ts, max(o_orderdate) AS last_ts, count(DISTINCT o_custkey) AS distinct_values FROM orders")
+def macro_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read as macro rows, a ticker for each customer."""
+    return profiles.span(driver_table(spark, sf_dir, "orders"), "o_orderdate", distinct="o_custkey").drop("days")
