@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF
-from tickloom.llm import bpe, chat, decontam, langid, omh, queries, suffix, tokcount, topk, toxicity, urlrules
+from tickloom.llm import bpe, chat, decontam, langid, licenses, omh, queries, suffix, tokcount, topk, toxicity, urlrules
 
 RANKS, PIECES = public_tokenizers.path(queries.RANKS), public_tokenizers.path(queries.PIECES)
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, rep long, node long, bucket long, labels string"
@@ -40,6 +40,7 @@ RUNS = {
     "decontaminate": lambda s, d: decontam.contaminated(d, benchmark(s)),
     "near_duplicates": lambda s, d: omh.near_duplicates(d),
     "language": learned,
+    "licenses": lambda s, d: licenses.scan(d),
     "bpe": lambda s, d: bpe.transcode(d, RANKS, public_tokenizers.PATTERN, tuple(bpe.OUTPUTS)),
     "toxicity": scored,
     "suffix": lambda s, d: suffix.strip_repeats(d, ("kept", "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256")),
@@ -61,6 +62,9 @@ def test_awkward_documents(spark, name):
         assert by[6].class_id == 5 and by[8].class_id == 7 and by[1].class_id == 1 and by[None].class_id is None and by[3].class_id == 3
     if name == "language":
         assert by[0].lang_pred == by[1].lang_pred == by[3].lang_pred == "und" and by[1].score == 0
+    if name == "licenses":
+        assert by[1].n_words == by[0].n_words == by[3].n_words == 0 and by[7].n_words == 45_000 and by[5].n_words == 13 and by[9].n_words == 1  # no separator in it
+        assert all(r.labels == r.base_labels == "" and r.score == 0 for r in rows)
     if name == "bpe":
         assert by[1].n_tokens == 0 and bytes(by[7].decoded).decode() == LONG
     if name == "toxicity":
