@@ -259,8 +259,8 @@ def test_orders_of_lists(spark):
 
 
 def test_plans_that_were_heavy(spark):
-    """No sort of all ticks for daily bars of order lines, and one scan for what reads bars twice."""
-    assert "SortAggregate" not in plan_of(catalog.trade_bars_daily(spark, SF))
+    """No sort of all ticks for bars of ticks with whole-number ids."""
+    assert "SortAggregate" not in plan_of(catalog.QUERIES["ohlcv_1h"](spark, SF))
     assert "SortAggregate" not in plan_of(catalog.candle_changes(spark, SF))
 
 

@@ -31,16 +31,15 @@ def event_ticks(events: DataFrame) -> DataFrame:
 def line_trades(lineitem: DataFrame) -> DataFrame:
     """Order lines as trades at day grain, one symbol for each flag and status.
 
-    The id is order and line in one number of 26 digits, so bars need no sort; an order key
-    of more than 16 digits is an error.
+    Order and line do not name one row here, so part and supplier order the rest; the four keys
+    do not fit one number, and such bars are sorted.
     """
     none = F.lit(None).cast("double")
-    id_ = F.col("l_orderkey").cast("decimal(16,0)") * F.lit(10**10).cast("decimal(11,0)") + F.col("l_linenumber")
     return lineitem.select(
         F.lit("driver").alias("exchange"),
         F.concat("l_returnflag", "l_linestatus").alias("symbol"),
         F.col("l_shipdate").alias("ts"),
-        id_.cast("decimal(26,0)").alias("trade_id"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("trade_id"),
         F.lit("trade").alias("stream"),
         (F.col("l_extendedprice") / F.nullif("l_quantity", F.lit(0.0))).alias("price"),
         F.col("l_quantity").alias("qty"),
