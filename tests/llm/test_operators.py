@@ -382,6 +382,34 @@ def test_paraphrases_are_recalled(spark):
     assert sum(p in found for p in planted[len(items) :]) >= 0.9 * len(items)
 
 
+def test_space_is_fitted_on_all_passages(spark):
+    """A'A of the passages of every document; 4,500 documents, more than were once drawn."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 90, n)) for n in rng.integers(0, 200, 4500)] + [None, ""]
+    vocabulary = {f"w{k}": k for k in range(80)}
+    counts = decontam.counted(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), vocabulary)
+    n, df = decontam.document_frequencies(counts, 80)
+    assert n == len(texts) and df.tolist() == [sum(w in decontam.words_of(t) for t in texts) for w in vocabulary]
+    idf = rng.random(80)
+    wanted = np.zeros((80, 80))
+    for t in texts:
+        words = decontam.words_of(t)
+        for k in range(0, len(words), 2 * decontam.STEP):
+            tf = np.bincount([vocabulary[w] for w in words[k : k + 2 * decontam.STEP] if w in vocabulary], minlength=80)
+            if (tf > 0).sum() >= 2:
+                v = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0) * idf
+                wanted += np.outer(v, v) / (v @ v)
+    got = np.zeros((80, 80))
+    matrix = decontam.gram(decontam._of_passages(counts, idf), 80)
+    for r in matrix.collect():
+        key = np.frombuffer(r.key, np.int64)
+        got[key // 80, key % 80] += np.frombuffer(r.value)
+    np.testing.assert_allclose(got, np.triu(wanted), rtol=1e-9, atol=1e-12)
+    basis = decontam.latent_space(matrix, 80, 5)
+    best = np.linalg.eigh(wanted)[1][:, ::-1][:, :1]
+    assert abs(best[:, 0] @ basis[:, 0]) > 0.999
+
+
 def test_subsequence():
     assert decontam.common_subsequence("a b c d".split(), "x a y c d b".split()) == 3
     assert decontam.common_subsequence("a a b".split(), "a b a".split()) == 2

@@ -2,8 +2,8 @@
 
 Benchmark items and overlapping passages of documents are TF-IDF vectors over the items'
 words, with document frequencies counted over all documents.  A randomised singular value
-decomposition of passages (a bounded sample of the documents' and those of all items), its
-products computed by Spark, gives the latent space.  Every passage of every whole document
+decomposition of the passages of all documents and all items, its products computed by
+Spark, gives the latent space.  Every passage of every whole document
 is projected into it and compared with all items by cosine; what comes close is checked
 word by word: the longest common subsequence with the whole item, and for looser matches
 whether the item's answer (its last sentence) stands there too.
@@ -41,10 +41,12 @@ ITEMS = 8192
 LARGEST = 2 << 30
 #: Dimensions of the latent space at most, and extra directions and rounds of the decomposition.
 RANK, EXTRA, ROUNDS = 256, 16, 2
-#: Documents whose passages help to fit the space at most; weight of an item among them.
-FITTED, WEIGHT = 4000, 8.0
-#: Partitions of the sample, so partial products to add up.
+#: Weight of an item among the passages of so many documents; with more documents items weigh more, so that the space keeps them.
+WEIGHT, AMONG = 8.0, 4000
+#: Partitions of the products' matrix, whose size the vocabulary bounds, so partial sums of the decomposition to add up.
 SUMS = 8
+#: Products of word pairs that a task holds before it hands them on; rows of the product matrix that are added up at once.
+HELD, ROWS = 1 << 20, 64
 #: Words in a larger share of all documents carry no weight, unless an item has little else.
 COMMON = 0.2
 #: Least cosine of a candidate, and of a paraphrase; share of an item that must stand in order; the same where its answer stands too.
@@ -97,21 +99,53 @@ def common_subsequence(item: list[str], region: list[str]) -> int:
     return len(item) - row.bit_count()
 
 
-def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:
-    """Documents, and how many of them hold each word of the vocabulary; over all documents."""
+COUNTED = "n long, word binary, held binary, first binary, at binary, tf binary"
+
+
+def counted(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    """Words of the vocabulary in all passages of all documents, a row for each batch of documents.
+
+    ``n`` documents; of them ``held`` hold each ``word``; each passage's words ``at`` and their
+    counts ``tf`` begin at ``first``.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, seen, n = shared.value, Counter(), 0
-        names = known.keys()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = shared.value
         for batch in batches:
-            n += len(batch)
+            own, keys, passages = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
             for text in batch["text"]:
-                seen.update(names & set(words_of(text)))
-        yield pd.DataFrame({"word": [-1, *map(known.__getitem__, seen)], "n": [n, *seen.values()]})
-
-    rows = docs.select("text").mapInPandas(lean(count), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    df, n = np.zeros(len(vocabulary)), 0
+                words = words_of(text)
+                ids = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+                place = np.flatnonzero(ids >= 0)
+                ids = ids[place]
+                own.append(np.unique(ids))
+                keys.append((passages + place // (2 * STEP)) * len(known) + ids)
+                passages += -(-len(words) // (2 * STEP))
+            word, held = np.unique(np.concatenate(own), return_counts=True)
+            key, tf = np.unique(np.concatenate(keys), return_counts=True)
+            row, at = key // len(known), key % len(known)
+            first = np.flatnonzero(np.diff(row, prepend=-1))
+            packed = [x.astype(kind).tobytes() for x, kind in ((word, "i4"), (held, "i4"), (first, "i4"), (at, "i4"), (tf, "u1"))]
+            yield pd.DataFrame([(len(batch), *packed)], columns=["n", "word", "held", "first", "at", "tf"])
+
+    return docs.select("text").mapInPandas(lean(run), COUNTED)
+
+
+def document_frequencies(counts: DataFrame, features: int) -> tuple[int, np.ndarray]:
+    """Documents, and how many of them hold each word; over all documents."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n = np.zeros(features, np.int64), 0
+        for batch in batches:
+            n += int(batch["n"].sum())
+            for word, held in zip(batch["word"], batch["held"], strict=True):
+                total[np.frombuffer(word, "i4")] += np.frombuffer(held, "i4")
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"word": [-1, *some], "n": [n, *total[some]]})
+
+    rows = counts.select("n", "word", "held").mapInPandas(lean(add), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    df, n = np.zeros(features), 0
     for r in rows:
         if r["word"] < 0:
             n = r["n"]
@@ -120,23 +154,111 @@ def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[i
     return n, df
 
 
-def latent_space(vectors: DataFrame, features: int, rank: int, seed: int = 17) -> np.ndarray:
-    """Leading right singular directions (features x rank) of sparse rows (at, value); values are 0 for none.
+def unit_rows(first: np.ndarray, at: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit TF-IDF vectors of the passages that hold two words of weight: where each begins, words, values."""
+    row = np.repeat(np.arange(len(first)), np.diff(first, append=len(at)))
+    value = (1 + np.log(tf.astype(float))) * idf[at]
+    kept = value > 0
+    kept &= (np.bincount(row[kept], minlength=len(first)) >= 2)[row]
+    row, at, value = row[kept], at[kept], value[kept]
+    value /= np.sqrt(np.bincount(row, value**2, len(first)))[row]
+    return np.flatnonzero(np.diff(row, prepend=-1)), at, value
+
+
+def summed(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of equal keys added up, by key."""
+    order = np.argsort(key)
+    key, value = key[order], value[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[first], np.add.reduceat(value, first) if len(first) else value
+
+
+def pair_products(first: np.ndarray, at: np.ndarray, value: np.ndarray, features: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each two words of a vector, and each with itself, the smaller's number times ``features`` and the larger's, and the product of their values."""
+    left = np.repeat(np.append(first[1:], len(at))[: len(first)], np.diff(first, append=len(at))) - np.arange(len(at))  # words from this one to the vector's last
+    begun = np.concatenate([[0], np.cumsum(left)])
+    start = 0
+    while start < len(at):
+        end = max(start + 1, int(np.searchsorted(begun, begun[start] + HELD, "right")) - 1)
+        n = left[start:end]
+        a = np.repeat(np.arange(start, end), n)
+        b = a + np.arange(len(a)) - np.repeat(begun[start:end] - begun[start], n)
+        yield summed(at[a].astype(np.int64) * features + at[b], value[a] * value[b])
+        start = end
+
+
+def products(vectors: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], features: int) -> Iterator[pd.DataFrame]:
+    """The upper half of A'A by ranges ``k`` of ``ROWS`` rows, as far as a task's vectors go; a task hands on what it holds now and then."""
+
+    def handed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        key, value = summed(np.concatenate([k for k, _ in parts]), np.concatenate([v for _, v in parts]))
+        edge = np.flatnonzero(np.diff(key // (features * ROWS), prepend=-1))
+        ends = np.append(edge[1:], len(key))
+        made = [(int(key[s] // (features * ROWS)), key[s:e].tobytes(), value[s:e].tobytes()) for s, e in zip(edge, ends, strict=True)]
+        return pd.DataFrame(made, columns=["k", "key", "value"])
 
-    Randomised subspace iteration: Spark computes A'(A Q) by partitions and sums it by
+    parts, held = [], 0
+    for first, at, value in vectors:
+        for part in pair_products(first, at, value, features):
+            parts.append(part)
+            held += len(part[0])
+            if held > 2 * HELD:
+                yield handed(parts)
+                parts, held = [], 0
+    if parts:
+        yield handed(parts)
+
+
+PRODUCTS = "k int, key binary, value binary"
+
+
+def gram(parts: DataFrame, features: int) -> DataFrame:
+    """The parts of ``products`` added up: one row for each range of rows, one range at a time."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, total = None, np.zeros(0)
+
+        def told() -> pd.DataFrame:
+            some = np.flatnonzero(total)
+            return pd.DataFrame([(now, (some + now * ROWS * features).tobytes(), total[some].tobytes())], columns=["k", "key", "value"])
+
+        for batch in batches:
+            for k, key, value in zip(batch["k"], batch["key"], batch["value"], strict=True):
+                if k != now:
+                    if now is not None:
+                        yield told()
+                    now, total = k, np.zeros(ROWS * features)
+                total[np.frombuffer(key, np.int64) - k * ROWS * features] += np.frombuffer(value)
+        if now is not None:
+            yield told()
+
+    return parts.repartition("k").sortWithinPartitions("k").mapInPandas(lean(add), PRODUCTS)
+
+
+def latent_space(matrix: DataFrame, features: int, rank: int, seed: int = 17) -> np.ndarray:
+    """Leading right singular directions (features x rank) of vectors A, from ``gram``'s A'A; values are 0 for none.
+
+    Randomised subspace iteration: Spark computes A'A Q by partitions and sums it by
     blocks of features; the driver keeps only Q, whose size the vocabulary bounds.
     """
     width, chunk = rank + EXTRA, 4096
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((features, min(width, features))))[0]
     for _ in range(ROUNDS + 1):
-        now = vectors.sparkSession.sparkContext.broadcast(q)
+        now = matrix.sparkSession.sparkContext.broadcast(q)
 
         def multiply(batches: Iterator[pd.DataFrame], now=now) -> Iterator[pd.DataFrame]:
             basis, total = now.value, np.zeros_like(now.value)
             for batch in batches:
-                for at, value in zip(batch["at"], batch["value"], strict=True):
-                    at, value = np.asarray(at, np.int64), np.asarray(value)
-                    total[at] += value[:, None] * (value @ basis[at])[None, :]
+                for k, key, value in zip(batch["k"], batch["key"], batch["value"], strict=True):
+                    key, value = np.frombuffer(key, np.int64), np.frombuffer(value)
+                    i, j = key // features, key % features
+                    columns, place = np.unique(j, return_inverse=True)
+                    rows = np.zeros((ROWS, len(columns)))
+                    rows[i - k * ROWS, place] = value
+                    end = min((k + 1) * ROWS, features)
+                    total[k * ROWS : end] += (rows @ basis[columns])[: end - k * ROWS]
+                    rows[i[i == j] - k * ROWS, place[i == j]] = 0  # the other half, without the diagonal
+                    total[columns] += rows[: end - k * ROWS].T @ basis[k * ROWS : end]
             for k in range(0, features, chunk):
                 yield pd.DataFrame({"k": [k], "part": [total[k : k + chunk].astype(np.float32).tobytes()]})
 
@@ -144,7 +266,7 @@ def latent_space(vectors: DataFrame, features: int, rank: int, seed: int = 17) -
             total = sum(np.frombuffer(p, np.float32).astype(float) for p in group["part"])
             return pd.DataFrame({"k": group["k"].iloc[:1], "part": [total.tobytes()]})
 
-        rows = vectors.mapInPandas(lean(multiply), "k int, part binary").groupBy("k").applyInPandas(add, "k int, part binary").collect()
+        rows = matrix.mapInPandas(lean(multiply), "k int, part binary").groupBy("k").applyInPandas(add, "k int, part binary").collect()
         product = np.concatenate([np.frombuffer(r["part"]).reshape(-1, q.shape[1]) for r in sorted(rows, key=lambda r: r["k"])])
         q, size, _ = np.linalg.svd(product, full_matrices=False)
     keep = size > size.max(initial=0) * 1e-9
@@ -213,35 +335,27 @@ class Space:
         return found
 
 
-def _passages(docs: DataFrame, vocabulary: dict[str, int], idf: np.ndarray) -> DataFrame:
-    """Unit TF-IDF vectors (at, value) of the passages of ``docs`` that hold two words of the vocabulary."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, idf))
+def _of_passages(counts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """``products`` of the passages of all documents."""
+    shared = counts.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, weight = shared.value
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                words = words_of(text)
-                for k in range(0, len(words), 2 * STEP):
-                    tf = Counter(i for w in words[k : k + 2 * STEP] if (i := known.get(w)) is not None and weight[i] > 0)
-                    if len(tf) >= 2:
-                        at = sorted(tf)
-                        value = np.array([1 + np.log(tf[i]) for i in at]) * weight[at]
-                        rows.append((at, (value / np.linalg.norm(value)).tolist()))
-            yield pd.DataFrame(rows, columns=["at", "value"])
+        of = lambda packed: [np.frombuffer(x, kind) for x, kind in zip(packed, ("i4", "i4", "u1"), strict=True)]
+        rows = (unit_rows(*of(r), shared.value) for batch in batches for r in zip(batch["first"], batch["at"], batch["tf"], strict=True))
+        yield from products(rows, len(shared.value))
 
-    return docs.select("text").mapInPandas(lean(run), "at array<int>, value array<double>")
+    return counts.select("first", "at", "tf").coalesce(counts.sparkSession.sparkContext.defaultParallelism).mapInPandas(lean(run), PRODUCTS)
 
 
-def _spaces(docs: DataFrame, items: list[tuple[int, str]], fitted: int) -> Iterator[tuple[Broadcast, Space]]:
+def _spaces(docs: DataFrame, items: list[tuple[int, str]]) -> Iterator[tuple[Broadcast, Space]]:
     """One latent space for all items: the words of all, with up to ``ITEMS`` items at a time."""
     spark = docs.sparkSession
     known = [(i, words, answer_of(t)) for i, t in items if (words := words_of(t))]
     vocabulary = {w: k for k, w in enumerate(sorted({w for _, ws, _ in known for w in ws}))}
     if not vocabulary:
         return
-    n, df = document_frequencies(docs, vocabulary)
+    counts = materialise(counted(docs, vocabulary))
+    n, df = document_frequencies(counts, len(vocabulary))
     if not n:
         return
     idf = np.log((n + 1) / (df + 0.5))
@@ -260,10 +374,11 @@ def _spaces(docs: DataFrame, items: list[tuple[int, str]], fitted: int) -> Itera
             norms.append(np.linalg.norm(value))
             rows.append((at.tolist(), (value / max(norms[-1], 1e-9)).tolist()))
             of.append(k)
-    weighted = spark.createDataFrame([(at, (WEIGHT * np.array(v)).tolist()) for at, v in rows], "at array<int>, value array<double>")
-    drawn = docs.where(F.pmod(F.xxhash64("text", F.lit("passages")), F.lit(1_000_000)) / 1e6 < min(1.0, fitted / n))
-    vectors = materialise(_passages(drawn, vocabulary, idf).unionByName(weighted).repartition(SUMS))
-    basis = latent_space(vectors, len(vocabulary), RANK)
+    weight = WEIGHT * max(1.0, n / AMONG) ** 0.5
+    of_items = list(products(((np.zeros(1, int), np.array(at), weight * np.array(v)) for at, v in rows), len(vocabulary)))
+    parts = spark.createDataFrame([(r.k, r.key, r.value) for part in of_items for r in part.itertuples()], PRODUCTS)
+    matrix = materialise(gram(_of_passages(counts, idf).unionByName(parts), len(vocabulary))).coalesce(SUMS)
+    basis = latent_space(matrix, len(vocabulary), RANK)
     latent = np.stack([np.asarray(v) @ basis[a] for a, v in rows])
     seen = np.linalg.norm(latent, axis=1)  # the share of a part that the space holds
     latent /= np.maximum(seen, 1e-9)[:, None]
@@ -274,14 +389,13 @@ def _spaces(docs: DataFrame, items: list[tuple[int, str]], fitted: int) -> Itera
         yield words, Space(known[first : first + ITEMS], (of[some] - first).tolist(), latent[some], norms[some])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", fitted: int = FITTED) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, cosine, common, answer, text_hash): the items that each document holds.
 
     ``common`` is the share of the whole item's words that stand in the passage in order,
     ``answer`` the same for its last sentence; the rule is the same for items of any
-    length.  Whole texts are searched.  The space is fitted on passages of about
-    ``fitted`` documents, chosen by a hash of the text, and on all items; every passage is
-    projected.  Whatever the number of items, one space and the words of all decide; their
+    length.  Whole texts are searched.  The space is fitted on the passages of all
+    documents and on all items; every passage is projected.  Whatever the number of items, one space and the words of all decide; their
     vectors are held by every task, and above ``LARGEST`` bytes of them the benchmark must
     be split.  Items without a word and null texts match nothing; equal items with several ids are
     found under each; a repeated row is found as often as it stands; rows with a null id
@@ -294,7 +408,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     items = benchmark.select(benchmark[item_id].cast("long").alias("item_id"), benchmark[item_text].alias("text")).where(F.col("text").isNotNull())
     known = items.distinct().orderBy("item_id", "text").collect()  # a benchmark's items, some hundred bytes each
     out = spark.createDataFrame([], FOUND)
-    for words, space in _spaces(rows, [(r["item_id"], r["text"]) for r in known], fitted):
+    for words, space in _spaces(rows, [(r["item_id"], r["text"]) for r in known]):
         shared = spark.sparkContext.broadcast(space)
 
         def search(batches: Iterator[pd.DataFrame], shared=shared, words=words) -> Iterator[pd.DataFrame]:
