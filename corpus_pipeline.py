@@ -11,13 +11,15 @@ beside those of ``documents`` are left out.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import bpe, decontam, omh, suffix, toxicity
-from tickloom.llm.common import materialise, shared_folder, table
+from tickloom.llm.common import materialise, settle, shared_folder, table
 from tickloom.llm.queries import RANKS
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -84,12 +86,26 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return bpe.transcode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep=("doc_id", "lang", "source"))
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _rested(stage: Stage) -> Stage:
+    """``stage``, after the driver has given back what the stages before it left."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        settle(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("toxicity", toxicity_stage),
-    ("near_duplicates", near_duplicate_stage),
-    ("repeated_passages", repeated_passage_stage),
-    ("decontamination", decontamination_stage),
-    ("encoding", encoding_stage),
+    ("toxicity", _rested(toxicity_stage)),
+    ("near_duplicates", _rested(near_duplicate_stage)),
+    ("repeated_passages", _rested(repeated_passage_stage)),
+    ("decontamination", _rested(decontamination_stage)),
+    ("encoding", _rested(encoding_stage)),
 ]
 
 #: SQL expresses neither the classifier, the sketches nor the encoding; tests/llm/test_pipeline.py compares stages with brute force.
