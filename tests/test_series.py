@@ -344,7 +344,7 @@ def told_apart(rows):
     return [[1e300 if isinstance(v, float) and math.isnan(v) else v for v in r] for r in rows]
 
 
-@pytest.mark.parametrize("name", ["burst_preview", "jump"])
+@pytest.mark.parametrize("name", ["burst_preview", "jump", "cluster_sessions"])
 def test_scores_that_are_no_numbers_are_not_null(spark, worthless, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{worthless}/events.parquet'")
