@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import random
 from collections import defaultdict
 
@@ -335,6 +336,28 @@ def test_items_in_other_scripts_and_quotes(spark):
     assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 2)}
 
 
+def test_tasks_make_the_products_of_items(spark, monkeypatch):
+    """The driver makes none: with many items they would fill its memory.  Added up they are A'A."""
+    rows = [([0, 2, 5], [0.6, 0.0, 0.8]), ([2, 5], [0.6, -0.8]), ([1], [1.0])]
+    a = np.zeros((3, 6))
+    for k, (at, value) in enumerate(rows):
+        a[k, at] = value
+    got = np.zeros(36)
+    for r in decontam.gram(decontam._of_items(spark, rows, 3.0, 6), 6).collect():
+        got[np.frombuffer(r["key"], np.int64)] += np.frombuffer(r["value"])
+    assert np.allclose(got.reshape(6, 6), np.triu(9 * a.T @ a))
+
+    driver, made = os.getpid(), decontam.products
+
+    def in_tasks(*args):
+        assert os.getpid() != driver, "the driver makes products"
+        return made(*args)
+
+    documents = spark.createDataFrame([(1, "a tall ship and a star to steer her by"), (2, "something else altogether")], "doc_id long, text string")
+    monkeypatch.setattr(decontam, "products", in_tasks)
+    assert len(list(decontam._spaces(documents, [(1, "a tall ship and a star")]))) == 1
+
+
 def test_many_items_share_one_space(spark, monkeypatch):
     """More items than dimensions, in blocks: copies and paraphrases are found, others are not."""
     rnd = random.Random(14)

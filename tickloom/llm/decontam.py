@@ -19,11 +19,11 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import lean, materialise, small_batches
+from tickloom.llm.common import lean, materialise, settle, small_batches
 from tickloom.llm.omh import SPACELESS
 
 #: In scripts without spaces each character is a word; elsewhere letters and digits in a row are.
@@ -241,7 +241,7 @@ def latent_space(matrix: DataFrame, features: int, rank: int, seed: int = 17) ->
     Randomised subspace iteration: Spark computes A'A Q by partitions and sums it by
     blocks of features; the driver keeps only Q, whose size the vocabulary bounds.
     """
-    width, chunk = rank + EXTRA, 4096
+    width, chunk = rank + EXTRA, 256  # blocks of a sum, under a megabyte each
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((features, min(width, features))))[0]
     for _ in range(ROUNDS + 1):
         now = matrix.sparkSession.sparkContext.broadcast(q)
@@ -347,6 +347,17 @@ def _of_passages(counts: DataFrame, idf: np.ndarray) -> DataFrame:
     return counts.select("first", "at", "tf").coalesce(counts.sparkSession.sparkContext.defaultParallelism).mapInPandas(lean(run), PRODUCTS)
 
 
+def _of_items(spark: SparkSession, rows: list[tuple[list[int], list[float]]], weight: float, features: int) -> DataFrame:
+    """``products`` of the items' vectors, each taken ``weight`` times; tasks make them, so that the driver holds no more than the vectors."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vectors = ((np.zeros(1, int), np.frombuffer(at, "i4"), weight * np.frombuffer(v)) for batch in batches for at, v in zip(batch["at"], batch["value"], strict=True))
+        yield from products(vectors, features)
+
+    packed = [(np.array(at, "i4").tobytes(), np.array(v, float).tobytes()) for at, v in rows]
+    return spark.createDataFrame(packed, "at binary, value binary").mapInPandas(lean(run), PRODUCTS)
+
+
 def _spaces(docs: DataFrame, items: list[tuple[int, str]]) -> Iterator[tuple[Broadcast, Space]]:
     """One latent space for all items: the words of all, with up to ``ITEMS`` items at a time."""
     spark = docs.sparkSession
@@ -375,9 +386,9 @@ def _spaces(docs: DataFrame, items: list[tuple[int, str]]) -> Iterator[tuple[Bro
             rows.append((at.tolist(), (value / max(norms[-1], 1e-9)).tolist()))
             of.append(k)
     weight = WEIGHT * max(1.0, n / AMONG) ** 0.5
-    of_items = list(products(((np.zeros(1, int), np.array(at), weight * np.array(v)) for at, v in rows), len(vocabulary)))
-    parts = spark.createDataFrame([(r.k, r.key, r.value) for part in of_items for r in part.itertuples()], PRODUCTS)
+    parts = _of_items(spark, rows, weight, len(vocabulary))
     matrix = materialise(gram(_of_passages(counts, idf).unionByName(parts), len(vocabulary))).coalesce(SUMS)
+    settle(spark)
     basis = latent_space(matrix, len(vocabulary), RANK)
     latent = np.stack([np.asarray(v) @ basis[a] for a, v in rows])
     seen = np.linalg.norm(latent, axis=1)  # the share of a part that the space holds
