@@ -15,9 +15,9 @@ def series_keys(df: DataFrame) -> list[str]:
     return [c for c in ("exchange", "symbol") if c in df.columns]
 
 
-def named(by: list[str] | tuple[str, ...], *more: Column) -> Column:
-    """Keys in one value, to join by: such values are equal where the same keys are null, so a series without a symbol stays."""
-    return F.struct(*by, *more)
+def named(by: list[str] | tuple[str, ...]) -> Column:
+    """A series' keys in one value, to join by: such values are equal where the same keys are null, so a series without a symbol stays."""
+    return F.struct(*by)
 
 
 def micros(ts: str) -> Column:
@@ -32,17 +32,18 @@ def with_neighbour(df: DataFrame, by: list[str] | tuple[str, ...], columns: list
     the neighbour of a day's outer row comes from one row for each day, found in the same
     order.  Equal times are ordered by the columns asked for.
     """
-    day, here = F.col("__key")["__day"], F.struct(*columns)
-    inside = Window.partitionBy("__key").orderBy(*dict.fromkeys([ts, *columns]))
-    across = Window.partitionBy(*[F.col("__key")[c] for c in by]).orderBy(day)
+    keys = ["__series", "__day"]
+    here = F.struct(*columns)
+    inside = Window.partitionBy(*keys).orderBy(*dict.fromkeys([ts, *columns]))
+    across = Window.partitionBy("__series").orderBy("__day")
     step, back = (F.lead, F.lag) if after else (F.lag, F.lead)
-    rows = df.withColumn("__key", named(by, F.to_date(ts).alias("__day"))).withColumns({"__inner": step(here).over(inside), "__outermost": back(F.lit(True)).over(inside).isNull()})
-    edge = rows.where("__outermost").select("__key", here.alias("__edge"))  # one row a day; it reuses the exchange of the rows
-    outer = edge.select("__key", step("__edge").over(across).alias("__outer"))
-    both = rows.join(outer, "__key", "left")
+    rows = df.withColumns({"__series": named(by), "__day": F.to_date(ts)}).withColumns({"__inner": step(here).over(inside), "__outermost": back(F.lit(True)).over(inside).isNull()})
+    edge = rows.where("__outermost").select(*keys, here.alias("__edge"))  # one row a day; it reuses the exchange of the rows
+    outer = edge.select(*keys, step("__edge").over(across).alias("__outer"))
+    both = rows.join(outer, keys, "left")
     near = F.coalesce("__inner", "__outer")
     name = "next_" if after else "prev_"
-    return both.withColumns({f"{name}{c}": near[c] for c in columns}).drop("__key", "__inner", "__outer", "__outermost")
+    return both.withColumns({f"{name}{c}": near[c] for c in columns}).drop(*keys, "__inner", "__outer", "__outermost")
 
 
 def with_carried(df: DataFrame, by: list[str], column: str, name: str, ts: str = "ts") -> DataFrame:
@@ -59,14 +60,14 @@ def with_carried(df: DataFrame, by: list[str], column: str, name: str, ts: str =
 
 def with_position(df: DataFrame, by: list[str], ties: list[str], ts: str = "ts") -> DataFrame:
     """Add ``position`` from 0 in the order of (ts, ties) and ``rows_of_series``, ordered inside days."""
-    rows = df.withColumn("__key", named(by, F.to_date(ts).alias("__day")))
-    inside = Window.partitionBy("__key").orderBy(ts, *ties)
-    series = Window.partitionBy(*[F.col("__key")[c] for c in by])
-    before = series.orderBy(F.col("__key")["__day"]).rowsBetween(Window.unboundedPreceding, -1)
-    days = rows.groupBy("__key").agg(F.count("*").alias("__n"))
-    days = days.select("__key", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"), F.sum("__n").over(series).alias("rows_of_series"))  # a row a day
-    placed = rows.withColumn("__inside", F.row_number().over(inside)).join(days, "__key")
-    return placed.withColumn("position", F.col("__before") + F.col("__inside") - 1).drop("__key", "__inside", "__before")
+    keys = ["__series", "__day"]
+    rows = df.withColumns({"__series": named(by), "__day": F.to_date(ts)})
+    inside = Window.partitionBy(*keys).orderBy(ts, *ties)
+    before = Window.partitionBy("__series").orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
+    days = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
+    days = days.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"), F.sum("__n").over(Window.partitionBy("__series")).alias("rows_of_series"))  # a row a day
+    placed = rows.withColumn("__inside", F.row_number().over(inside)).join(days, keys)
+    return placed.withColumn("position", F.col("__before") + F.col("__inside") - 1).drop(*keys, "__inside", "__before")
 
 
 def _moments(value: Column, over) -> Column:
