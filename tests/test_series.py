@@ -363,7 +363,7 @@ def nameless(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["jump", "jump_traded", "cluster_sessions", "cluster_counts"])
+@pytest.mark.parametrize("name", ["jump", "jump_traded", "cluster_sessions", "cluster_counts", "detector_counts"])
 def test_a_series_without_symbol_stays(spark, nameless, name):
     df = catalog.QUERIES[name](spark, nameless)
     assert "symbol" not in df.columns or df.where("symbol IS NULL").count() > 0
