@@ -363,13 +363,36 @@ def nameless(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["jump", "jump_traded", "cluster_sessions", "cluster_counts", "detector_counts"])
+@pytest.mark.parametrize("name", ["jump", "jump_traded", "cluster_sessions", "cluster_counts", "detector_counts", "burst_records"])
 def test_a_series_without_symbol_stays(spark, nameless, name):
     df = catalog.QUERIES[name](spark, nameless)
     assert "symbol" not in df.columns or df.where("symbol IS NULL").count() > 0
     same(df, nameless, catalog.ORACLE_SQL[name])
 
 
+@pytest.fixture(scope="module")
+def negative(tmp_path_factory):
+    """Events some of which are worth less than nothing, others nothing."""
+    folder = tmp_path_factory.mktemp("negative")
+    value = "CASE WHEN event_id % 31 = 0 THEN -value WHEN event_type = 'click' AND event_id % 37 = 0 THEN 0.0 ELSE value END"
+    duckdb.sql(f"COPY (SELECT * REPLACE ({value} AS value) FROM '{SF}/../sf0.01/events.parquet' ORDER BY event_id) TO '{folder}/events.parquet'")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["burst_records"])
+def test_sentences_on_closes_below_zero_equal_sql(spark, negative, name):
+    df = catalog.QUERIES[name](spark, negative)
+    assert df.where("rationale LIKE '% nan %'").count() > 0
+    same(df, negative, catalog.ORACLE_SQL[name])
+
+
+def test_scores_that_are_no_numbers_in_sentences(spark):
+    rows = [(2.5, 1.0, 1.0), (math.inf, 1.0, 1.0), (-math.inf, 1.0, 1.0), (math.nan, 1.0, -math.inf), (math.nan, math.nan, 1.0), (math.nan, 1.0, math.nan), (math.nan, None, None)]
+    frame = spark.createDataFrame(rows, "z double, ret double, mean double")
+    said = [r[0] for r in frame.select(detect.hundredths(F.col("z"), F.col("ret"), F.col("mean"))).collect()]
+    assert said == ["2.50", "inf", "-inf", "-nan", "nan", "nan", "-nan"]
+
+
 def test_the_first_of_equal_beginnings_goes_by_exchange(spark):
     rows = [(e, "S", "JUMP", T0, T0, 1, 3.0, f"of {e}", f"label of {e}") for e in ("b", "a", "c")]
     frame = spark.createDataFrame(rows, "exchange string, symbol string, detector string, start_ts timestamp, end_ts timestamp, n bigint, max_abs_z double, rationale string, label string")

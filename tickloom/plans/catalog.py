@@ -483,7 +483,7 @@ jump AS (SELECT symbol, ts, 'JUMP' AS detector, ret, (ret - mean) / sigma AS z,
 
 @query(f"{JUMP} SELECT symbol, ts, detector, round(ret, 5) AS ret, round(z, 5) AS z, round(spread_bp, 5) AS spread_bp FROM jump")
 def jump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(detect.jumps(bars_of(spark, sf_dir), 2.0).drop("exchange"), 5)
+    return rounded(detect.jumps(bars_of(spark, sf_dir), 2.0).drop("exchange", "mean"), 5)
 
 
 @query(f"""{JUMP} SELECT symbol, ts, detector, round(z, 5) AS z, 'anomaly' AS label,
@@ -748,7 +748,7 @@ TWO_JUMP = JUMP.replace(FEATURES, TWO_FEATURES).replace("PARTITION BY symbol", S
 @query(f"{TWO_JUMP} SELECT exchange, symbol, ts, detector, round(ret, 5) AS ret, round(z, 5) AS z, round(spread_bp, 5) AS spread_bp FROM jump WHERE coalesce(trade_count >= 4, true)")
 def jump_traded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jumps of each exchange's own series in bars of at least four trades."""
-    return rounded(detect.jumps(two_exchanges(spark, sf_dir), 2.0, min_trades=4), 5)
+    return rounded(detect.jumps(two_exchanges(spark, sf_dir), 2.0, min_trades=4).drop("mean"), 5)
 
 
 @query(f"""{SEEDED.replace(HOURLY, TWO).replace("PARTITION BY symbol", SERIES)}
@@ -762,7 +762,7 @@ def clean_mask_exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _evident(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = materialise(two_exchanges(spark, sf_dir))
     jumps, scores = detect.jumps(own, 2.0).withColumn("value", F.lit(None).cast("double")), detect.zscores(own, 24, 3.0)
-    both = jumps.unionByName(scores.withColumn("ret", F.lit(None).cast("double")).withColumn("spread_bp", F.lit(None).cast("double")))
+    both = jumps.unionByName(scores.withColumns({c: F.lit(None).cast("double") for c in ("ret", "spread_bp", "mean")}))
     return detect.label(detect.evidence(both, 3.0, 2.0))
 
 

@@ -69,7 +69,7 @@ def anomalies(judged: DataFrame, config: QaConfig) -> DataFrame:
     series = series_keys(judged)
     none = judged.limit(0).select(*series, "ts", F.lit("").alias("detector"), F.lit(0.0).alias("z"))
     rows = union_all([none, *(DETECTORS[name](clean, masked, config) for name in config.detectors)])
-    for c in ("value", "ret", "spread_bp"):  # what only some detectors tell
+    for c in ("value", "ret", "spread_bp", "mean"):  # what only some detectors tell
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast("double"))
     told = detect.evidence(rows, config.zscore_k, config.jump_k_sigma).select(*series, "ts", "detector", "z", "spread_bp", "features", "rationale")
