@@ -383,6 +383,40 @@ def test_many_items_share_one_space(spark, monkeypatch):
         decontam.Words({"a": 0, "b": 1}, np.ones(2), np.ones((2, 2)))
 
 
+class Counted:
+    """Word vectors that tell how many words were looked up."""
+
+    def __init__(self, weighted):
+        self.weighted, self.shape, self.looked_up = weighted, weighted.shape, 0
+
+    def __getitem__(self, ids):
+        self.looked_up += len(ids)
+        return self.weighted[ids]
+
+
+def test_only_passages_that_can_reach_an_item_are_projected(spark):
+    """Single words of an item far apart cannot; no passage that comes near any part is left out."""
+    rnd = random.Random(8)
+    items = [(k, " ".join(f"w{rnd.randrange(400)}" for _ in range(rnd.randint(12, 70)))) for k in range(40)]
+    loose = [" ".join(f"w{rnd.randrange(400)}" if i % 48 == 0 else f"x{i}" for i in range(960)) for _ in range(5)]
+    mixed = [" ".join(rnd.choice([f"w{rnd.randrange(400)}", "x"]) for _ in range(rnd.randint(1, 300))) for _ in range(60)]
+    copies = [f"{loose[0]} {text} {loose[1]}" for _, text in items]
+    documents = spark.createDataFrame(list(enumerate(loose + mixed + copies)), "doc_id long, text string")
+    words, space = next(decontam._spaces(documents, items))
+    known, whole = words.value, decontam.WORD.findall
+    weighted = known.weighted
+    known.weighted = Counted(weighted)
+    assert not any(space.search(whole(t), known) for t in loose) and known.weighted.looked_up == 0
+    assert all(k in space.search(whole(t), known) for k, t in enumerate(copies)) and known.weighted.looked_up > 0
+    for t in mixed + copies:
+        for start in range(0, len(whole(t)), decontam.STEP):
+            ids = [known.vocabulary[w] for w in whole(t)[start : start + 2 * decontam.STEP] if w in known.vocabulary]
+            along = (weighted[ids].sum(0) @ space.latent.T / space.norms).max() if ids else 0.0
+            assert space.most[ids].sum() >= along - 1e-4
+    unheld = decontam.Space(space.items, space.of, np.zeros_like(space.latent), np.zeros_like(space.norms), weighted)
+    assert np.isinf(unheld.most).all()
+
+
 def test_paraphrases_are_recalled(spark):
     """Of items planted with a third of their words replaced, but for their answer, nine of ten are found, and of copies all."""
     rnd = random.Random(21)

@@ -53,6 +53,8 @@ COMMON = 0.2
 COSINE, CLOSE, VERBATIM, PARAPHRASE, ANSWER = 0.4, 0.6, 0.8, 0.5, 0.8
 #: Share of an item's length that a passage must have along it.
 MASS = 0.35
+#: What rounding may take from a passage's bound; word vectors whose bounds are made at once; an item's least length, as a share of the longest, for which there is one.
+SLACK, BOUNDS, TINY = 0.01, 1024, 1e-6
 #: Words of a text handled at once.
 CHUNK = 100_000
 
@@ -285,11 +287,20 @@ class Words:
 
 
 class Space:
-    """A block of items, searched in passages: the items' words and latent parts."""
+    """A block of items, searched in passages: the items' words and latent parts.
 
-    def __init__(self, items: list[tuple[int, list[str], list[str]]], of: list[int], latent: np.ndarray, norms: np.ndarray) -> None:
+    ``most`` is the largest share of any part's length that one occurrence of a word can add along it.
+    Shares add up, so a passage whose words together have less than ``MASS`` is near no part and
+    need not be projected.
+    """
+
+    def __init__(self, items: list[tuple[int, list[str], list[str]]], of: list[int], latent: np.ndarray, norms: np.ndarray, weighted: np.ndarray) -> None:
         self.items, self.of = items, of
         self.latent, self.norms = latent.astype(np.float32), norms.astype(np.float32)
+        self.most = np.full(len(weighted), np.inf)
+        if self.norms.min() > TINY * self.norms.max():  # a part that the space does not hold is near everything
+            for k in range(0, len(weighted), BOUNDS):
+                self.most[k : k + BOUNDS] = (weighted[k : k + BOUNDS] @ self.latent.T / self.norms).max(1)
         self.distinct = [set(item) for _, item, _ in items]
         self.longest = max(len(item) for _, item, _ in items)
 
@@ -299,14 +310,19 @@ class Space:
         at = np.flatnonzero(ids >= 0)
         if not len(at):
             return {}
-        step = at // STEP
-        first = np.flatnonzero(np.concatenate([[True], step[1:] != step[:-1]]))
-        sums = np.zeros((-(-len(words) // STEP) + 1, known.weighted.shape[1]), np.float32)
-        sums[step[first]] = np.add.reduceat(known.weighted[ids[at]], first)
-        hits = np.bincount(step, minlength=len(sums))
-        passage, held = sums[:-1] + sums[1:], hits[:-1] + hits[1:]
-        live = np.flatnonzero(held >= 1)
-        passage = passage[live]
+        ids, step = ids[at], at // STEP
+        most = np.bincount(step, self.most[ids], -(-len(words) // STEP) + 1)
+        live = np.flatnonzero(most[:-1] + most[1:] >= (1 - SLACK) * MASS)
+        if not len(live):
+            return {}
+        needed = np.zeros(len(most), bool)
+        needed[live] = needed[live + 1] = True
+        row = np.cumsum(needed) - 1
+        ids, step = ids[needed[step]], row[step[needed[step]]]
+        first = np.flatnonzero(np.diff(step, prepend=-1))
+        sums = np.zeros((row[-1] + 1, known.weighted.shape[1]), np.float32)
+        sums[step[first]] = np.add.reduceat(known.weighted[ids], first)
+        passage = sums[row[live]] + sums[row[live + 1]]
         size = np.sqrt((passage**2).sum(1))
         along = passage @ self.latent.T
         cosine = along / np.maximum(size, 1e-9)[:, None]
@@ -394,10 +410,11 @@ def _spaces(docs: DataFrame, items: list[tuple[int, str]]) -> Iterator[tuple[Bro
     seen = np.linalg.norm(latent, axis=1)  # the share of a part that the space holds
     latent /= np.maximum(seen, 1e-9)[:, None]
     norms, of = np.array(norms) * seen, np.array(of)
-    words = spark.sparkContext.broadcast(Words(vocabulary, idf, basis))
+    known_words = Words(vocabulary, idf, basis)
+    words = spark.sparkContext.broadcast(known_words)
     for first in range(0, len(known), ITEMS):
         some = np.flatnonzero((of >= first) & (of < first + ITEMS))
-        yield words, Space(known[first : first + ITEMS], (of[some] - first).tolist(), latent[some], norms[some])
+        yield words, Space(known[first : first + ITEMS], (of[some] - first).tolist(), latent[some], norms[some], known_words.weighted)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
