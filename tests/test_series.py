@@ -370,6 +370,19 @@ def test_a_series_without_symbol_stays(spark, nameless, name):
     same(df, nameless, catalog.ORACLE_SQL[name])
 
 
+@pytest.fixture(scope="module")
+def timeless(tmp_path_factory):
+    """Events some of which have no time."""
+    folder = tmp_path_factory.mktemp("timeless")
+    duckdb.sql(f"COPY (SELECT * REPLACE (CASE WHEN event_id % 11 > 0 THEN ts END AS ts) FROM '{SF}/../sf0.01/events.parquet' ORDER BY event_id) TO '{folder}/events.parquet'")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["jump_traded"])
+def test_rows_without_a_time_stay(spark, timeless, name):
+    same(catalog.QUERIES[name](spark, timeless), timeless, catalog.ORACLE_SQL[name])
+
+
 @pytest.fixture(scope="module")
 def negative(tmp_path_factory):
     """Events some of which are worth less than nothing, others nothing."""

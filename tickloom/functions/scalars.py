@@ -16,6 +16,16 @@ def bucket(ts: Column | str, seconds: int) -> Column:
     return F.window(ts, f"{seconds} seconds")["start"]
 
 
+def bucket_or_null(ts: str, kind: str, seconds: int) -> Column:
+    """Like ``bucket`` for a column of type ``kind``, but a row without a time stays, in a bucket of its own; a watermark does not reach it."""
+    return F.timestamp_add("MICROSECOND", -F.pmod(since_1970(ts, kind), F.lit(seconds * 1_000_000)), F.col(ts))
+
+
+def since_1970(ts: str, kind: str) -> Column:
+    """Microseconds since 1970 of a time of type ``kind``, as its clock shows it."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts)) if kind == "timestamp_ntz" else F.unix_micros(ts)
+
+
 def seconds_between(earlier: Column | str, later: Column | str) -> Column:
     """Seconds from one timestamp to another, with fractions."""
     return F.timestamp_diff("MICROSECOND", F.col(earlier) if isinstance(earlier, str) else earlier, F.col(later) if isinstance(later, str) else later) / 1e6

@@ -25,19 +25,24 @@ def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def day_of(ts: str) -> Column:
+    """The day of a time; rows without a time come after all days."""
+    return F.coalesce(F.to_date(ts), F.lit("9999-12-31").cast("date"))
+
+
 def with_neighbour(df: DataFrame, by: list[str] | tuple[str, ...], columns: list[str], ts: str = "ts", after: bool = False) -> DataFrame:
     """Add ``prev_`` (or ``next_``) columns of the neighbouring row of the same key in time.
 
     Rows are ordered inside (key, day), so a symbol of many years is as many tasks as days;
     the neighbour of a day's outer row comes from one row for each day, found in the same
-    order.  Equal times are ordered by the columns asked for.
+    order.  Equal times are ordered by the columns asked for; rows without a time come last.
     """
     keys = ["__series", "__day"]
     here = F.struct(*columns)
-    inside = Window.partitionBy(*keys).orderBy(*dict.fromkeys([ts, *columns]))
+    inside = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(ts), *[c for c in columns if c != ts])
     across = Window.partitionBy("__series").orderBy("__day")
     step, back = (F.lead, F.lag) if after else (F.lag, F.lead)
-    rows = df.withColumns({"__series": named(by), "__day": F.to_date(ts)}).withColumns({"__inner": step(here).over(inside), "__outermost": back(F.lit(True)).over(inside).isNull()})
+    rows = df.withColumns({"__series": named(by), "__day": day_of(ts)}).withColumns({"__inner": step(here).over(inside), "__outermost": back(F.lit(True)).over(inside).isNull()})
     edge = rows.where("__outermost").select(*keys, here.alias("__edge"))  # one row a day; it reuses the exchange of the rows
     outer = edge.select(*keys, step("__edge").over(across).alias("__outer"))
     both = rows.join(outer, keys, "left")
