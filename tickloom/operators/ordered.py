@@ -64,10 +64,10 @@ def with_carried(df: DataFrame, by: list[str], column: str, name: str, ts: str =
 
 
 def with_position(df: DataFrame, by: list[str], ties: list[str], ts: str = "ts") -> DataFrame:
-    """Add ``position`` from 0 in the order of (ts, ties) and ``rows_of_series``, ordered inside days."""
+    """Add ``position`` from 0 in the order of (ts, ties) and ``rows_of_series``, ordered inside days; rows without a time come last."""
     keys = ["__series", "__day"]
-    rows = df.withColumns({"__series": named(by), "__day": F.to_date(ts)})
-    inside = Window.partitionBy(*keys).orderBy(ts, *ties)
+    rows = df.withColumns({"__series": named(by), "__day": day_of(ts)})
+    inside = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(ts), *ties)
     before = Window.partitionBy("__series").orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
     days = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
     days = days.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"), F.sum("__n").over(Window.partitionBy("__series")).alias("rows_of_series"))  # a row a day
