@@ -378,7 +378,7 @@ def timeless(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["jump_traded", "cluster_sessions", "detector_counts"])
+@pytest.mark.parametrize("name", ["jump_traded", "cluster_sessions", "cluster_counts", "detector_counts"])
 def test_rows_without_a_time_stay(spark, timeless, name):
     same(catalog.QUERIES[name](spark, timeless), timeless, catalog.ORACLE_SQL[name])
 
